@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from checks import fixture
 from textlake import plans, sinks, sources
 from textlake.functions import title_key
+from textlake.operators import add_column as with_column
 from textlake.operators import (
-    add_column,
     article_histories,
     basic_preprocessing,
     deduplicate_df,
@@ -120,18 +120,15 @@ def rankings(spark, sf_dir):
 
 
 @query
-def add_columns(spark, sf_dir):
+def add_column(spark, sf_dir):
     df = fixture.pageviews(spark, sf_dir).select(KEY, "date", "views", "rank")
-    df = add_column(df, "doubled", "views * 2")
-    df = add_column(df, "next_rank", F.col("rank") + 1, default_value=0)
-    df = add_column(df, "const", default_value="x")
-    df = add_column(df, "empty", data_type="string")
+    df = with_column(df, "doubled", "views * 2")
+    df = with_column(df, "next_rank", F.col("rank") + 1, default_value=0)
+    df = with_column(df, "const", default_value="x")
+    df = with_column(df, "empty", data_type="string")
     return df.drop("views", "rank")
 
 
-QUERIES["add_column"] = QUERIES.pop("add_columns")
-
-
 @query
 def preview(spark, sf_dir):
     rows = fixture.pageviews(spark, sf_dir).select(KEY, "views", "date", "rank")
@@ -176,9 +173,12 @@ def dedup_texts(spark, sf_dir):
 # Joins: the deduplicated side is landed, so that the join shuffles both sides
 # itself and adaptive execution can split a hot title.
 
-def _joined(spark, sf_dir, join_type):
+def _joined(spark, sf_dir, join_type, land_left=False):
     articles = land(fixture.articles(spark, sf_dir), "articles")
-    return df_join(fixture.pageviews(spark, sf_dir), articles, [KEY], join_type)
+    pageviews = fixture.pageviews(spark, sf_dir)
+    if land_left:  # right and full joins read the left side twice
+        pageviews = land(pageviews, "pageviews")
+    return df_join(pageviews, articles, [KEY], join_type)
 
 
 @query
@@ -194,12 +194,12 @@ def join_inner(spark, sf_dir):
 
 @query
 def join_right(spark, sf_dir):
-    return _joined(spark, sf_dir, "right").select(KEY, "views", "date", "rank", "url")
+    return _joined(spark, sf_dir, "right", land_left=True).select(KEY, "views", "date", "rank", "url")
 
 
 @query
 def join_full(spark, sf_dir):
-    return _joined(spark, sf_dir, "full").select(KEY, "views", "date", "rank", "url")
+    return _joined(spark, sf_dir, "full", land_left=True).select(KEY, "views", "date", "rank", "url")
 
 
 @query

@@ -64,7 +64,7 @@ def _split_parts(df: DataFrame, key: str, max_entries: int) -> DataFrame:
     before = (Window.unboundedPreceding, -1)
     in_history = Window.partitionBy(key).orderBy("date").rowsBetween(*before)
     days = (
-        df.groupBy(key, "date").agg(F.count(F.lit(1)).alias("day_entries"))
+        counted.groupBy(key, "date").agg(F.sum("copies").alias("day_entries"))
         .withColumn("day_start", F.coalesce(F.sum("day_entries").over(in_history), F.lit(0)))
         .select(F.col(key).alias("day_key"), F.col("date").alias("day_date"), "day_start")
     )

@@ -1,6 +1,6 @@
 from textlake.plans.build import BuildReport, build_tables
 from textlake.plans.lookup import lookup_analytics, lookup_document, preview, sample_document
-from textlake.plans.quality import corpus_counts, pageview_quality
+from textlake.plans.quality import corpus_counts, corrupt_records, pageview_quality
 from textlake.plans.tables import (
     analytics,
     article_documents,
@@ -26,6 +26,7 @@ __all__ = [
     "clean_articles",
     "clean_pageviews",
     "corpus_counts",
+    "corrupt_records",
     "lookup_analytics",
     "lookup_document",
     "pageview_quality",

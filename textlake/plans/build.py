@@ -16,7 +16,7 @@ from textlake.plans.tables import (
 )
 from textlake.sinks import write_analytics, write_documents, write_rankings
 from textlake.sources import read_articles, read_pageviews, read_table
-from textlake.workspace import fresh_path
+from textlake.workspace import fresh_path, temporary
 
 TABLES = {
     "article_rankings": write_rankings,
@@ -46,10 +46,16 @@ def build_tables(
 ) -> BuildReport:
     """Read both raw inputs once, and write the three tables below `target`.
 
-    The raw text is parsed once into clean columnar tables in the shared folder;
-    everything after reads those. The row counts ride on these two jobs. They
-    have no shuffle, so a lost executor cannot count a row twice.
+    The raw text is parsed once into clean columnar tables in the shared folder,
+    which are deleted at the end; everything after reads those. The row counts
+    ride on these two jobs. They have no shuffle, so a lost executor cannot count
+    a row twice.
     """
+    with temporary(spark):
+        return _build(spark, pageviews_path, articles_path, target, mode, articles_filetype)
+
+
+def _build(spark, pageviews_path, articles_path, target, mode, articles_filetype) -> BuildReport:
     n = F.count(F.lit(1))
     seen_views, kept_views = Observation("raw_pageviews"), Observation("kept_pageviews")
     views_path = fresh_path(spark, "pageviews")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlake import schemas
 from textlake.functions import counted_views, is_view_count, title_key
+from textlake.plans.tables import unreadable
 from textlake.schemas import KEY
 
 
@@ -53,5 +53,5 @@ def corrupt_records(raw: DataFrame) -> DataFrame:
     """total_rows and corrupt_rows of a corpus read by `read_articles`."""
     return raw.agg(
         _rows().alias("total_rows"),
-        _rows(F.col(schemas.CORRUPT).isNotNull()).alias("corrupt_rows"),
+        _rows(unreadable()).alias("corrupt_rows"),
     )

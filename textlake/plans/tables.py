@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlake import schemas
@@ -35,12 +35,17 @@ def clean_pageviews(raw: DataFrame) -> DataFrame:
     return clean.withColumn("views", counted_views("views"))
 
 
+def unreadable() -> Column:
+    """True for a record that could not be parsed, and so has no name."""
+    return F.col(schemas.CORRUPT).isNotNull() & F.col("name").isNull()
+
+
 def clean_articles(
     raw: DataFrame, columns: Sequence[str] = ("name", "description", "url", "abstract")
 ) -> DataFrame:
     """Readable records of the corpus with the key of their name."""
     if schemas.CORRUPT in raw.columns:
-        raw = raw.where(F.col(schemas.CORRUPT).isNull())
+        raw = raw.where(~unreadable())
     return basic_preprocessing(raw, list(columns), "name", KEY)
 
 

@@ -9,13 +9,19 @@ before the next query starts, so it broadcasts the table only when it is below
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
+
+
 @functools.cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="textlake-")
@@ -33,7 +39,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/textlake/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/textlake/{label}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the paths handed out inside this block when it ends."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, paths):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def land(df: DataFrame, label: str) -> DataFrame:
