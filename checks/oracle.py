@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import SPLIT_AT
+from checks.queries import SEED, SPLIT_AT
 from textlake.operators.histories import MAX_ENTRIES
 
 KEY_SQL = "trim(translate(translate(lower({0}), '_', ' '), ':,.!?\"''()[]{{}}\\/ -', ''))"
@@ -74,6 +74,7 @@ SELECTS = {
     "scan_csv": "SELECT article, date, views, rank FROM pv_raw",
     "scan_csv_inferred": "SELECT article, date, views, rank FROM pv_raw",
     "scan_jsonl": "SELECT id, name, description, url, abstract FROM art_raw",
+    "scan_jsonl_inferred": "SELECT id, name, description, url, abstract FROM art_raw",
     "scan_json": "SELECT id, name, description, url, abstract FROM art_raw",
     "standardise": "SELECT article, views, date, rank, article_name FROM pageviews",
     "standardise_texts":
@@ -129,6 +130,8 @@ SELECT article_name, avg_views, max_views, best_rank, total_days_ranked FROM ana
     "documents": DOCUMENT,
     "documents_split": f"SELECT * FROM {_history(SPLIT_AT)} h",
     "lookup_document": f"{DOCUMENT} WHERE h.article_name = 'smallring'",
+    "sample_document":
+        f"{DOCUMENT} ORDER BY md5(concat_ws(':', '{SEED}', h.article_name, h.part)) LIMIT 1",
     "lookup_analytics": """
 SELECT article_name, avg_views, max_views, best_rank, total_days_ranked AS total_days_tracked
 FROM analytics WHERE article_name = 'smallring'""",

@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # The example parameters of the read queries.
-DAY, YEAR, MONTH, TITLE = "1997-09-21", 1997, 9, "Small_Ring"
+DAY, YEAR, MONTH, TITLE, SEED = "1997-09-21", 1997, 9, "Small_Ring", 42
 
 # Entries per document in the query that splits histories.
 SPLIT_AT = 365
@@ -64,6 +64,13 @@ def scan_jsonl(spark, sf_dir):
     return sources.read_articles(spark, path, "jsonl", CORPUS_SCHEMA).select(*CORPUS_ORDER)
 
 
+@query
+def scan_jsonl_inferred(spark, sf_dir):
+    path = fresh_path(spark, "articles-jsonl")
+    fixture.raw_articles(spark, sf_dir).write.json(path)
+    return sources.ingest_data(spark, path, "jsonl")
+
+
 @query
 def scan_json(spark, sf_dir):
     """One array of at most 5,000 records per file, over several lines."""
@@ -258,6 +265,11 @@ def lookup_document(spark, sf_dir):
     return _as_text(plans.lookup_document(stored, TITLE))
 
 
+@query
+def sample_document(spark, sf_dir):
+    return _as_text(plans.sample_document(_documents(spark, sf_dir), SEED))
+
+
 @query
 def lookup_analytics(spark, sf_dir):
     return plans.lookup_analytics(analytics(spark, sf_dir), TITLE)

@@ -92,7 +92,9 @@ def test_documents_choose_their_plan_by_the_counts(spark, size):
 
 
 def test_sample_is_one_of_the_documents(spark):
-    documents = spark.range(20).select(F.col("id").alias("article_name"))
-    seen = {sample_document(documents, seed).first()[0] for seed in range(8)}
-    assert seen <= set(range(20)) and len(seen) > 1
+    documents = spark.range(20).select(
+        F.concat(F.lit("t"), "id").alias("article_name"), F.lit(0).alias("part"))
+    seen = [sample_document(documents, seed).first()[0] for seed in range(8)]
+    assert set(seen) <= {f"t{i}" for i in range(20)} and len(set(seen)) > 1
+    assert seen[3] == sample_document(documents.repartition(7), 3).first()[0]
     assert sample_document(documents).count() == 1

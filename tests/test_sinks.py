@@ -163,7 +163,7 @@ def test_build_tables(spark, tmp_path):
     report = build_tables(spark, str(tmp_path / "views.csv"), str(corpus), target)
     assert set(child.name for child in _children(spark)) == before
     assert (report.raw_pageviews, report.kept_pageviews) == (4, 3)
-    assert (report.raw_articles, report.readable_articles) == (6, 3)
+    assert (report.raw_articles, report.viewed_articles) == (6, 2)
 
     stored = {n: sources.read_table(spark, p) for n, p in report.paths.items()}
     documents = {r.article_name: r for r in stored["article_documents"].collect()}

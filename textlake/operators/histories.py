@@ -59,28 +59,24 @@ def _split_parts(df: DataFrame, key: str, max_entries: int) -> DataFrame:
     over the days of the key, at most one row per calendar day) plus those before
     it on its own day (a running sum over the ranks of that day).
     """
-    counted = df.groupBy(key, *ENTRY).agg(F.count(F.lit(1)).alias("copies"))
+    day = F.struct(F.col(key).alias("key"), "date")
+    counted = df.groupBy(day.alias("day"), "rank", "views").agg(F.count(F.lit(1)).alias("copies"))
 
     before = (Window.unboundedPreceding, -1)
-    in_history = Window.partitionBy(key).orderBy("date").rowsBetween(*before)
+    in_history = Window.partitionBy("day.key").orderBy("day.date").rowsBetween(*before)
+    in_day = Window.partitionBy("day").orderBy("rank", "views").rowsBetween(*before)
     days = (
-        counted.groupBy(key, "date").agg(F.sum("copies").alias("day_entries"))
-        .withColumn("day_start", F.coalesce(F.sum("day_entries").over(in_history), F.lit(0)))
-        .select(F.col(key).alias("day_key"), F.col("date").alias("day_date"), "day_start")
-    )
-
-    in_day = (
-        Window.partitionBy(key, "date")
-        .orderBy("rank", "views")
-        .rowsBetween(*before)
+        counted.groupBy("day").agg(F.sum("copies").alias("entries"))
+        .select("day", F.coalesce(F.sum("entries").over(in_history), F.lit(0)).alias("day_start"))
     )
+    # Two days are the same struct also where a field of both is NULL.
     start = F.col("day_start") + F.col("in_day")
     placed = (
         counted
         .withColumn("in_day", F.coalesce(F.sum("copies").over(in_day), F.lit(0)))
-        .join(days, F.col(key).eqNullSafe(F.col("day_key"))
-              & F.col("date").eqNullSafe(F.col("day_date")))
-        .select(key, *ENTRY, start.alias("start"), (start + F.col("copies")).alias("end"))
+        .join(days, "day")
+        .select(F.col("day.key").alias(key), F.col("day.date").alias("date"), "rank", "views",
+                start.alias("start"), (start + F.col("copies")).alias("end"))
     )
 
     # A run of copies may reach over several parts; each takes its share.

@@ -6,6 +6,7 @@ from textlake.plans.tables import (
     article_documents,
     clean_articles,
     clean_pageviews,
+    entry_counts,
     rankings,
     unique_articles,
 )
@@ -27,6 +28,7 @@ __all__ = [
     "clean_pageviews",
     "corpus_counts",
     "corrupt_records",
+    "entry_counts",
     "lookup_analytics",
     "lookup_document",
     "pageview_quality",

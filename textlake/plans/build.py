@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from textlake.operators import keep_matching
 from textlake.plans.tables import (
     analytics,
     article_documents,
     clean_articles,
     clean_pageviews,
+    entry_counts,
     rankings,
 )
+from textlake.schemas import KEY
 from textlake.sinks import write_analytics, write_documents, write_rankings
-from textlake.sources import read_articles, read_pageviews, read_table
-from textlake.workspace import fresh_path, temporary
+from textlake.sources import read_articles, read_pageviews
+from textlake.workspace import land, temporary
 
-TABLES = {
+_WRITERS = {
     "article_rankings": write_rankings,
     "article_analytics": write_analytics,
     "article_documents": write_documents,
@@ -33,7 +36,13 @@ class BuildReport:
     raw_pageviews: int
     kept_pageviews: int
     raw_articles: int
-    readable_articles: int
+    viewed_articles: int
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """`df` with its rows counted by the job that reads it."""
+    observation = Observation()
+    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
 def build_tables(
@@ -46,41 +55,37 @@ def build_tables(
 ) -> BuildReport:
     """Read both raw inputs once, and write the three tables below `target`.
 
-    The raw text is parsed once into clean columnar tables in the shared folder,
-    which are deleted at the end; everything after reads those. The row counts
-    ride on these two jobs. They have no shuffle, so a lost executor cannot count
-    a row twice.
+    The raw text becomes two clean columnar tables in the shared folder, of which
+    the corpus holds only the viewed articles; everything after reads those, and
+    they are deleted at the end. The row counts ride on these two jobs, which
+    have no shuffle (unless the viewed titles are too many to broadcast), so that
+    a lost executor does not count a row twice.
+
+    Appending again adds the rows again; use ``mode="overwrite"`` to rerun.
     """
     with temporary(spark):
-        return _build(spark, pageviews_path, articles_path, target, mode, articles_filetype)
-
-
-def _build(spark, pageviews_path, articles_path, target, mode, articles_filetype) -> BuildReport:
-    n = F.count(F.lit(1))
-    seen_views, kept_views = Observation("raw_pageviews"), Observation("kept_pageviews")
-    views_path = fresh_path(spark, "pageviews")
-    raw = read_pageviews(spark, pageviews_path).observe(seen_views, n.alias("rows"))
-    clean_pageviews(raw).observe(kept_views, n.alias("rows")).write.parquet(views_path)
-
-    seen_articles, kept_articles = Observation("raw_articles"), Observation("readable_articles")
-    articles_clean_path = fresh_path(spark, "articles")
-    raw = read_articles(spark, articles_path, articles_filetype).observe(seen_articles, n.alias("rows"))
-    clean_articles(raw).observe(kept_articles, n.alias("rows")).write.parquet(articles_clean_path)
-
-    pageviews = read_table(spark, views_path)
-    articles = read_table(spark, articles_clean_path)
-    products = {
-        "article_rankings": rankings(pageviews),
-        "article_analytics": analytics(pageviews),
-        "article_documents": article_documents(pageviews, articles),
-    }
-    paths = {name: f"{target.rstrip('/')}/{name}" for name in TABLES}
-    for name, write in TABLES.items():
-        write(products[name], paths[name], mode)
+        raw, raw_views = _counted(read_pageviews(spark, pageviews_path))
+        clean, kept_views = _counted(clean_pageviews(raw))
+        pageviews = land(clean, "pageviews")
+        counts = entry_counts(pageviews)
+
+        raw, raw_texts = _counted(read_articles(spark, articles_path, articles_filetype))
+        viewed, viewed_texts = _counted(keep_matching(clean_articles(raw), counts, [KEY]))
+        articles = land(viewed, "articles")
+
+        products = {
+            "article_rankings": rankings(pageviews),
+            "article_analytics": analytics(pageviews),
+            "article_documents": article_documents(pageviews, articles, counts),
+        }
+        paths = {name: f"{target.rstrip('/')}/{name}" for name in products}
+        for name, table in products.items():
+            _WRITERS[name](table, paths[name], mode)
+
     return BuildReport(
         paths=paths,
-        raw_pageviews=seen_views.get["rows"],
+        raw_pageviews=raw_views.get["rows"],
         kept_pageviews=kept_views.get["rows"],
-        raw_articles=seen_articles.get["rows"],
-        readable_articles=kept_articles.get["rows"],
+        raw_articles=raw_texts.get["rows"],
+        viewed_articles=viewed_texts.get["rows"],
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -38,5 +39,12 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def sample_document(documents: DataFrame, seed: int | None = None) -> DataFrame:
-    """One document chosen at random, without gathering the others."""
-    return documents.orderBy(F.rand(seed)).limit(1)
+    """One document chosen at random, without gathering the others.
+
+    The draw depends on the seed and the key only, so that the same seed gives
+    the same document however the table is partitioned.
+    """
+    if seed is None:
+        seed = random.getrandbits(63)
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), KEY, F.col("part").cast("string")))
+    return documents.orderBy(draw).limit(1)

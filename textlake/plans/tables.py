@@ -72,22 +72,28 @@ def analytics(pageviews: DataFrame) -> DataFrame:
     ])
 
 
+def entry_counts(pageviews: DataFrame) -> DataFrame:
+    """Every key with the number `n` of its entries, as a table of known size."""
+    return land(pageviews.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")), "entry-counts")
+
+
 def article_documents(
     pageviews: DataFrame,
     articles: DataFrame,
+    counts: DataFrame | None = None,
     max_entries: int = MAX_ENTRIES,
     order_by: str = "url",
     tie_breakers: Sequence[str] = ("name",),
 ) -> DataFrame:
     """One document per viewed article: ordered history arrays and article text.
 
-    `pageviews` is read twice, so give a stored table. The counts per key are
-    landed first: they decide whether some history must be split, and as a table
-    of known size they cut the corpus down to the viewed articles before it is
-    shuffled. Histories are joined after they are gathered, one row per document
-    instead of one per day.
+    `pageviews` is read twice, so give a stored table. The `entry_counts` are made
+    first: they decide whether some history must be split, and cut the corpus
+    down to the viewed articles before it is shuffled. Histories are joined after
+    they are gathered, one row per document instead of one per day.
     """
-    counts = land(pageviews.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")), "title-counts")
+    if counts is None:
+        counts = entry_counts(pageviews)
     histories = article_histories(
         pageviews, KEY, needs_split(counts, max_entries), max_entries)
     viewed = unique_articles(keep_matching(articles, counts, [KEY]), order_by, tie_breakers)
