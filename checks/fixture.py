@@ -1,9 +1,13 @@
 """Raw pageviews and a raw article corpus, derived from the test tables.
 
-A part name plays the title and its line items the daily views; a day's line
-items of an order number divisible by 97 make that title's count unreadable. The
-corpus has one record per part, so titles repeat; the names starting with `hot `
-are left out of it, and one title that nobody views is added.
+Parts: a part name plays the title and its line items the daily views; a day's
+line items of an order number divisible by 97 make that title's count unreadable.
+The corpus has one record per part, so that few titles repeat often; the names
+starting with `hot ` are left out of it, and one title that nobody views is added.
+
+Orders: a customer name, written in three ways, plays the title and each order one
+count of views, unreadable above a price. The corpus has two records per customer
+outside of one market segment. Titles grow with the tables here.
 """
 
 from __future__ import annotations
@@ -82,3 +86,44 @@ def articles(spark: SparkSession, sf_dir: str, keep: str = "first") -> DataFrame
     """The record with the smallest (or largest) id of every key."""
     kept = deduplicate_df(corpus(spark, sf_dir), [KEY], "id", keep)
     return kept.select(KEY, *CORPUS_COLUMNS)
+
+
+def raw_order_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """article, date, views (text, some of it corrupt), rank; one row per order."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    name, price = F.col("c_name"), F.col("o_totalprice")
+    return orders.join(customers, "c_custkey").select(
+        F.when(F.col("o_orderstatus") == "F", F.upper(name))
+        .when(F.col("o_orderstatus") == "O", F.replace(name, F.lit("#"), F.lit("_#_")))
+        .otherwise(name).alias("article"),
+        F.col("o_orderdate").cast("date").alias("date"),
+        F.when(price > 490_000, "n/a")
+        .otherwise(F.floor(price).cast("string")).alias("views"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("rank"),
+    )
+
+
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, name, description, url, abstract; two records per customer."""
+    customers = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY")
+    url = F.concat(F.lit("https://example.org/customer/"), F.col("c_custkey").cast("string"))
+    return customers.select(
+        F.col("c_custkey").alias("id"),
+        F.explode(F.array(
+            F.struct(F.col("c_name").alias("name"), F.concat(url, F.lit("/b")).alias("url")),
+            F.struct(F.concat(F.upper("c_name"), F.lit("!")).alias("name"),
+                     F.concat(url, F.lit("/a")).alias("url")),
+        )).alias("record"),
+        F.col("c_mktsegment").alias("description"),
+        F.col("c_nationkey").cast("string").alias("abstract"),
+    ).select("id", "record.name", "description", "record.url", "abstract")
+
+
+def order_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_pageviews(raw_order_views(spark, sf_dir))
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of the customer corpus with its key."""
+    return clean_articles(raw_customers(spark, sf_dir))

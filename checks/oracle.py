@@ -52,6 +52,38 @@ analytics AS (
   FROM pageviews GROUP BY 1)
 """
 
+ORDER_VIEWS = rf"""
+WITH pv_raw AS (
+  SELECT CASE o_orderstatus WHEN 'F' THEN upper(c_name)
+                            WHEN 'O' THEN replace(c_name, '#', '_#_')
+                            ELSE c_name END AS article,
+         CAST(o_orderdate AS DATE) AS date,
+         CASE WHEN o_totalprice > 490000 THEN 'n/a'
+              ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END AS views,
+         CAST(substr(o_orderpriority, 1, 1) AS INT) AS rank
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+pageviews AS (
+  SELECT article, CAST(views AS BIGINT) AS views, date, rank,
+         {KEY_SQL.format("article")} AS article_name
+  FROM pv_raw WHERE regexp_matches(views, '^[0-9]+$')),
+art_raw AS (
+  SELECT c_name AS name, c_mktsegment AS description,
+         concat('https://example.org/customer/', CAST(c_custkey AS VARCHAR), '/b') AS url,
+         CAST(c_nationkey AS VARCHAR) AS abstract
+  FROM customer WHERE c_mktsegment <> 'MACHINERY'
+  UNION ALL
+  SELECT concat(upper(c_name), '!'), c_mktsegment,
+         concat('https://example.org/customer/', CAST(c_custkey AS VARCHAR), '/a'),
+         CAST(c_nationkey AS VARCHAR)
+  FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+art AS (SELECT *, {KEY_SQL.format("name")} AS article_name FROM art_raw),
+articles AS (
+  SELECT article_name, name, description, url, abstract
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY article_name ORDER BY url, name) AS rn
+        FROM art) z
+  WHERE rn = 1)
+"""
+
 
 def _history(entries: int) -> str:
     """article_name, part and the three arrays as text."""
@@ -70,6 +102,15 @@ DOCUMENT = f"""
 SELECT h.article_name, h.part, h.dates, h.views, h.ranks, a.description, a.url, a.abstract
 FROM {_history(MAX_ENTRIES)} h LEFT JOIN articles a ON h.article_name = a.article_name"""
 
+QUALITY = """
+SELECT (SELECT COUNT(*) FROM pv_raw) AS raw_rows, COUNT(*) AS kept_rows,
+       (SELECT COUNT(*) FROM pv_raw WHERE NOT regexp_matches(views, '^[0-9]+$')) AS corrupt_rows,
+       COUNT(*) FILTER (views IS NULL) AS overflow_rows,
+       COUNT(*) FILTER (article_name = '') AS empty_key_rows,
+       COUNT(DISTINCT article) AS distinct_titles,
+       COUNT(DISTINCT article_name) AS distinct_keys
+FROM pageviews"""
+
 SELECTS = {
     "scan_csv": "SELECT article, date, views, rank FROM pv_raw",
     "scan_csv_inferred": "SELECT article, date, views, rank FROM pv_raw",
@@ -81,14 +122,7 @@ SELECTS = {
         f"SELECT doc_id, {KEY_SQL.format('text')} AS text_key FROM documents",
     "row_count_drop": """
 SELECT (SELECT COUNT(*) FROM pv_raw) AS raw_rows, (SELECT COUNT(*) FROM pageviews) AS kept_rows""",
-    "quality_report": """
-SELECT (SELECT COUNT(*) FROM pv_raw) AS raw_rows, COUNT(*) AS kept_rows,
-       (SELECT COUNT(*) FROM pv_raw WHERE NOT regexp_matches(views, '^[0-9]+$')) AS corrupt_rows,
-       COUNT(*) FILTER (views IS NULL) AS overflow_rows,
-       COUNT(*) FILTER (article_name = '') AS empty_key_rows,
-       COUNT(DISTINCT article) AS distinct_titles,
-       COUNT(DISTINCT article_name) AS distinct_keys
-FROM pageviews""",
+    "quality_report": QUALITY,
     "distinct_count": "SELECT COUNT(DISTINCT article_name) AS n FROM pageviews",
     "bucket": "SELECT popularity_bucket, COUNT(*) AS n FROM ranked GROUP BY 1",
     "rankings": "SELECT article_name, views, popularity_bucket, date, rank FROM ranked",
@@ -182,4 +216,31 @@ SELECT 'article_documents', COUNT(DISTINCT article_name), CAST(SUM(views) AS BIG
 FROM pageviews""",
 }
 
+ORDER_SELECTS = {
+    "orders_quality": QUALITY,
+    "orders_analytics": """
+SELECT article_name, AVG(views) AS avg_views, MAX(views) AS max_views, MIN(rank) AS best_rank,
+       COUNT(DISTINCT date) AS total_days_ranked
+FROM pageviews GROUP BY 1""",
+    "orders_dedup": "SELECT article_name, name, description, url, abstract FROM articles",
+    "orders_join_left": """
+SELECT p.article_name, p.views, p.date, p.rank, a.name, a.url
+FROM pageviews p LEFT JOIN articles a ON p.article_name = a.article_name""",
+    "orders_join_full": """
+SELECT coalesce(p.article_name, a.article_name) AS article_name, p.views, p.date, p.rank,
+       a.name, a.url
+FROM pageviews p FULL JOIN articles a ON p.article_name = a.article_name""",
+    "orders_documents": DOCUMENT,
+    "orders_top_every_month": """
+SELECT year, month, article_name, total_views
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY year, month
+                                   ORDER BY total_views DESC, article_name) AS rn
+      FROM (SELECT CAST(EXTRACT(YEAR FROM date) AS INT) AS year,
+                   CAST(EXTRACT(MONTH FROM date) AS INT) AS month, article_name,
+                   CAST(SUM(views) AS BIGINT) AS total_views
+            FROM pageviews GROUP BY 1, 2, 3) t) u
+WHERE rn = 1""",
+}
+
 ORACLE_SQL = {name: VIEWS + sql for name, sql in SELECTS.items()}
+ORACLE_SQL.update((name, ORDER_VIEWS + sql) for name, sql in ORDER_SELECTS.items())

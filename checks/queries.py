@@ -305,6 +305,50 @@ def top_every_year(spark, sf_dir):
     return plans.top_articles_by_year(rankings(spark, sf_dir))
 
 
+# The same operators where the number of titles grows with the tables
+
+@query
+def orders_quality(spark, sf_dir):
+    return plans.pageview_quality(fixture.raw_order_views(spark, sf_dir))
+
+
+@query
+def orders_analytics(spark, sf_dir):
+    return plans.analytics(fixture.order_views(spark, sf_dir))
+
+
+@query
+def orders_dedup(spark, sf_dir):
+    return plans.unique_articles(fixture.customers(spark, sf_dir))
+
+
+def _orders_joined(spark, sf_dir, join_type):
+    articles = land(plans.unique_articles(fixture.customers(spark, sf_dir)), "articles")
+    joined = df_join(fixture.order_views(spark, sf_dir), articles, [KEY], join_type)
+    return joined.select(KEY, "views", "date", "rank", "name", "url")
+
+
+@query
+def orders_join_left(spark, sf_dir):
+    return _orders_joined(spark, sf_dir, "left")
+
+
+@query
+def orders_join_full(spark, sf_dir):
+    return _orders_joined(spark, sf_dir, "full")
+
+
+@query
+def orders_documents(spark, sf_dir):
+    pageviews = land(fixture.order_views(spark, sf_dir), "pageviews")
+    return _as_text(plans.article_documents(pageviews, fixture.customers(spark, sf_dir)))
+
+
+@query
+def orders_top_every_month(spark, sf_dir):
+    return plans.top_articles_by_month(plans.rankings(fixture.order_views(spark, sf_dir)))
+
+
 # Sinks: written, then read back
 
 @query
