@@ -78,7 +78,7 @@ def scan_json(spark, sf_dir):
     record = F.struct(*CORPUS_ORDER)
     (
         fixture.raw_articles(spark, sf_dir)
-        .groupBy((F.monotonically_increasing_id() / 5000).cast("bigint").alias("chunk"))
+        .groupBy(F.expr("monotonically_increasing_id() div 5000").alias("chunk"))
         .agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
         .select("value")
         .write.option("maxRecordsPerFile", 1).text(path)
@@ -178,45 +178,48 @@ def dedup_texts(spark, sf_dir):
 
 
 # Joins: the deduplicated side is landed, so that the join shuffles both sides
-# itself and adaptive execution can split a hot title.
+# itself and adaptive execution can split a hot title. Right and full joins read
+# the left side twice, so it is landed as well.
 
-def _joined(spark, sf_dir, join_type, land_left=False):
-    articles = land(fixture.articles(spark, sf_dir), "articles")
-    pageviews = fixture.pageviews(spark, sf_dir)
-    if land_left:  # right and full joins read the left side twice
+def _joined(pageviews, articles, join_type):
+    if join_type in ("right", "full"):
         pageviews = land(pageviews, "pageviews")
-    return df_join(pageviews, articles, [KEY], join_type)
+    return df_join(pageviews, land(articles, "articles"), [KEY], join_type)
+
+
+def _parts_joined(spark, sf_dir, join_type):
+    return _joined(fixture.pageviews(spark, sf_dir), fixture.articles(spark, sf_dir), join_type)
 
 
 @query
 def join_left(spark, sf_dir):
-    return _joined(spark, sf_dir, "left").select(
+    return _parts_joined(spark, sf_dir, "left").select(
         KEY, "article", "views", "date", "rank", "name", "description", "url", "abstract")
 
 
 @query
 def join_inner(spark, sf_dir):
-    return _joined(spark, sf_dir, "inner").select(KEY, "views", "date", "rank", "url")
+    return _parts_joined(spark, sf_dir, "inner").select(KEY, "views", "date", "rank", "url")
 
 
 @query
 def join_right(spark, sf_dir):
-    return _joined(spark, sf_dir, "right", land_left=True).select(KEY, "views", "date", "rank", "url")
+    return _parts_joined(spark, sf_dir, "right").select(KEY, "views", "date", "rank", "url")
 
 
 @query
 def join_full(spark, sf_dir):
-    return _joined(spark, sf_dir, "full", land_left=True).select(KEY, "views", "date", "rank", "url")
+    return _parts_joined(spark, sf_dir, "full").select(KEY, "views", "date", "rank", "url")
 
 
 @query
 def join_semi(spark, sf_dir):
-    return _joined(spark, sf_dir, "left_semi").select(KEY, "views", "date", "rank")
+    return _parts_joined(spark, sf_dir, "left_semi").select(KEY, "views", "date", "rank")
 
 
 @query
 def join_anti(spark, sf_dir):
-    return _joined(spark, sf_dir, "left_anti").select(KEY, "views", "date", "rank")
+    return _parts_joined(spark, sf_dir, "left_anti").select(KEY, "views", "date", "rank")
 
 
 # Aggregates and documents
@@ -323,8 +326,8 @@ def orders_dedup(spark, sf_dir):
 
 
 def _orders_joined(spark, sf_dir, join_type):
-    articles = land(plans.unique_articles(fixture.customers(spark, sf_dir)), "articles")
-    joined = df_join(fixture.order_views(spark, sf_dir), articles, [KEY], join_type)
+    articles = plans.unique_articles(fixture.customers(spark, sf_dir))
+    joined = _joined(fixture.order_views(spark, sf_dir), articles, join_type)
     return joined.select(KEY, "views", "date", "rank", "name", "url")
 
 

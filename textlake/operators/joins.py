@@ -23,7 +23,8 @@ def df_join(
     left of inner, left, semi and anti joins, but cannot do so where the right
     side must keep its unmatched rows. A right or full join is therefore made of
     an inner or left join plus the right rows whose key the left does not have;
-    for the second part only the distinct left keys are shuffled.
+    for the second part only the distinct left keys are shuffled. They read the
+    left side twice, so give a stored table there.
     """
     keys = list(join_columns)
     if not keys:
