@@ -86,7 +86,7 @@ def test_documents_choose_their_plan_by_the_counts(spark, size):
     assert {r.url for r in documents.where("article_name = 'hot'").collect()} == {"u1"}
     assert {r.url for r in documents.where("article_name <> 'hot'").collect()} == {None}
     hot = lookup_document(documents, "H-o_t").collect()
-    assert [r.part for r in hot] == list(range(len(hot)))
+    assert sorted(r.part for r in hot) == list(range(len(hot)))
     assert sum(len(r.date) for r in hot) == sum(r[0] == "hot" for r in rows)
     assert lookup_document(documents, "absent").isEmpty()
 

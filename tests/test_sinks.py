@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 
 from textlake import schemas, sinks, sources
-from textlake.plans import build_tables, lookup_analytics, top_article_of_month
+from textlake.__main__ import main
+from textlake.plans import build_tables, load_stores, lookup_analytics, top_article_of_month
 from textlake.sinks.stores import jdbc_options, relational_rows
 from textlake.workspace import fresh_path, land, shared_dir, temporary
 
@@ -126,6 +127,33 @@ def test_store_reads(spark, monkeypatch):
     assert seen["format"] == "mongodb"
 
 
+def test_load_stores(spark, ranked, tmp_path, monkeypatch):
+    stats = spark.createDataFrame([("a", 1.5, 2, 1, 3)], schemas.ANALYTICS)
+    documents = spark.createDataFrame([("a", 0, [], [], [], None, None, None)], schemas.DOCUMENTS)
+    paths = {n: str(tmp_path / n)
+             for n in ("article_rankings", "article_analytics", "article_documents")}
+    sinks.write_rankings(ranked, paths["article_rankings"])
+    sinks.write_analytics(stats, paths["article_analytics"])
+    sinks.write_documents(documents, paths["article_documents"])
+
+    saved, create = [], DataFrameWriter.__init__
+    seen = recorded(monkeypatch, DataFrameWriter)
+    monkeypatch.setattr(DataFrameWriter, "__init__",
+                        lambda self, df: (seen["options"].clear(), create(self, df))[1])
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: saved.append(
+        (seen["format"], dict(seen["options"]), self._df.dtypes)))
+    load_stores(spark, paths, {"host": "h", "dbname": "x"}, "mongodb://h/")
+    (f1, o1, t1), (f2, o2, t2), (f3, o3, t3) = saved
+    assert (f1, o1["dbtable"], f2, o2["dbtable"]) == (
+        "jdbc", "article_rankings", "jdbc", "article_analytics")
+    assert t1 == [("article_name", "string"), ("views", "bigint"),
+                  ("popularity_bucket", "string"), ("date", "date"), ("rank", "int")]
+    assert t2 == [("article_name", "string"), ("avg_views", "double"), ("max_views", "double"),
+                  ("best_rank", "int"), ("total_days_ranked", "int")]
+    assert (f3, o3["idFieldList"]) == ("mongodb", "article_name,part")
+    assert [name for name, _ in t3] == schemas.DOCUMENTS.names
+
+
 # Workspace
 
 def exists(spark, path):
@@ -147,7 +175,7 @@ def test_land_and_temporary(spark):
 
 # End to end
 
-def test_build_tables(spark, tmp_path):
+def test_build_tables(spark, tmp_path, capsys):
     (tmp_path / "views.csv").write_text(
         "rank,article,views,date\n"
         "1,Main_Page,20,2016-12-02\n2,AC/DC,oops,2016-12-02\n"
@@ -168,16 +196,17 @@ def test_build_tables(spark, tmp_path):
     stored = {n: sources.read_table(spark, p) for n, p in report.paths.items()}
     documents = {r.article_name: r for r in stored["article_documents"].collect()}
     assert set(documents) == {"mainpage", "acdc"}
-    main = documents["mainpage"]
-    assert (main.views, main["rank"], main.url) == ([20, 7], [1, 2], "u0")
-    assert main.date == [dt.date(2016, 12, 2), dt.date(2016, 12, 3)]
+    first = documents["mainpage"]
+    assert (first.views, first["rank"], first.url) == ([20, 7], [1, 2], "u0")
+    assert first.date == [dt.date(2016, 12, 2), dt.date(2016, 12, 3)]
     assert documents["acdc"].url is None
     stats = lookup_analytics(stored["article_analytics"], "Main Page").first()
     assert stats == ("mainpage", 13.5, 20, 1, 2)
     top = top_article_of_month(stored["article_rankings"], 2016, 12).first()
     assert top == (2016, 12, "acdc", 200000)
 
-    build_tables(spark, str(tmp_path / "views.csv"), str(corpus), target, mode="overwrite")
+    main([str(tmp_path / "views.csv"), str(corpus), target, "--mode", "overwrite"])
+    assert json.loads(capsys.readouterr().out)["kept_pageviews"] == 3
     assert sources.read_table(spark, report.paths["article_analytics"]).count() == 2
     build_tables(spark, str(tmp_path / "views.csv"), str(corpus), target)
     assert sources.read_table(spark, report.paths["article_analytics"]).count() == 4

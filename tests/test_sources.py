@@ -62,6 +62,13 @@ def test_folder_of_files(spark, csv, tmp_path):
     assert read_pageviews(spark, str(tmp_path)).count() == 4
 
 
+def test_files_of_a_folder_must_agree_on_their_header(spark, csv, tmp_path):
+    csv(PLAIN, "a.csv")
+    csv("article,rank,views,date\nA,1,5,2016-12-02\n", "b.csv")
+    with pytest.raises(Exception, match="header"):
+        read_pageviews(spark, str(tmp_path)).collect()
+
+
 ARTICLE = {"name": "A b", "url": "u", "abstract": "x", "description": "d", "extra": {"n": 1}}
 
 

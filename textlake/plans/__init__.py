@@ -1,4 +1,4 @@
-from textlake.plans.build import BuildReport, build_tables
+from textlake.plans.build import BuildReport, build_tables, load_stores
 from textlake.plans.lookup import lookup_analytics, lookup_document, preview, sample_document
 from textlake.plans.quality import corpus_counts, corrupt_records, pageview_quality
 from textlake.plans.tables import (
@@ -29,6 +29,7 @@ __all__ = [
     "corpus_counts",
     "corrupt_records",
     "entry_counts",
+    "load_stores",
     "lookup_analytics",
     "lookup_document",
     "pageview_quality",

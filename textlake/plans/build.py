@@ -16,9 +16,15 @@ from textlake.plans.tables import (
     entry_counts,
     rankings,
 )
-from textlake.schemas import KEY
-from textlake.sinks import write_analytics, write_documents, write_rankings
-from textlake.sources import read_articles, read_pageviews
+from textlake.schemas import ANALYTICS_SQL, KEY, RANKINGS_SQL
+from textlake.sinks import (
+    load_to_postgres,
+    upload_to_mongo,
+    write_analytics,
+    write_documents,
+    write_rankings,
+)
+from textlake.sources import read_articles, read_pageviews, read_table
 from textlake.workspace import land, temporary
 
 _WRITERS = {
@@ -89,3 +95,27 @@ def build_tables(
         raw_articles=raw_texts.get["rows"],
         viewed_articles=viewed_texts.get["rows"],
     )
+
+
+def load_stores(
+    spark: SparkSession,
+    paths: dict[str, str],
+    db_config: dict,
+    uri: str,
+    db_name: str = "textlake",
+    collection_name: str = "articles_data",
+    mode: str = "append",
+) -> None:
+    """Copy the tables of a build to the relational and the document store.
+
+    Documents replace stored ones of the same key and part, so that they are not
+    doubled by a rerun.
+    """
+    for name, types in (
+        ("article_rankings", RANKINGS_SQL), ("article_analytics", ANALYTICS_SQL),
+    ):
+        table = read_table(spark, paths[name])
+        load_to_postgres(table, list(types), types, db_config, name, mode=mode)
+    documents = read_table(spark, paths["article_documents"])
+    upload_to_mongo(
+        documents, db_name, collection_name, uri, mode=mode, replace_on=[KEY, "part"])

@@ -20,9 +20,9 @@ def _article(df: DataFrame, title: str) -> DataFrame:
 def lookup_document(documents: DataFrame, title: str) -> DataFrame:
     """The document of an article, given its title or its key.
 
-    A history too long for one document comes as several rows in `part` order.
+    A history too long for one document comes as several rows, numbered by `part`.
     """
-    return _article(documents, title).orderBy("part")
+    return _article(documents, title)
 
 
 def lookup_analytics(analytics: DataFrame, title: str) -> DataFrame:

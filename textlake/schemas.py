@@ -32,6 +32,22 @@ RANKINGS = T.StructType([
     T.StructField("rank", T.IntegerType()),
 ])
 
+# The SQL column types of the two relational tables.
+RANKINGS_SQL = {
+    KEY: "TEXT",
+    "views": "BIGINT",
+    "popularity_bucket": "TEXT",
+    "date": "DATE",
+    "rank": "INT",
+}
+ANALYTICS_SQL = {
+    KEY: "TEXT",
+    "avg_views": "FLOAT",
+    "max_views": "FLOAT",
+    "best_rank": "INT",
+    "total_days_ranked": "INT",
+}
+
 ANALYTICS = T.StructType([
     T.StructField(KEY, T.StringType()),
     T.StructField("avg_views", T.DoubleType()),

@@ -28,7 +28,8 @@ def ingest_data(
     Without a schema the types are inferred, which reads the input twice. With
     one, the input is read once and unused fields are never materialised. Further
     keyword arguments are passed to the Spark reader, e.g. ``escape='"'`` for
-    CSV files that double their quotes.
+    CSV files that double their quotes. A json file is one task and is parsed as
+    a whole, so keep such files small; the other types are split.
     """
     kind = filetype.lower()
     if kind not in _READERS:
@@ -46,10 +47,12 @@ def read_pageviews(spark: SparkSession, filepath: str | list[str], **options) ->
     """Daily view counts from CSV in the layout of `schemas.PAGEVIEWS`.
 
     Columns are found by header name, in any order: reading them all as text
-    needs only the header line, where inference would scan the files. A value
-    that does not fit its type becomes NULL.
+    needs only the header line, where inference would scan the files. Files of
+    one folder must have the same header; another one is an error. A value that
+    does not fit its type becomes NULL.
     """
-    text = ingest_data(spark, filepath, "csv", **{"inferSchema": False, **options})
+    text = ingest_data(
+        spark, filepath, "csv", **{"inferSchema": False, "enforceSchema": False, **options})
     return text.select(*[
         F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.PAGEVIEWS
     ])
