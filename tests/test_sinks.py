@@ -173,6 +173,19 @@ def test_land_and_temporary(spark):
     assert outside.count() == 2
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///scratch/"}
+    assert shared_dir(Session(**shared)) == "hdfs:///scratch"
+    with pytest.raises(RuntimeError):
+        shared_dir(Session(**{"spark.master": "yarn"}))
+    local = {"spark.master": "local[2]"}
+    assert shared_dir(Session(**local)) == shared_dir(Session(**local))
+
+
 # End to end
 
 def test_build_tables(spark, tmp_path, capsys):
@@ -214,5 +227,5 @@ def test_build_tables(spark, tmp_path, capsys):
 
 def _children(spark):
     import pathlib
-    folder = pathlib.Path(shared_dir(spark)) / "textlake"
+    folder = pathlib.Path(shared_dir(spark)) / "textlake" / spark.conf.get("spark.app.id")
     return list(folder.iterdir()) if folder.exists() else []

@@ -4,7 +4,8 @@ An intermediate that several branches read, or that must not be recomputed when
 executors go away, is written as Parquet below the folder that the session names
 in ``spark.checkpoint.dir``. The file sizes of such a table are known to Catalyst
 before the next query starts, so it broadcasts the table only when it is below
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise. All of it is
+deleted when the application exits, or earlier by `temporary`.
 """
 
 from __future__ import annotations
@@ -37,9 +38,28 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+_application_dirs: set[str] = set()
+
+
+def _application_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder; deleted when it exits."""
+    path = f"{shared_dir(spark)}/textlake/{spark.conf.get('spark.app.id')}"
+    if path not in _application_dirs:
+        fs, hadoop_path = _file_system(spark, path)
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)
+        _application_dirs.add(path)
+    return path
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    path = f"{shared_dir(spark)}/textlake/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses, for this run only."""
+    path = f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
     scope = _scope.get()
     if scope is not None:
         scope.append(path)
@@ -55,9 +75,9 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scope.reset(token)
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        for path in map(hadoop.Path, paths):
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        for path in paths:
+            fs, hadoop_path = _file_system(spark, path)
+            fs.delete(hadoop_path, True)
 
 
 def land(df: DataFrame, label: str) -> DataFrame:
