@@ -102,6 +102,11 @@ DOCUMENT = f"""
 SELECT h.article_name, h.part, h.dates, h.views, h.ranks, a.description, a.url, a.abstract
 FROM {_history(MAX_ENTRIES)} h LEFT JOIN articles a ON h.article_name = a.article_name"""
 
+TOP_YEAR = """
+SELECT 1997 AS year, article_name, CAST(SUM(views) AS BIGINT) AS total_views
+FROM ranked WHERE date >= DATE '1997-01-01' AND date < DATE '1998-01-01'
+GROUP BY article_name ORDER BY total_views DESC, article_name LIMIT 1"""
+
 QUALITY = """
 SELECT (SELECT COUNT(*) FROM pv_raw) AS raw_rows, COUNT(*) AS kept_rows,
        (SELECT COUNT(*) FROM pv_raw WHERE NOT regexp_matches(views, '^[0-9]+$')) AS corrupt_rows,
@@ -175,10 +180,8 @@ SELECT article_name, views, rank FROM ranked WHERE date = DATE '1997-09-21' AND
 SELECT 1997 AS year, 9 AS month, article_name, CAST(SUM(views) AS BIGINT) AS total_views
 FROM ranked WHERE date >= DATE '1997-09-01' AND date < DATE '1997-10-01'
 GROUP BY article_name ORDER BY total_views DESC, article_name LIMIT 1""",
-    "top_year": """
-SELECT 1997 AS year, article_name, CAST(SUM(views) AS BIGINT) AS total_views
-FROM ranked WHERE date >= DATE '1997-01-01' AND date < DATE '1998-01-01'
-GROUP BY article_name ORDER BY total_views DESC, article_name LIMIT 1""",
+    "top_year": TOP_YEAR,
+    "top_year_sql": TOP_YEAR,
     "top_every_day": "SELECT date, article_name, views, rank FROM ranked WHERE rank = 1",
     "top_every_month": """
 SELECT year, month, article_name, total_views

@@ -19,7 +19,6 @@ from textlake.operators import (
     df_join,
     groupby_expr,
 )
-from textlake.plans.build import build_tables
 from textlake.schemas import ANALYTICS, ARTICLES, DOCUMENTS, KEY, RANKINGS
 from textlake.workspace import fresh_path, land
 
@@ -293,6 +292,21 @@ def top_year(spark, sf_dir):
     return plans.top_article_of_year(rankings(spark, sf_dir), YEAR)
 
 
+@query
+def top_year_sql(spark, sf_dir):
+    """The year query as SQL text with parameters, on the stored table."""
+    path = fresh_path(spark, "rankings")
+    sinks.write_rankings(rankings(spark, sf_dir), path)
+    plans.open_tables(spark, {"article_rankings": path})
+    return spark.sql("""
+        SELECT CAST(:year AS INT) AS year, article_name, SUM(views) AS total_views
+        FROM article_rankings
+        WHERE EXTRACT(YEAR FROM date) = :year
+        GROUP BY article_name
+        ORDER BY total_views DESC, article_name
+        LIMIT 1""", args={"year": YEAR})
+
+
 @query
 def top_every_day(spark, sf_dir):
     return plans.top_articles_by_day(rankings(spark, sf_dir))
@@ -388,8 +402,8 @@ def end_to_end(spark, sf_dir):
     views, corpus = fresh_path(spark, "pageviews-csv"), fresh_path(spark, "articles-jsonl")
     fixture.raw_pageviews(spark, sf_dir).write.option("header", True).csv(views)
     fixture.raw_articles(spark, sf_dir).write.json(corpus)
-    paths = build_tables(spark, views, corpus, fresh_path(spark, "tables")).paths
-    stored = {name: sources.read_table(spark, path) for name, path in paths.items()}
+    report = plans.build_tables(spark, views, corpus, fresh_path(spark, "tables"))
+    stored = plans.open_tables(spark, report.paths)
 
     def totals(name, views, texts):
         return stored[name].agg(

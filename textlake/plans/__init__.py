@@ -1,4 +1,4 @@
-from textlake.plans.build import BuildReport, build_tables, load_stores
+from textlake.plans.build import BuildReport, build_tables, load_stores, open_tables
 from textlake.plans.lookup import lookup_analytics, lookup_document, preview, sample_document
 from textlake.plans.quality import corpus_counts, corrupt_records, pageview_quality
 from textlake.plans.tables import (
@@ -32,6 +32,7 @@ __all__ = [
     "load_stores",
     "lookup_analytics",
     "lookup_document",
+    "open_tables",
     "pageview_quality",
     "preview",
     "rankings",

@@ -97,6 +97,14 @@ def build_tables(
     )
 
 
+def open_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The tables of a build by name, also as temporary views for SQL text."""
+    tables = {name: read_table(spark, path) for name, path in paths.items()}
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+    return tables
+
+
 def load_stores(
     spark: SparkSession,
     paths: dict[str, str],
