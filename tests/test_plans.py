@@ -10,6 +10,7 @@ import __spark_entry__ as contract
 from textlake import schemas, sinks, sources
 from textlake.operators import article_histories, deduplicate_df, df_join, keep_matching
 from textlake.plans import (
+    article_documents,
     lookup_document,
     top_article_of_month,
     top_articles_by_month,
@@ -119,6 +120,25 @@ def test_a_hot_key_is_split(spark, skewed, how):
     assert sorted(map(str, rows)) == sorted(map(str, expected))
 
 
+def test_the_parts_of_a_hot_history_are_spread(spark):
+    id_ = F.col("id")
+    pageviews = land(spark.range(200_000).select(
+        F.when(id_ % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), id_ % 5000)).alias("article_name"),
+        F.date_add(F.lit("2000-01-01").cast("date"), (id_ % 7000).cast("int")).alias("date"),
+        id_.alias("views"), F.lit(1).alias("rank")), "views")
+    articles = land(spark.range(3000).select(
+        *[F.concat(F.lit("k"), id_).alias(c)
+          for c in ("article_name", "name", "description", "url", "abstract")]), "articles")
+    with settings(spark, **{**SKEW, "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "64KB",
+                            "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64KB"}):
+        documents = article_documents(pageviews, articles, max_entries=500)
+        sizes = [(r.article_name, len(r.date)) for r in documents.collect()]
+        assert "skew=true" in plan(documents)
+    assert sum(n for _, n in sizes) == 200_000
+    assert max(n for _, n in sizes) == 500
+    assert len([k for k, _ in sizes if k == "hot"]) == -(-66_667 // 500)
+
+
 def test_small_keys_are_broadcast_and_large_ones_are_not(spark, skewed):
     left, _ = skewed
     keys = land(left.select("k").distinct(), "keys")

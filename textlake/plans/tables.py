@@ -94,8 +94,12 @@ def article_documents(
     """
     if counts is None:
         counts = entry_counts(pageviews)
-    histories = article_histories(
-        pageviews, KEY, needs_split(counts, max_entries), max_entries)
+    split = needs_split(counts, max_entries)
+    histories = article_histories(pageviews, KEY, split, max_entries)
     viewed = unique_articles(keep_matching(articles, counts, [KEY]), order_by, tie_breakers)
-    joined = df_join(histories, viewed.select(KEY, "description", "url", "abstract"), [KEY])
-    return joined.select(*schemas.DOCUMENTS.names)
+    texts = viewed.select(KEY, "description", "url", "abstract")
+    if split:
+        # The parts of a hot key meet in this join. They can be spread over
+        # tasks only if the other side has a shuffle of its own.
+        texts = land(texts, "viewed-articles")
+    return df_join(histories, texts, [KEY]).select(*schemas.DOCUMENTS.names)
