@@ -72,12 +72,12 @@ def scan_jsonl_inferred(spark, sf_dir):
 
 @query
 def scan_json(spark, sf_dir):
-    """One array of at most 5,000 records per file, over several lines."""
+    """One array of at most 100,000 records per file, over several lines."""
     path = fresh_path(spark, "articles-json")
     record = F.struct(*CORPUS_ORDER)
     (
         fixture.raw_articles(spark, sf_dir)
-        .groupBy(F.expr("monotonically_increasing_id() div 5000").alias("chunk"))
+        .groupBy(F.expr("monotonically_increasing_id() div 100000").alias("chunk"))
         .agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
         .select("value")
         .write.option("maxRecordsPerFile", 1).text(path)

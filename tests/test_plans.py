@@ -149,7 +149,15 @@ def test_small_keys_are_broadcast_and_large_ones_are_not(spark, skewed):
         assert "BroadcastHashJoin" not in plan(keep_matching(left, keys, ["k"]))
 
 
-def test_split_histories_count_copies_before_the_shuffle(spark):
-    df = spark.createDataFrame([], "article_name string, date date, views long, rank int")
-    text = plan(article_histories(df, "article_name", split=True))
-    assert "partial_count" in text and "partial_sum" in text
+def test_split_histories_cut_a_key_into_slices(spark):
+    """Also a key whose entries are all of one day, here without a date."""
+    id_ = F.col("id")
+    df = land(spark.range(120_000).select(
+        F.lit("hot").alias("article_name"), F.lit(None).cast("date").alias("date"),
+        (id_ % 40_000).alias("views"), F.lit(None).cast("int").alias("rank")), "views")
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false",
+                  spark__sql__shuffle__partitions=16):
+        parts = article_histories(df, "article_name", split=True, max_entries=1000).collect()
+    assert sorted((r.part, len(r.views)) for r in parts) == [(i, 1000) for i in range(120)]
+    views = [v for r in sorted(parts, key=lambda r: r.part) for v in r.views]
+    assert views == sorted(list(range(40_000)) * 3)

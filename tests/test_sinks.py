@@ -7,6 +7,7 @@ to the call that Spark would execute.
 import datetime as dt
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
@@ -91,6 +92,24 @@ def test_relational_write(spark, ranked, calls, monkeypatch):
         "batchsize": 1000, "numPartitions": 16, "truncate": True}
 
 
+def test_staged_rows_are_published_once(spark, ranked, monkeypatch):
+    seen, staged = recorded(monkeypatch, DataFrameWriter), []
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: staged.extend(self._df.collect()))
+    types = {"date": "DATE", "views": "FLOAT", "rank": "INT"}
+    twice = ranked.select(*types).union(ranked.select(*types))
+    statements = sinks.stage_for_postgres(twice, list(types), types, {"dbname": "x"}, "t")
+    assert (seen["options"]["dbtable"], seen["mode"]) == ("t_staging", "overwrite")
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t_staging (load_row BIGINT, date DATE, views FLOAT, rank INT)")
+    rerun = staged[30:70]
+    con.executemany("INSERT INTO t_staging VALUES (?, ?, ?, ?)", [list(r) for r in staged + rerun])
+    for statement in statements:
+        con.execute(statement)
+    published = con.execute("SELECT * FROM t").fetchall()
+    assert sorted(published) == sorted(map(tuple, twice.collect()))
+
+
 def test_relational_rows_are_typed_and_ordered(ranked):
     got = relational_rows(ranked, ["rank", "article_name", "views"],
                           {"rank": "INT", "article_name": "TEXT", "views": "FLOAT"})

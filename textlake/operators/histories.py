@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlake.workspace import land
+
 # 100,000 entries are about 5 MB as a stored document, a third of the 16 MB that
 # a document store takes.
 MAX_ENTRIES = 100_000
@@ -32,7 +34,7 @@ def article_histories(
     """Columns key, ``part``, and the arrays date, views and rank of each part.
 
     Entries are sorted by date, rank and views; the three arrays always have the
-    same length, NULLs included.
+    same length, NULLs included. With `split` a job runs at once.
     """
     parts = _split_parts(df, key, max_entries) if split else _whole_parts(df, key)
     return parts.select(
@@ -55,27 +57,30 @@ def _split_parts(df: DataFrame, key: str, max_entries: int) -> DataFrame:
     """Parts of at most `max_entries` entries, without gathering a key anywhere.
 
     Equal entries are interchangeable, so they are counted instead of moved. The
-    offset of an entry is the number of entries on earlier days (a running sum
-    over the days of the key, at most one row per calendar day) plus those before
-    it on its own day (a running sum over the ranks of that day).
+    distinct ones are range-partitioned in history order, which cuts a large key
+    into slices of the size of a partition. The offset of an entry is then the sum
+    over the earlier slices of its key, one row each, plus the running sum within
+    its slice. The slices are landed, as both sums must see the same bounds.
     """
-    day = F.struct(F.col(key).alias("key"), "date")
-    counted = df.groupBy(day.alias("day"), "rank", "views").agg(F.count(F.lit(1)).alias("copies"))
+    counted = df.groupBy(key, *ENTRY).agg(F.count(F.lit(1)).alias("copies"))
+    slice_ = F.struct(F.col(key).alias("key"), F.spark_partition_id().alias("number"))
+    cells = land(
+        counted.repartitionByRange(key, *ENTRY).withColumn("slice", slice_).drop(key), "slices")
 
     before = (Window.unboundedPreceding, -1)
-    in_history = Window.partitionBy("day.key").orderBy("day.date").rowsBetween(*before)
-    in_day = Window.partitionBy("day").orderBy("rank", "views").rowsBetween(*before)
-    days = (
-        counted.groupBy("day").agg(F.sum("copies").alias("entries"))
-        .select("day", F.coalesce(F.sum("entries").over(in_history), F.lit(0)).alias("day_start"))
+    in_key = Window.partitionBy("slice.key").orderBy("slice.number").rowsBetween(*before)
+    in_slice = Window.partitionBy("slice").orderBy(*ENTRY).rowsBetween(*before)
+    slices = (
+        cells.groupBy("slice").agg(F.sum("copies").alias("entries"))
+        .select("slice", F.coalesce(F.sum("entries").over(in_key), F.lit(0)).alias("slice_start"))
     )
-    # Two days are the same struct also where a field of both is NULL.
-    start = F.col("day_start") + F.col("in_day")
+    # As structs, two slices of the NULL key are equal.
+    start = F.col("slice_start") + F.col("in_slice")
     placed = (
-        counted
-        .withColumn("in_day", F.coalesce(F.sum("copies").over(in_day), F.lit(0)))
-        .join(days, "day")
-        .select(F.col("day.key").alias(key), F.col("day.date").alias("date"), "rank", "views",
+        cells
+        .withColumn("in_slice", F.coalesce(F.sum("copies").over(in_slice), F.lit(0)))
+        .join(slices, "slice")
+        .select(F.col("slice.key").alias(key), *ENTRY,
                 start.alias("start"), (start + F.col("copies")).alias("end"))
     )
 

@@ -1,8 +1,9 @@
-from textlake.sinks.stores import load_to_postgres, upload_to_mongo
+from textlake.sinks.stores import load_to_postgres, stage_for_postgres, upload_to_mongo
 from textlake.sinks.tables import write_analytics, write_documents, write_rankings
 
 __all__ = [
     "load_to_postgres",
+    "stage_for_postgres",
     "upload_to_mongo",
     "write_analytics",
     "write_documents",

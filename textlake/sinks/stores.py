@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlake.workspace import land
+
+_ROW_NUMBER = "load_row"
+
 # SQL column types and the Spark types stored for them. FLOAT is
 # double precision in PostgreSQL, and a Spark string becomes TEXT there.
 RELATIONAL_TYPES = {
@@ -62,22 +66,56 @@ def load_to_postgres(
     """Insert `records`, creating the table from their types if it is missing.
 
     Each partition is one transaction on one connection; at most `max_connections`
-    run at a time. A partition that is rerun after its commit is inserted twice,
-    so reload with ``mode="overwrite"`` (the table is emptied, not dropped) after
-    a failure.
+    run at a time. A partition that is rerun after its commit is inserted twice:
+    use `stage_for_postgres` where that must not happen.
+    """
+    rows = relational_rows(records, columns, column_types)
+    _write_jdbc(rows, db_config, table_name, batch_size, mode, max_connections)
+
+
+def stage_for_postgres(
+    records: DataFrame,
+    columns: list[str],
+    column_types: dict,
+    db_config: dict,
+    table_name: str,
+    batch_size: int = 1000,
+    max_connections: int = 16,
+) -> list[str]:
+    """Fill ``<table_name>_staging`` and return the SQL that publishes it.
+
+    Run the statements in one transaction of the database: readers then see all
+    rows or none. Rows are numbered by their place in a landed copy, so a task that
+    runs again writes the same numbers, and publishing takes each number once.
     """
-    (
-        relational_rows(records, columns, column_types)
-        .write.format("jdbc")
-        .options(
-            **jdbc_options(db_config, table_name),
-            batchsize=batch_size,
-            numPartitions=max_connections,
-            truncate=True,
-        )
-        .mode(mode)
-        .save()
-    )
+    rows = land(relational_rows(records, columns, column_types), "relational")
+    numbered = rows.select(F.monotonically_increasing_id().alias(_ROW_NUMBER), "*")
+    staging = f"{table_name}_staging"
+    _write_jdbc(numbered, db_config, staging, batch_size, "overwrite", max_connections)
+    return publish_statements(columns, column_types, staging, table_name)
+
+
+def publish_statements(
+    columns: list[str], column_types: dict, staging: str, table_name: str
+) -> list[str]:
+    listed = ", ".join(columns)
+    typed = ", ".join(f"{c} {column_types[c]}" for c in columns)
+    return [
+        f"CREATE TABLE IF NOT EXISTS {table_name} ({typed})",
+        f"INSERT INTO {table_name} ({listed}) SELECT {listed} FROM "
+        f"(SELECT DISTINCT {_ROW_NUMBER}, {listed} FROM {staging}) AS numbered",
+        f"DROP TABLE {staging}",
+    ]
+
+
+def _write_jdbc(rows, db_config, table_name, batch_size, mode, max_connections) -> None:
+    # Overwriting empties the table instead of dropping it.
+    rows.write.format("jdbc").options(
+        **jdbc_options(db_config, table_name),
+        batchsize=batch_size,
+        numPartitions=max_connections,
+        truncate=True,
+    ).mode(mode).save()
 
 
 def upload_to_mongo(
