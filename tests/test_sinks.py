@@ -222,7 +222,7 @@ def test_build_tables(spark, tmp_path, capsys):
     before = set(child.name for child in _children(spark))
     report = build_tables(spark, str(tmp_path / "views.csv"), str(corpus), target)
     assert set(child.name for child in _children(spark)) == before
-    assert (report.raw_pageviews, report.kept_pageviews) == (4, 3)
+    assert (report.raw_pageviews, report.kept_pageviews, report.distinct_titles) == (4, 3, 2)
     assert (report.raw_articles, report.viewed_articles) == (6, 2)
 
     stored = {n: sources.read_table(spark, p) for n, p in report.paths.items()}

@@ -41,6 +41,7 @@ class BuildReport:
     paths: dict[str, str]
     raw_pageviews: int
     kept_pageviews: int
+    distinct_titles: int
     raw_articles: int
     viewed_articles: int
 
@@ -74,6 +75,7 @@ def build_tables(
         clean, kept_views = _counted(clean_pageviews(raw))
         pageviews = land(clean, "pageviews")
         counts = entry_counts(pageviews)
+        distinct_titles = counts.count()
 
         raw, raw_texts = _counted(read_articles(spark, articles_path, articles_filetype))
         viewed, viewed_texts = _counted(keep_matching(clean_articles(raw), counts, [KEY]))
@@ -92,6 +94,7 @@ def build_tables(
         paths=paths,
         raw_pageviews=raw_views.get["rows"],
         kept_pageviews=kept_views.get["rows"],
+        distinct_titles=distinct_titles,
         raw_articles=raw_texts.get["rows"],
         viewed_articles=viewed_texts.get["rows"],
     )
