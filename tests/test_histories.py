@@ -7,8 +7,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from textlake.operators import article_histories, needs_split
-from textlake.plans import article_documents, lookup_document, sample_document
+from textlake.operators import article_histories
+from textlake.plans import article_documents, entry_counts, lookup_document, sample_document
 
 SCHEMA = "article_name string, date date, views long, rank int"
 
@@ -65,10 +65,13 @@ def test_nulls_keep_the_arrays_aligned(spark):
     assert (row.date, row.views) == ([d1, d2], [None, 5])
 
 
-def test_needs_split(spark):
-    counts = spark.createDataFrame([("a", 5), ("b", 6)], "article_name string, n long")
-    assert not needs_split(counts, 6)
-    assert needs_split(counts, 5)
+def test_entry_counts(spark):
+    df = spark.createDataFrame([("é",), ("é",), ("b",), (None,)], "article_name string")
+    counts = entry_counts(df)
+    assert {tuple(r) for r in counts.table.collect()} == {("é", 2), ("b", 1), (None, 1)}
+    assert (counts.largest, counts.key_bytes) == (2, 3)
+    nothing = entry_counts(df.where("false"))
+    assert (nothing.largest, nothing.key_bytes) == (0, 0)
 
 
 def corpus(spark):

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from textlake import schemas, sinks, sources
-from textlake.operators import article_histories, deduplicate_df, df_join, keep_matching
+from textlake.operators import article_histories, deduplicate_df, df_join
 from textlake.plans import (
     article_documents,
+    entry_counts,
     lookup_document,
     top_article_of_month,
     top_articles_by_month,
 )
+from textlake.plans import tables
 from textlake.workspace import land
 
 SF = "/root/testdata/sf0.001"
@@ -139,14 +141,14 @@ def test_the_parts_of_a_hot_history_are_spread(spark):
     assert len([k for k, _ in sizes if k == "hot"]) == -(-66_667 // 500)
 
 
-def test_small_keys_are_broadcast_and_large_ones_are_not(spark, skewed):
-    left, _ = skewed
-    keys = land(left.select("k").distinct(), "keys")
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10MB"):
-        assert "BroadcastHashJoin" in plan(keep_matching(left, keys, ["k"]))
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1KB",
-                  spark__sql__adaptive__autoBroadcastJoinThreshold="1KB"):
-        assert "BroadcastHashJoin" not in plan(keep_matching(left, keys, ["k"]))
+def test_keys_are_broadcast_by_their_measured_size(spark, skewed, monkeypatch):
+    left = skewed[0].withColumnRenamed("k", "article_name")
+    counts = entry_counts(left)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1,
+                  spark__sql__adaptive__autoBroadcastJoinThreshold=-1):
+        assert "BroadcastHashJoin" in plan(counts.matching(left))
+        monkeypatch.setattr(tables, "BROADCAST_BYTES", 100)
+        assert "SortMergeJoin" in plan(counts.matching(left))
 
 
 def test_split_histories_cut_a_key_into_slices(spark):

@@ -2,7 +2,7 @@ from textlake.operators.aggregate import groupby_expr
 from textlake.operators.clean import basic_preprocessing
 from textlake.operators.columns import add_column
 from textlake.operators.dedup import deduplicate_df
-from textlake.operators.histories import article_histories, needs_split
+from textlake.operators.histories import article_histories
 from textlake.operators.joins import df_join, keep_matching
 
 __all__ = [
@@ -13,5 +13,4 @@ __all__ = [
     "df_join",
     "groupby_expr",
     "keep_matching",
-    "needs_split",
 ]

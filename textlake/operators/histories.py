@@ -2,8 +2,7 @@
 
 One row per key is only possible while its history fits a row. Keys with more
 than `max_entries` entries get several rows, numbered by `part`, that follow one
-another in history order and lose nothing. Which plan runs is decided by a count
-per key, combined before the shuffle.
+another in history order and lose nothing.
 """
 
 from __future__ import annotations
@@ -20,11 +19,6 @@ MAX_ENTRIES = 100_000
 ENTRY = ("date", "rank", "views")
 
 
-def needs_split(entry_counts: DataFrame, max_entries: int = MAX_ENTRIES) -> bool:
-    """Whether any key of `entry_counts` (columns key, ``n``) has too many entries."""
-    return not entry_counts.where(F.col("n") > max_entries).isEmpty()
-
-
 def article_histories(
     df: DataFrame,
     key: str,
@@ -34,7 +28,8 @@ def article_histories(
     """Columns key, ``part``, and the arrays date, views and rank of each part.
 
     Entries are sorted by date, rank and views; the three arrays always have the
-    same length, NULLs included. With `split` a job runs at once.
+    same length, NULLs included. Ask for `split` if a key may have more than
+    `max_entries` entries; a job then runs at once.
     """
     parts = _split_parts(df, key, max_entries) if split else _whole_parts(df, key)
     return parts.select(

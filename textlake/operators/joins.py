@@ -46,11 +46,13 @@ def df_join(
     return matched.union(unmatched.select(*keys, *absent, *rest))
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+def keep_matching(
+    df: DataFrame, keys: DataFrame, on: Sequence[str], broadcast_keys: bool = False
+) -> DataFrame:
     """Rows of `df` whose key occurs in `keys`.
 
-    Cuts a corpus down before it is deduplicated or joined. Give `keys` as a
-    landed table: its size is then known, and Catalyst broadcasts it only below
-    the session's threshold.
+    Cuts a corpus down before it is deduplicated or joined. Ask for a broadcast
+    only when the size of `keys` has been measured; otherwise Catalyst decides.
     """
-    return df.join(keys.select(*on), on=list(on), how="left_semi")
+    keys = keys.select(*on)
+    return df.join(F.broadcast(keys) if broadcast_keys else keys, on=list(on), how="left_semi")

@@ -7,7 +7,6 @@ import dataclasses
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from textlake.operators import keep_matching
 from textlake.plans.tables import (
     analytics,
     article_documents,
@@ -75,10 +74,10 @@ def build_tables(
         clean, kept_views = _counted(clean_pageviews(raw))
         pageviews = land(clean, "pageviews")
         counts = entry_counts(pageviews)
-        distinct_titles = counts.count()
+        distinct_titles = counts.table.count()
 
         raw, raw_texts = _counted(read_articles(spark, articles_path, articles_filetype))
-        viewed, viewed_texts = _counted(keep_matching(clean_articles(raw), counts, [KEY]))
+        viewed, viewed_texts = _counted(counts.matching(clean_articles(raw)))
         articles = land(viewed, "articles")
 
         products = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,14 @@ from textlake.operators import (
     df_join,
     groupby_expr,
     keep_matching,
-    needs_split,
 )
 from textlake.operators.histories import MAX_ENTRIES
 from textlake.schemas import KEY
 from textlake.workspace import land
 
+# Keys of a corpus filter up to this size are broadcast: some three million titles.
+BROADCAST_BYTES = 64 << 20
+
 
 def clean_pageviews(raw: DataFrame) -> DataFrame:
     """article, views (long), date, rank and the key, without corrupt rows.
@@ -72,15 +75,28 @@ def analytics(pageviews: DataFrame) -> DataFrame:
     ])
 
 
-def entry_counts(pageviews: DataFrame) -> DataFrame:
-    """Every key with the number `n` of its entries, as a table of known size."""
-    return land(pageviews.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")), "entry-counts")
+class EntryCounts(NamedTuple):
+    """Every key with the number `n` of its entries, landed and measured."""
+
+    table: DataFrame
+    largest: int
+    key_bytes: int
+
+    def matching(self, articles: DataFrame) -> DataFrame:
+        """The articles of these keys; keys of a checked size are broadcast."""
+        return keep_matching(articles, self.table, [KEY], self.key_bytes <= BROADCAST_BYTES)
+
+
+def entry_counts(pageviews: DataFrame) -> EntryCounts:
+    table = land(pageviews.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")), "entry-counts")
+    largest, key_bytes = table.agg(F.max("n"), F.sum(F.octet_length(KEY))).first()
+    return EntryCounts(table, largest or 0, key_bytes or 0)
 
 
 def article_documents(
     pageviews: DataFrame,
     articles: DataFrame,
-    counts: DataFrame | None = None,
+    counts: EntryCounts | None = None,
     max_entries: int = MAX_ENTRIES,
     order_by: str = "url",
     tie_breakers: Sequence[str] = ("name",),
@@ -94,9 +110,9 @@ def article_documents(
     """
     if counts is None:
         counts = entry_counts(pageviews)
-    split = needs_split(counts, max_entries)
+    split = counts.largest > max_entries
     histories = article_histories(pageviews, KEY, split, max_entries)
-    viewed = unique_articles(keep_matching(articles, counts, [KEY]), order_by, tie_breakers)
+    viewed = unique_articles(counts.matching(articles), order_by, tie_breakers)
     texts = viewed.select(KEY, "description", "url", "abstract")
     if split:
         # The parts of a hot key meet in this join. They can be spread over
