@@ -52,10 +52,14 @@ def clean_articles(
     return basic_preprocessing(raw, list(columns), "name", KEY)
 
 
+# Behind the first column, so that which article stays never depends on the run.
+ARTICLE_ORDER = ("name", "description", "abstract")
+
+
 def unique_articles(
-    articles: DataFrame, order_by: str = "url", tie_breakers: Sequence[str] = ("name",)
+    articles: DataFrame, order_by: str = "url", tie_breakers: Sequence[str] = ARTICLE_ORDER
 ) -> DataFrame:
-    """One article per key: the one with the smallest url, then name."""
+    """One article per key: the one with the smallest url, then name and texts."""
     return deduplicate_df(articles, [KEY], order_by, tie_breakers=tie_breakers)
 
 
@@ -99,7 +103,7 @@ def article_documents(
     counts: EntryCounts | None = None,
     max_entries: int = MAX_ENTRIES,
     order_by: str = "url",
-    tie_breakers: Sequence[str] = ("name",),
+    tie_breakers: Sequence[str] = ARTICLE_ORDER,
 ) -> DataFrame:
     """One document per viewed article: ordered history arrays and article text.
 
