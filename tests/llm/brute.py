@@ -1,0 +1,40 @@
+"""Plain versions of what the corpus operators return, for small inputs."""
+
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingle_set(text, size=5):
+    words = WORD.findall((text or "").translate(LOWER))
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def smallest_reachable(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    return {n: find(n) for n in nodes}
+
+
+def near_duplicates(docs, threshold=75):
+    """{doc_id: (n_shingles, component_id)} by comparing all pairs that share a shingle."""
+    sets = {i: shingle_set(t) for i, t in docs.items()}
+    by_shingle = {}
+    for i, s in sets.items():
+        for x in s:
+            by_shingle.setdefault(x, []).append(i)
+    pairs = {(a, b) for own in by_shingle.values() for k, a in enumerate(own) for b in own[k + 1 :]}
+    links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])]
+    of = smallest_reachable(docs, links)
+    return {i: (len(s), of[i]) for i, s in sets.items()}

@@ -1,3 +1,36 @@
 """DuckDB SQL for those corpus queries that SQL can express."""
 
+#: The distinct 5-word shingles of the rows of a table, as (id, s).
+SHINGLES = """
+{name}_words AS (
+    SELECT {id} AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM {table}
+),
+{name} AS (
+    SELECT DISTINCT id, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM {name}_words WHERE len(w) > 0)
+)"""
+DOCS = SHINGLES.format(name="doc", table="documents", id="doc_id")
+
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op3_near_duplicates"] = f"""
+WITH RECURSIVE {DOCS},
+sizes AS (SELECT id, count(*) AS n FROM doc GROUP BY id),
+shared AS (SELECT a.id AS a, b.id AS b, count(*) AS n FROM doc a JOIN doc b ON a.s = b.s AND a.id < b.id GROUP BY a.id, b.id),
+links AS (SELECT p.a, p.b FROM shared p JOIN sizes x ON x.id = p.a JOIN sizes y ON y.id = p.b WHERE 100 * p.n >= 75 * (x.n + y.n - p.n)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM sym UNION SELECT r.a, e.b FROM reach r JOIN sym e ON e.a = r.b)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(least(c.low, d.doc_id), d.doc_id) AS component_id,
+    coalesce(least(c.low, d.doc_id), d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.id = d.doc_id
+LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
+ORACLE_SQL["op8_decontamination"] = f"""
+WITH {DOCS}, {SHINGLES.format(name="item", table="benchmark", id="item_id")},
+sizes AS (SELECT id, count(*) AS n FROM item GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(z.n) AS n_item, count(*) AS n_shared
+FROM doc d JOIN item i ON i.s = d.s JOIN sizes z ON z.id = i.id
+GROUP BY d.id, i.id HAVING 100 * count(*) >= 75 * any_value(z.n)
+"""

@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from textlake.llm.decontaminate import find_items
+from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
 from textlake.llm.token_counts import token_counts
 
@@ -29,6 +31,16 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_near_duplicates(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_decontamination(spark, sf_dir):
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
