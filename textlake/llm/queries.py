@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from textlake.llm import language
 from textlake.llm.decontaminate import find_items
 from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
+from textlake.llm.secret_scan import secret_report
 from textlake.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +39,27 @@ def op3_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: The rows that no model learns from: crc32 of the id as text, mod 4, is 2.
+HELD_OUT = "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 4 = 2, false)"
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.expr(HELD_OUT).alias("held_out"))
+    model = language.train(docs.where("not held_out"))
+    return language.identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 @query
 def op6_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_secret_scan(spark, sf_dir):
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_decontamination(spark, sf_dir):
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
