@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from textlake.llm import language
 from textlake.llm.decontaminate import find_items
+from textlake.llm.fingerprints import fingerprint_documents, within_radius
 from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
 from textlake.llm.secret_scan import secret_report
 from textlake.llm.token_counts import token_counts
+from textlake.workspace import land
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,3 +65,13 @@ def op7_secret_scan(spark, sf_dir):
 @query
 def op8_decontamination(spark, sf_dir):
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    """n_near, for doc_ids divisible by 100: the other documents within the search radius."""
+    prints = land(fingerprint_documents(table(spark, sf_dir, "documents")), "documents-fingerprints")
+    asked = prints.where("doc_id % 100 = 0")
+    near = asked.join(within_radius(asked, prints), ["high", "low"]).withColumn("n_near", F.col("n_near") - 1)
+    rest = prints.where("doc_id is null or doc_id % 100 <> 0").withColumn("n_near", F.lit(None).cast("long"))
+    return near.unionByName(rest).drop("high", "low")
