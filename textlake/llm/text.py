@@ -23,6 +23,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE = np.random.Generator(np.random.PCG64(2024)).integers(1, 2**63, 256).astype(U64)
+_LOWERED = _BYTE[_LOWER]
 _BASE = U64(0x9E3779B97F4A7C15)
 _WORD_WEIGHTS = np.array(
     [0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB],
@@ -82,8 +83,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def _hash_words(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the words; `first` marks bytes that open a text."""
+def _hash_words(data: np.ndarray, first: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words; `first` marks bytes that open a text."""
     solid = ~_SPACE[data]
     opens = solid.copy()
     opens[1:] &= ~solid[:-1] | first[1:]
@@ -93,28 +94,25 @@ def _hash_words(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     ends = np.flatnonzero(closes) + 1
     up, down = _POWERS.get(len(data) + 1)
     sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE[_LOWER[data]] * up[:-1], out=sums[1:])
-    return starts, mix((sums[ends] - sums[starts]) * down[starts])
+    np.cumsum((_LOWERED if lower else _BYTE)[data] * up[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts]), starts, ends
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes and start bytes of all words, and the n + 1 offsets of each text's words."""
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, start and end bytes of all words, and the n + 1 offsets of each text's words."""
     first = np.zeros(len(data) + 1, bool)
     first[offsets[:-1]] = True
     cuts = [0]
     while len(data) - cuts[-1] > 2 * SLICE_BYTES:
         at = cuts[-1] + SLICE_BYTES
         while at < len(data) and not _SPACE[data[at]]:
-            step = np.flatnonzero(_SPACE[data[at : at + SLICE_BYTES]])
-            at = at + int(step[0]) if len(step) else min(at + SLICE_BYTES, len(data))
+            space = np.flatnonzero(_SPACE[data[at : at + SLICE_BYTES]])
+            at = at + int(space[0]) if len(space) else min(at + SLICE_BYTES, len(data))
         cuts.append(at)
-    cuts.append(len(data))
-    parts = [_hash_words(data[a:b], first[a:b]) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
-    if not parts:
-        return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    starts = np.concatenate([s + a for (s, _), a in zip(parts, (c for c, d in zip(cuts, cuts[1:], strict=False) if d > c), strict=True)])
-    hashes = np.concatenate([h for _, h in parts])
-    return hashes, starts, np.searchsorted(starts, offsets)
+    parts = [_hash_words(data[a:b], first[a:b], lower) for a, b in zip(cuts, [*cuts[1:], len(data)], strict=True) if b > a]
+    hashes = np.concatenate([np.zeros(0, U64), *[h for h, _, _ in parts]])
+    starts, ends = (np.concatenate([np.zeros(0, np.int64), *[part[k] + a for part, a in zip(parts, cuts, strict=False)]]) for k in (1, 2))
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +120,7 @@ def shingles(texts: pa.Array, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np
 
     A text of fewer words has its whole sequence as one; one without words has none.
     """
-    hashes, _, offsets = words(*text_bytes(texts))
+    hashes, _, _, offsets = words(*text_bytes(texts))
     return word_shingles(hashes, offsets, size)
 
 
