@@ -13,6 +13,7 @@ from textlake.llm.decontaminate import find_items
 from textlake.llm.fingerprints import fingerprint_documents, within_radius
 from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
+from textlake.llm.repeats import remove_repeats
 from textlake.llm.secret_scan import secret_report
 from textlake.llm.token_counts import token_counts
 from textlake.workspace import land
@@ -67,6 +68,12 @@ def op8_decontamination(spark, sf_dir):
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_repeats(spark, sf_dir):
+    cut = remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return cut.withColumn("kept", F.lower(F.hex("kept"))).withColumnRenamed("kept", "kept_sha256")
+
+
 @query
 def op10_fingerprints(spark, sf_dir):
     """n_near, for doc_ids divisible by 100: the other documents within the search radius."""
