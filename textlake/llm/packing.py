@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -38,29 +39,27 @@ BLOCK_IDS = 1 << 20
 SENTENCE_CUT, INNER_CUT, EACH_SEQUENCE = 4, 64, 16
 #: Ids between the places offered inside a sentence longer than twice that.
 INNER_STEP = 256
+SLICE_BYTES = 6 << 20
 #: Ids kept by each worker: of chunks between white space, and of their words.
-CACHE_CHUNKS, CACHE_WORDS = 700_000, 500_000
+CACHE_CHUNKS, CACHE_WORDS = 900_000, 700_000
 
 #: The tokenizer's own words within a chunk of visible Latin-1 characters, lower-cased.
-LATIN_1 = re.compile(r"[!-;=-~\u00a1-\u00ff]+")
-LATIN_1_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^a-z0-9\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00df-\u00f6\u00f8-\u00ff]+")
+LATIN_1 = re.compile(r"[\n!-;=-~\u00a1-\u00ff]*")
+LATIN_1_WORDS = re.compile(r"\n|'(?:s|t|re|ve|m|ll|d)|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^\na-z0-9\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00df-\u00f6\u00f8-\u00ff]+")
 
-_state: dict = {}
+MARK = b"\xff" * 4
 
+_state: dict = {}
 
-class Ids(dict):
-    """Kept ids (little-endian unsigned 32 bit) by piece of text, and passing ones."""
 
-    def __init__(self, most: int):
-        self.most, self.passing = most, {}
+class Words(dict):
+    """Kept ids (little-endian unsigned 32 bit) by word, and those of the batch at hand."""
 
-    def __missing__(self, piece):
-        return self.passing[piece]
+    def __init__(self):
+        self.passing: dict[str, bytes] = {}
 
-    def target(self, n_new: int) -> dict:
-        """Where new pieces go: they are kept while there is room."""
-        self.passing.clear()
-        return self if len(self) + n_new <= self.most else self.passing
+    def __missing__(self, word: str) -> bytes:
+        return self.passing[word]
 
 
 def _load(path: str) -> dict:
@@ -74,37 +73,85 @@ def _load(path: str) -> dict:
         vocabulary = encoder.get_vocab(with_added_tokens=True)
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[i for piece, i in vocabulary.items() if piece.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
-        _state.update(path=path, encoder=encoder, ends=ends, chunks=Ids(CACHE_CHUNKS), words=Ids(CACHE_WORDS))
+        last = np.zeros(len(ends), bool)
+        last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        _state.update(path=path, encoder=encoder, ends=ends, last=last, chunks={}, words=Words())
     return _state
 
 
-def encode(texts: list[bytes], path: str) -> list[bytes]:
-    """The ids of each UTF-8 text, four bytes each.
+def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts and the n + 1 offsets of each text's.
 
     The tokenizer drops white space and never joins what stands on both sides of it,
-    so a text's ids are those of its chunks between ASCII white space, in order. A
-    chunk in Latin 1 is cut further, into the words that the tokenizer itself merges
-    in; `<` opens its special strings, so chunks that hold one go to it whole.
+    so a text's ids are those of its chunks between ASCII white space, in order. Equal
+    chunks are found by hash and then compared byte by byte.
     """
-    state = _load(path)
-    chunks, words = state["chunks"], state["words"]
-    cut = [t.split() for t in texts]
-    new = {c: c.decode() for c in set().union(*cut) if c not in chunks}
-    pieces = {c: LATIN_1_WORDS.findall(t.lower()) if LATIN_1.fullmatch(t) else [t] for c, t in new.items()}
-    _encode_into(words, [w for w in set().union(*pieces.values()) if w not in words], state["encoder"])
-    into = chunks.target(len(new))
-    for c, own in pieces.items():
-        into[c] = b"".join([words[w] for w in own])
-    get = chunks.__getitem__
-    return [b"".join(map(get, own)) for own in cut]
-
-
-def _encode_into(words: Ids, new: list[str], encoder) -> None:
-    into = words.target(len(new))
-    for k in range(0, len(new), 4096):
-        part = new[k : k + 4096]
-        encoded = encoder.encode_batch_fast(part, add_special_tokens=False)
-        into.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded, strict=True))
+    _load(path)
+    data, offsets = T.text_bytes(texts)
+    hashes, starts, ends, chunk_offsets = T.words(data, offsets, lower=False)
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    length, model = ends - starts, first[which]
+    begins = np.cumsum(length) - length
+    run = np.arange(length.sum()) - np.repeat(begins, length)
+    differs = length != length[model]
+    at = np.minimum(np.repeat(starts[model], length) + run, max(len(data) - 1, 0))
+    unlike = data[at] != data[np.repeat(starts, length) + run]
+    if differs.any() or unlike.any():
+        differs[np.repeat(np.arange(len(length)), length)[unlike]] = True
+        alone = np.flatnonzero(differs)
+        which[alone] = len(first) + np.arange(len(alone))
+        first = np.concatenate([first, alone])
+    whole = data.tobytes()
+    own = _chunk_ids([whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+    n_ids = np.fromiter(map(len, own), np.int64, len(own)) // 4
+    flat = np.frombuffer(b"".join(own), "<u4")
+    n = n_ids[which]
+    out = np.concatenate([[0], np.cumsum(n)])
+    ids = flat[np.arange(out[-1]) + np.repeat((np.cumsum(n_ids) - n_ids)[which] - out[:-1], n)]
+    return ids, out[chunk_offsets]
+
+
+def _chunk_ids(seen: list[bytes]) -> list[bytes]:
+    """The ids of chunks. A chunk in Latin 1 is cut into the words that the tokenizer
+    itself merges in; `<` opens its special strings, so chunks with one go to it whole."""
+    chunks, words = _state["chunks"], _state["words"]
+    ids = list(map(chunks.get, seen))
+    new = [c for c, known in zip(seen, ids, strict=True) if known is None]
+    whole = b"\n".join(new).decode()
+    plain = new
+    if not LATIN_1.fullmatch(whole):
+        plain = [c for c in new if LATIN_1.fullmatch(c.decode())]
+        whole = b"\n".join(plain).decode()
+    other = [c.decode() for c in set(new).difference(plain)]
+    flat = LATIN_1_WORDS.findall(whole.lower())
+    need = [w for w in set(flat) if w not in words]
+    _encode_into(words, need, _state["encoder"])
+    # all chunks at once, with a mark that is no id between two of them
+    found = dict(zip(plain, b"".join([words[w] for w in flat]).split(MARK), strict=plain != []))
+    if other:
+        encoded = _state["encoder"].encode_batch_fast(other, add_special_tokens=False)
+        found.update((c.encode(), array("I", e.ids).tobytes()) for c, e in zip(other, encoded, strict=True))
+    if len(chunks) + len(found) <= CACHE_CHUNKS:
+        chunks.update(found)
+    return [found[c] if known is None else known for c, known in zip(seen, ids, strict=True)]
+
+
+def _encode_into(words: Words, new: list[str], encoder) -> None:
+    """Ids of words, encoded many at once and cut after each word's last id."""
+    words.passing.clear()
+    into = words if len(words) + len(new) <= CACHE_WORDS else words.passing
+    last = _state["last"]
+    for k in range(0, len(new), 1024):
+        part = new[k : k + 1024]
+        ids = np.array(encoder.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(last[ids]) + 1
+        if len(stops) == len(part):
+            raw, borders = ids.tobytes(), [0, *(4 * stops).tolist()]
+            into.update(zip(part, [raw[a:b] for a, b in zip(borders, borders[1:], strict=False)], strict=True))
+        else:
+            encoded = encoder.encode_batch_fast(part, add_special_tokens=False)
+            into.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, encoded, strict=True))
+    words["\n"] = MARK
 
 
 def places(ids: np.ndarray, document_ends: np.ndarray, ends: np.ndarray, step: int = INNER_STEP) -> tuple[np.ndarray, np.ndarray]:
@@ -211,10 +258,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id:
                 yield pa.RecordBatch.from_arrays(arrays, names + ["ids"] * with_ids)
 
         for batch in batches:
-            for part in T.slices(batch, "text"):
-                texts = part.column("text").fill_null("").cast(pa.binary()).to_pylist()
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(texts, tokenizer_path), strict=True):
-                    ids += end
+            for part in T.slices(batch, "text", SLICE_BYTES):
+                all_ids, borders = encode(part.column("text"), tokenizer_path)
+                borders = borders.tolist()
+                for doc_id, a, b in zip(part.column("doc_id").to_pylist(), borders, borders[1:], strict=False):
+                    ids = all_ids[a:b].tobytes() + end
                     n = len(ids) // 4
                     if n > room and n <= BLOCK_IDS:
                         yield from flush()
