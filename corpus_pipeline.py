@@ -1,27 +1,86 @@
-"""The corpus pipeline: stages over `documents`, each reading what the last one wrote."""
+"""From `documents` to packed training sequences.
+
+1. language ID: texts without a letter, or in which no language has `LEAST_SHARE` of
+   the letters, go;
+2. near-dedup: of each group of near duplicates the document of smallest id stays;
+3. decontamination: documents that hold 75 % of a `benchmark` item go;
+4. secrets: values that are not copied examples are masked, all documents stay;
+5. packing: what is left becomes sequences of 4,096 ids.
+
+Each stage takes (spark, docs, sf_dir), works on all that the one before it kept, and
+all but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from textlake.llm import language
+from textlake.llm.decontaminate import without_items
+from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
+from textlake.llm.queries import HELD_OUT, table
+from textlake.llm.secret_scan import redact
 from textlake.workspace import land
 
+LEAST_SHARE = 0.4
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose language is known; the model learns from labelled rows that are not held out."""
+    model = language.train(docs.where(f"not {HELD_OUT}"))
+    kept = language.identify(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    return kept.select(*docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group: that of its smallest doc_id, of rows with one id the first by text.
+
+    Rows without doc_id belong to no group and stay.
+    """
+    judged = land(near_duplicates(docs).select("doc_id", "kept").where("doc_id is not null"), "judged")
+    gone = land(judged.where("not kept").select("doc_id").distinct(), "near-duplicates")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = land(judged.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        return left
+    first = Window.partitionBy("doc_id").orderBy("text")
+    once = left.join(repeated, "doc_id", "left_semi").withColumn("at", F.row_number().over(first)).where("at = 1")
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that hold no benchmark item."""
+    return without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, live-looking secrets masked."""
+    return redact(docs)
+
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their sequences."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("language ID", language_stage),
+    ("near-dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
+    ("packing", packing_stage),
+]
 
 #: SQL can express neither the language model nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, every stage written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage; every stage is written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = land(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

@@ -13,9 +13,11 @@ from textlake.llm.decontaminate import find_items
 from textlake.llm.fingerprints import fingerprint_documents, within_radius
 from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
+from textlake.llm.quotes import link_quotations
 from textlake.llm.repeats import remove_repeats
 from textlake.llm.secret_scan import secret_report
 from textlake.llm.token_counts import token_counts
+from textlake.llm.url_filter import hosts_with_label, judge_urls
 from textlake.workspace import land
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +39,11 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op2_quotations(spark, sf_dir):
+    return link_quotations(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op3_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -53,6 +60,12 @@ def op4_language_id(spark, sf_dir):
     return language.identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
 
 
+@query
+def op5_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, hosts_with_label(pages))
+
+
 @query
 def op6_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
