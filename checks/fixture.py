@@ -2,12 +2,14 @@
 
 Parts: a part name plays the title and its line items the daily views; a day's
 line items of an order number divisible by 97 make that title's count unreadable.
-The corpus has one record per part, so that few titles repeat often; the names
-starting with `hot ` are left out of it, and one title that nobody views is added.
+The corpus has one record per part, so that few titles repeat often; records of the
+names starting with `hot ` have another title there, which nobody views.
 
 Orders: a customer name, written in three ways, plays the title and each order one
-count of views, unreadable above a price. The corpus has two records per customer
-outside of one market segment. Titles grow with the tables here.
+count of views, unreadable above a price, without a title where the order number
+is divisible by 101. The corpus has two records per customer; in one market segment
+they have titles that nobody views, and every 50th customer's have none. Titles grow
+with the tables here.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textlake.operators import deduplicate_df
-from textlake.plans import clean_articles, clean_pageviews
+from textlake.plans import clean_articles, clean_pageviews, rankings
 from textlake.schemas import KEY
 
 CORPUS_COLUMNS = ("name", "description", "url", "abstract", "id")
@@ -54,10 +56,11 @@ def raw_pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, name, description, url, abstract; one record per part and one more."""
-    name, key = F.col("p_name"), F.col("p_partkey")
+    """id, name, description, url, abstract; one record per part."""
+    name, key = F.col("title"), F.col("p_partkey")
     style = key % 3
-    records = table(spark, sf_dir, "part").where(~name.startswith("hot ")).select(
+    title = F.when(F.col("p_name").startswith("hot "), F.concat(F.lit("never "), F.col("p_name"))).otherwise(F.col("p_name"))
+    return table(spark, sf_dir, "part").withColumn("title", title).select(
         key.alias("id"),
         F.when(style == 0, F.concat(F.upper(name), F.lit("!")))
         .when(style == 1, F.concat(F.lit('"'), name, F.lit('"')))
@@ -66,11 +69,6 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://example.org/part/"), key.cast("string")).alias("url"),
         F.col("p_brand").alias("abstract"),
     )
-    unseen = spark.range(1).select(
-        F.lit(-1).cast("bigint").alias("id"), F.lit("Never: Viewed").alias("name"),
-        F.lit("d").alias("description"), F.lit("u").alias("url"), F.lit("a").alias("abstract"),
-    )
-    return records.unionByName(unseen)
 
 
 def pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,11 +88,45 @@ def articles(spark: SparkSession, sf_dir: str, keep: str = "first") -> DataFrame
 
 def raw_order_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """article, date, views (text, some of it corrupt), rank; one row per order."""
+    return _order_rows(spark, sf_dir).drop("o_orderkey")
+
+
+def dirty_order_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as text, with dates and ranks that cannot be read, counts longer than a
+    long and titles of punctuation."""
+    key = F.col("o_orderkey")
+
+    def spoilt(every: int, value: str, name: str):
+        return F.when(key % every == 0, value).otherwise(F.col(name).cast("string")).alias(name)
+
+    return _order_rows(spark, sf_dir).select(
+        spoilt(73, "?!", "article"), spoilt(83, "bad", "date"),
+        spoilt(79, "99999999999999999999", "views"), spoilt(89, "x", "rank"),
+    )
+
+
+def dirty_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer corpus as JSON lines, one record of every 37th customer cut off."""
+    record = F.to_json(F.struct("name", "description", "url", "abstract"))
+    broken = (F.col("id") % 37 == 0) & F.col("url").endswith("/b")
+    return raw_customers(spark, sf_dir).select(
+        F.when(broken, F.substring(record, 1, 12)).otherwise(record).alias("value"))
+
+
+def huge_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rankings whose counts are so near the largest long that no two of them fit one."""
+    views = F.lit(9_223_372_036_854_775_807) - F.col("rank")
+    return rankings(pageviews(spark, sf_dir)).withColumn("views", views)
+
+
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     name, price = F.col("c_name"), F.col("o_totalprice")
     return orders.join(customers, "c_custkey").select(
-        F.when(F.col("o_orderstatus") == "F", F.upper(name))
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 101 == 0, F.lit(None))
+        .when(F.col("o_orderstatus") == "F", F.upper(name))
         .when(F.col("o_orderstatus") == "O", F.replace(name, F.lit("#"), F.lit("_#_")))
         .otherwise(name).alias("article"),
         F.col("o_orderdate").cast("date").alias("date"),
@@ -106,7 +138,8 @@ def raw_order_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, name, description, url, abstract; two records per customer."""
-    customers = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY")
+    name = F.when(F.col("c_custkey") % 50 == 0, F.lit(None)).when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("former "), F.col("c_name"))).otherwise(F.col("c_name"))
+    customers = table(spark, sf_dir, "customer").withColumn("c_name", name)
     url = F.concat(F.lit("https://example.org/customer/"), F.col("c_custkey").cast("string"))
     return customers.select(
         F.col("c_custkey").alias("id"),

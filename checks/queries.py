@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,6 @@ from textlake import plans, sinks, sources
 from textlake.functions import title_key
 from textlake.operators import add_column as with_column
 from textlake.operators import (
-    article_histories,
     basic_preprocessing,
     deduplicate_df,
     df_join,
@@ -72,13 +72,13 @@ def scan_jsonl_inferred(spark, sf_dir):
 
 @query
 def scan_json(spark, sf_dir):
-    """One array of at most 100,000 records per file, over several lines."""
+    """One array of records per file, over several lines; a file has some 4 MB."""
     path = fresh_path(spark, "articles-json")
-    record = F.struct(*CORPUS_ORDER)
+    records = fixture.raw_articles(spark, sf_dir).select(F.struct(*CORPUS_ORDER).alias("record"))
+    size = records.agg(F.sum(F.octet_length(F.to_json("record")))).first()[0] or 0
     (
-        fixture.raw_articles(spark, sf_dir)
-        .groupBy(F.expr("monotonically_increasing_id() div 100000").alias("chunk"))
-        .agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
+        records.groupBy(F.pmod(F.xxhash64("record"), F.lit(size // (4 << 20) + 1)).alias("file"))
+        .agg(F.to_json(F.collect_list("record"), {"pretty": "true"}).alias("value"))
         .select("value")
         .write.option("maxRecordsPerFile", 1).text(path)
     )
@@ -105,9 +105,37 @@ def row_count_drop(spark, sf_dir):
     return quality.select("raw_rows", "kept_rows")
 
 
+def _dirty_csv(spark, sf_dir):
+    path = fresh_path(spark, "dirty-csv")
+    fixture.dirty_order_views(spark, sf_dir).write.option("header", True).csv(path)
+    return path
+
+
+def _dirty_jsonl(spark, sf_dir):
+    path = fresh_path(spark, "dirty-jsonl")
+    fixture.dirty_customer_lines(spark, sf_dir).write.text(path)
+    return path
+
+
 @query
 def quality_report(spark, sf_dir):
-    return plans.pageview_quality(fixture.raw_pageviews(spark, sf_dir))
+    """Every figure above zero: on rows with each kind of fault."""
+    return plans.pageview_quality(sources.read_pageviews(spark, _dirty_csv(spark, sf_dir), flags=True))
+
+
+@query
+def corpus_quality(spark, sf_dir):
+    raw = sources.read_articles(spark, _dirty_jsonl(spark, sf_dir))
+    return plans.corrupt_records(raw).crossJoin(plans.corpus_counts(plans.clean_articles(raw)))
+
+
+@query
+def build_report(spark, sf_dir):
+    """What a build counts on the way, every figure above zero."""
+    views, corpus = _dirty_csv(spark, sf_dir), _dirty_jsonl(spark, sf_dir)
+    report = dataclasses.asdict(plans.build_tables(spark, views, corpus, fresh_path(spark, "tables")))
+    del report["paths"]
+    return spark.createDataFrame([tuple(report.values())], ", ".join(f"{name} long" for name in report))
 
 
 @query
@@ -177,12 +205,9 @@ def dedup_texts(spark, sf_dir):
 
 
 # Joins: the deduplicated side is landed, so that the join shuffles both sides
-# itself and adaptive execution can split a hot title. Right and full joins read
-# the left side twice, so it is landed as well.
+# itself and adaptive execution can split a hot title.
 
 def _joined(pageviews, articles, join_type):
-    if join_type in ("right", "full"):
-        pageviews = land(pageviews, "pageviews")
     return df_join(pageviews, land(articles, "articles"), [KEY], join_type)
 
 
@@ -228,10 +253,10 @@ def analytics(spark, sf_dir):
     return plans.analytics(fixture.pageviews(spark, sf_dir))
 
 
-def _documents(spark, sf_dir):
+def _documents(spark, sf_dir, **options):
     return plans.article_documents(
         land(fixture.pageviews(spark, sf_dir), "pageviews"),
-        fixture.corpus(spark, sf_dir), order_by="id")
+        fixture.corpus(spark, sf_dir), order_by="id", **options)
 
 
 def _as_text(documents):
@@ -250,11 +275,8 @@ def documents(spark, sf_dir):
 
 @query
 def documents_split(spark, sf_dir):
-    """Histories in parts of at most 365 entries."""
-    histories = article_histories(
-        fixture.pageviews(spark, sf_dir), KEY, split=True, max_entries=SPLIT_AT)
-    empty = [F.lit(None).cast("string").alias(c) for c in ("description", "url", "abstract")]
-    return _as_text(histories.select("*", *empty)).drop("description", "url", "abstract")
+    """Documents in parts of 365 entries."""
+    return _as_text(_documents(spark, sf_dir, max_entries=SPLIT_AT))
 
 
 # Read queries
@@ -272,6 +294,20 @@ def sample_document(spark, sf_dir):
     return _as_text(plans.sample_document(_documents(spark, sf_dir), SEED))
 
 
+@query
+def sample_split(spark, sf_dir):
+    """One document, all its parts."""
+    return _as_text(plans.sample_document(_documents(spark, sf_dir, max_entries=SPLIT_AT), SEED))
+
+
+@query
+def lookup_split(spark, sf_dir):
+    """All parts of a document, from the stored table."""
+    path = fresh_path(spark, "documents")
+    sinks.write_documents(_documents(spark, sf_dir, max_entries=SPLIT_AT), path)
+    return _as_text(plans.lookup_document(sources.read_table(spark, path, DOCUMENTS), TITLE))
+
+
 @query
 def lookup_analytics(spark, sf_dir):
     return plans.lookup_analytics(analytics(spark, sf_dir), TITLE)
@@ -282,44 +318,102 @@ def top_day(spark, sf_dir):
     return plans.top_article_of_day(rankings(spark, sf_dir), DAY)
 
 
+def _long(totals):
+    """Totals that fit a long, as one."""
+    return totals.withColumn("total_views", F.col("total_views").cast("bigint"))
+
+
 @query
 def top_month(spark, sf_dir):
-    return plans.top_article_of_month(rankings(spark, sf_dir), YEAR, MONTH)
+    return _long(plans.top_article_of_month(rankings(spark, sf_dir), YEAR, MONTH))
 
 
 @query
 def top_year(spark, sf_dir):
-    return plans.top_article_of_year(rankings(spark, sf_dir), YEAR)
+    return _long(plans.top_article_of_year(rankings(spark, sf_dir), YEAR))
 
 
 @query
-def top_year_sql(spark, sf_dir):
-    """The year query as SQL text with parameters, on the stored table."""
+def top_every_day(spark, sf_dir):
+    return plans.top_articles_by_day(rankings(spark, sf_dir))
+
+
+@query
+def top_every_month(spark, sf_dir):
+    return _long(plans.top_articles_by_month(rankings(spark, sf_dir)))
+
+
+@query
+def top_every_year(spark, sf_dir):
+    return _long(plans.top_articles_by_year(rankings(spark, sf_dir)))
+
+
+# Totals beyond a long, as text
+
+def _text(totals):
+    return totals.withColumn("total_views", F.col("total_views").cast("string"))
+
+
+@query
+def huge_top_month(spark, sf_dir):
+    return _text(plans.top_article_of_month(fixture.huge_rankings(spark, sf_dir), YEAR, MONTH))
+
+
+@query
+def huge_top_year(spark, sf_dir):
+    return _text(plans.top_article_of_year(fixture.huge_rankings(spark, sf_dir), YEAR))
+
+
+@query
+def huge_top_every_month(spark, sf_dir):
+    return _text(plans.top_articles_by_month(fixture.huge_rankings(spark, sf_dir)))
+
+
+@query
+def huge_top_every_year(spark, sf_dir):
+    return _text(plans.top_articles_by_year(fixture.huge_rankings(spark, sf_dir)))
+
+
+# The read queries on stored tables: folders, row groups and files are skipped
+
+def _stored_rankings(spark, sf_dir):
     path = fresh_path(spark, "rankings")
     sinks.write_rankings(rankings(spark, sf_dir), path)
-    plans.open_tables(spark, {"article_rankings": path})
-    return spark.sql("""
-        SELECT CAST(:year AS INT) AS year, article_name, SUM(views) AS total_views
-        FROM article_rankings
-        WHERE EXTRACT(YEAR FROM date) = :year
-        GROUP BY article_name
-        ORDER BY total_views DESC, article_name
-        LIMIT 1""", args={"year": YEAR})
+    return plans.open_tables(spark, {"article_rankings": path})["article_rankings"]
 
 
 @query
-def top_every_day(spark, sf_dir):
-    return plans.top_articles_by_day(rankings(spark, sf_dir))
+def stored_top_day(spark, sf_dir):
+    return plans.top_article_of_day(_stored_rankings(spark, sf_dir), DAY)
 
 
 @query
-def top_every_month(spark, sf_dir):
-    return plans.top_articles_by_month(rankings(spark, sf_dir))
+def stored_top_month(spark, sf_dir):
+    return _long(plans.top_article_of_month(_stored_rankings(spark, sf_dir), YEAR, MONTH))
 
 
 @query
-def top_every_year(spark, sf_dir):
-    return plans.top_articles_by_year(rankings(spark, sf_dir))
+def stored_top_year(spark, sf_dir):
+    return _long(plans.top_article_of_year(_stored_rankings(spark, sf_dir), YEAR))
+
+
+@query
+def stored_lookup_analytics(spark, sf_dir):
+    path = fresh_path(spark, "analytics")
+    sinks.write_analytics(analytics(spark, sf_dir), path)
+    return plans.lookup_analytics(sources.read_table(spark, path, ANALYTICS), TITLE)
+
+
+@query
+def top_year_sql(spark, sf_dir):
+    """Totals of a year as SQL text with parameters, on the stored table."""
+    _stored_rankings(spark, sf_dir)
+    return spark.sql("""
+        SELECT CAST(:year AS INT) AS year, article_name, total_views
+        FROM (SELECT article_name, sum(views) AS total_views FROM article_rankings
+              WHERE year = :year AND date BETWEEN make_date(:year, 1, 1) AND make_date(:year, 12, 31)
+              GROUP BY article_name)
+        ORDER BY total_views DESC, article_name LIMIT 1""", args={"year": YEAR})
 
 
 # The same operators where the number of titles grows with the tables
@@ -350,9 +444,41 @@ def orders_join_left(spark, sf_dir):
     return _orders_joined(spark, sf_dir, "left")
 
 
+def _orders_with_copies(spark, sf_dir, join_type):
+    """Against the whole corpus: copies and NULL keys on both sides, unmatched rows on both."""
+    corpus = fixture.customers(spark, sf_dir)
+    joined = df_join(fixture.order_views(spark, sf_dir), corpus, [KEY], join_type)
+    return joined.select(*[c for c in (KEY, "views", "date", "rank", "name", "url") if c in joined.columns])
+
+
+@query
+def orders_join_inner(spark, sf_dir):
+    return _orders_with_copies(spark, sf_dir, "inner")
+
+
+@query
+def orders_join_right(spark, sf_dir):
+    return _orders_with_copies(spark, sf_dir, "right")
+
+
 @query
 def orders_join_full(spark, sf_dir):
-    return _orders_joined(spark, sf_dir, "full")
+    return _orders_with_copies(spark, sf_dir, "full")
+
+
+@query
+def orders_join_semi(spark, sf_dir):
+    return _orders_with_copies(spark, sf_dir, "left_semi")
+
+
+@query
+def orders_join_anti(spark, sf_dir):
+    return _orders_with_copies(spark, sf_dir, "left_anti")
+
+
+@query
+def orders_rankings(spark, sf_dir):
+    return plans.rankings(fixture.order_views(spark, sf_dir))
 
 
 @query
@@ -363,7 +489,17 @@ def orders_documents(spark, sf_dir):
 
 @query
 def orders_top_every_month(spark, sf_dir):
-    return plans.top_articles_by_month(plans.rankings(fixture.order_views(spark, sf_dir)))
+    return _long(plans.top_articles_by_month(orders_rankings(spark, sf_dir)))
+
+
+@query
+def orders_top_every_year(spark, sf_dir):
+    return _long(plans.top_articles_by_year(orders_rankings(spark, sf_dir)))
+
+
+@query
+def orders_top_every_day(spark, sf_dir):
+    return plans.top_articles_by_day(orders_rankings(spark, sf_dir)).drop("views")
 
 
 # Sinks: written, then read back
@@ -375,6 +511,29 @@ def write_rankings(spark, sf_dir):
     return sources.read_table(spark, path).select(*RANKINGS.names)
 
 
+@query
+def orders_write_rankings(spark, sf_dir):
+    path = fresh_path(spark, "rankings")
+    sinks.write_rankings(land(orders_rankings(spark, sf_dir), "rankings"), path)
+    return sources.read_table(spark, path).select(*RANKINGS.names)
+
+
+@query
+def orders_write_analytics(spark, sf_dir):
+    path = fresh_path(spark, "analytics")
+    sinks.write_analytics(orders_analytics(spark, sf_dir), path)
+    return sources.read_table(spark, path, ANALYTICS)
+
+
+@query
+def orders_write_documents(spark, sf_dir):
+    """The whole documents table, read back from Parquet."""
+    path = fresh_path(spark, "documents")
+    pageviews = land(fixture.order_views(spark, sf_dir), "pageviews")
+    sinks.write_documents(plans.article_documents(pageviews, fixture.customers(spark, sf_dir)), path)
+    return _as_text(sources.read_table(spark, path, DOCUMENTS))
+
+
 @query
 def write_analytics(spark, sf_dir):
     path = fresh_path(spark, "analytics")
@@ -396,26 +555,34 @@ def write_documents(spark, sf_dir):
     )
 
 
+def _all_rows(spark, views, corpus):
+    """The rows of the three tables that a build makes, as (table_name, article_name, said)."""
+    stored = plans.open_tables(spark, plans.build_tables(spark, views, corpus, fresh_path(spark, "tables")).paths)
+    said = {
+        "article_rankings": ["views", "popularity_bucket", "date", "rank"],
+        "article_analytics": [F.round("avg_views", 3).cast("decimal(30,3)"), "max_views", "best_rank", "total_days_ranked"],
+        "article_documents": ["part", "dates", "views", "ranks", "description", "url", "abstract"],
+    }
+    stored["article_documents"] = _as_text(stored["article_documents"])
+    rows = [
+        stored[name].select(
+            F.lit(name).alias("table_name"), KEY,
+            F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("-")) for c in columns]).alias("said"))
+        for name, columns in said.items()
+    ]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
 @query
 def end_to_end(spark, sf_dir):
-    """CSV and JSON lines to the three stored tables; one row of totals each."""
+    """CSV and JSON lines to the three stored tables; all their rows."""
     views, corpus = fresh_path(spark, "pageviews-csv"), fresh_path(spark, "articles-jsonl")
     fixture.raw_pageviews(spark, sf_dir).write.option("header", True).csv(views)
     fixture.raw_articles(spark, sf_dir).write.json(corpus)
-    report = plans.build_tables(spark, views, corpus, fresh_path(spark, "tables"))
-    stored = plans.open_tables(spark, report.paths)
-
-    def totals(name, views, texts):
-        return stored[name].agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(views).alias("total_views"),
-            F.count(texts).alias("n_texts"),
-        )
-
-    history_views = F.aggregate("views", F.lit(0).cast("bigint"), lambda total, n: total + n)
-    return (
-        totals("article_rankings", F.col("views"), "popularity_bucket")
-        .union(totals("article_analytics", F.col("max_views"), KEY))
-        .union(totals("article_documents", history_views, "url"))
-    )
+    return _all_rows(spark, views, corpus)
+
+
+@query
+def orders_end_to_end(spark, sf_dir):
+    """The same from files with faults, where titles grow with the tables."""
+    return _all_rows(spark, _dirty_csv(spark, sf_dir), _dirty_jsonl(spark, sf_dir))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textlake.operators import article_histories
-from textlake.plans import article_documents, entry_counts, lookup_document, sample_document
+from textlake.plans import article_documents, lookup_document, sample_document, viewed_keys
 
 SCHEMA = "article_name string, date date, views long, rank int"
 
@@ -17,16 +17,15 @@ def null_first(entry):
     return [(v is not None, v) for v in entry]
 
 
-def brute_force(rows, size=None):
+def brute_force(rows, size):
     groups = defaultdict(list)
     for key, date, views, rank in rows:
         groups[key].append((date, rank, views))
     out = {}
     for key, entries in groups.items():
         entries.sort(key=null_first)
-        step = size or len(entries)
-        for part, at in enumerate(range(0, len(entries), step)):
-            out[key, part] = entries[at:at + step]
+        for part, at in enumerate(range(0, len(entries), size)):
+            out[key, part] = entries[at:at + size]
     return out
 
 
@@ -44,34 +43,25 @@ def rows_with_copies(seed):
     return rows + [("hot", days[2], 7, 7)] * 150
 
 
-@pytest.mark.parametrize("size", [1, 7, 40, 1000])
-def test_split_equals_brute_force(spark, size):
+@pytest.mark.parametrize("size", [1, 7, 40, 1000, 100_000])
+def test_histories_equal_brute_force(spark, size):
     rows = rows_with_copies(size)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = article_histories(df, "article_name", split=True, max_entries=size)
+    got = article_histories(df, "article_name", size)
     assert entries(got) == brute_force(rows, size)
 
 
-def test_whole_equals_brute_force(spark):
-    rows = rows_with_copies(0)
-    df = spark.createDataFrame(rows, SCHEMA)
-    assert entries(article_histories(df, "article_name", split=False)) == brute_force(rows)
-
-
 def test_nulls_keep_the_arrays_aligned(spark):
     d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 1, 2)
     df = spark.createDataFrame([("a", d2, 5, 1), ("a", d1, None, 1)], SCHEMA)
-    row = article_histories(df, "article_name", split=False).first()
+    row = article_histories(df, "article_name").first()
     assert (row.date, row.views) == ([d1, d2], [None, 5])
 
 
-def test_entry_counts(spark):
+def test_viewed_keys(spark):
     df = spark.createDataFrame([("é",), ("é",), ("b",), (None,)], "article_name string")
-    counts = entry_counts(df)
-    assert {tuple(r) for r in counts.table.collect()} == {("é", 2), ("b", 1), (None, 1)}
-    assert (counts.largest, counts.key_bytes) == (2, 3)
-    nothing = entry_counts(df.where("false"))
-    assert (nothing.largest, nothing.key_bytes) == (0, 0)
+    assert {r[0] for r in viewed_keys(df).collect()} == {"é", "b", None}
+    assert viewed_keys(df.where("false")).count() == 0
 
 
 def corpus(spark):
@@ -81,7 +71,7 @@ def corpus(spark):
 
 
 @pytest.mark.parametrize("size", [50, 100_000])
-def test_documents_choose_their_plan_by_the_counts(spark, size):
+def test_documents_in_parts(spark, size):
     rows = rows_with_copies(3)
     pageviews = spark.createDataFrame(rows, SCHEMA)
     documents = article_documents(pageviews, corpus(spark), max_entries=size)
@@ -89,15 +79,39 @@ def test_documents_choose_their_plan_by_the_counts(spark, size):
     assert {r.url for r in documents.where("article_name = 'hot'").collect()} == {"u1"}
     assert {r.url for r in documents.where("article_name <> 'hot'").collect()} == {None}
     hot = lookup_document(documents, "H-o_t").collect()
-    assert sorted(r.part for r in hot) == list(range(len(hot)))
+    assert [r.part for r in hot] == list(range(len(hot)))
     assert sum(len(r.date) for r in hot) == sum(r[0] == "hot" for r in rows)
     assert lookup_document(documents, "absent").isEmpty()
 
 
-def test_sample_is_one_of_the_documents(spark):
-    documents = spark.range(20).select(
-        F.concat(F.lit("t"), "id").alias("article_name"), F.lit(0).alias("part"))
-    seen = [sample_document(documents, seed).first()[0] for seed in range(8)]
-    assert set(seen) <= {f"t{i}" for i in range(20)} and len(set(seen)) > 1
-    assert seen[3] == sample_document(documents.repartition(7), 3).first()[0]
-    assert sample_document(documents).count() == 1
+def test_a_hot_title_changes_nothing_for_the_others(spark):
+    rows = rows_with_copies(5)
+    def others(more):
+        pageviews = spark.createDataFrame(rows + more, SCHEMA)
+        documents = article_documents(pageviews, corpus(spark), max_entries=50)
+        tree = documents._jdf.queryExecution().optimizedPlan().toString()
+        shape = [line.strip(" :+-").split(" ")[0] for line in tree.splitlines()]
+        return {k: v for k, v in entries(documents).items() if k[0] != "hot"}, shape
+    hot = [("hot", dt.date(2021, 1, 1), n, 1) for n in range(2000)]
+    assert others([]) == others(hot)
+
+
+def test_blank_parts_are_left_out(spark):
+    documents = article_documents(spark.createDataFrame(rows_with_copies(3), SCHEMA), corpus(spark), max_entries=50)
+    blank = documents.where("part = 1").withColumns({"part": F.lit(99).cast("long"), **{c: F.array().cast(documents.schema[c].dataType) for c in ("date", "views", "rank")}})
+    found = lookup_document(documents.unionByName(blank), "hot").collect()
+    assert found == lookup_document(documents, "hot").collect()
+
+
+def test_sample_is_all_parts_of_one_document(spark):
+    documents = spark.createDataFrame(
+        [(f"t{i}", part) for i in range(20) for part in range(i % 3 + 1)] + [(None, 0), (None, 1)],
+        "article_name string, part long")
+    seen = [sample_document(documents, seed).collect() for seed in range(30)]
+    keys = {rows[0].article_name for rows in seen}
+    assert len(keys) > 5 and keys <= {f"t{i}" for i in range(20)} | {None}
+    for rows in seen:
+        key = rows[0].article_name
+        assert {r.article_name for r in rows} == {key}
+        assert [r.part for r in rows] == list(range(2 if key is None else int(key[1:]) % 3 + 1))
+    assert seen[3] == sample_document(documents.repartition(7), 3).collect()

@@ -86,6 +86,7 @@ def test_too_long_counts_become_null_and_are_counted(spark):
     assert sorted(column(clean_pageviews(df), "views"), key=str) == [5, 5, 7, None]
     assert pageview_quality(df).first().asDict() == {
         "raw_rows": 6, "kept_rows": 4, "corrupt_rows": 2, "overflow_rows": 1,
+        "bad_date_rows": 0, "bad_rank_rows": 0,
         "empty_key_rows": 1, "distinct_titles": 4, "distinct_keys": 3,
     }
 

@@ -10,6 +10,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from checks.oracle import ORACLE_SQL
+from checks.queries import QUERIES
 
 SCALES = os.environ.get("ORACLE_SF", "sf0.001,sf0.01").split(",")
 
@@ -42,15 +44,15 @@ def databases():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("sf", SCALES)
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, databases, name, sf):
-    ours = contract.queries()[name](spark, f"/root/testdata/{sf}")
+    ours = QUERIES[name](spark, f"/root/testdata/{sf}")
     ours_rows = multiset(ours.collect(), ours.columns)
-    cursor = databases[sf].execute(contract.oracle_sql()[name])
+    cursor = databases[sf].execute(ORACLE_SQL[name])
     columns = [d[0] for d in cursor.description]
     oracle_rows = multiset(cursor.fetchall(), columns)
     assert sorted(ours.columns) == sorted(columns)

@@ -5,18 +5,18 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
-import __spark_entry__ as contract
+from checks.queries import QUERIES
 from textlake import schemas, sinks, sources
-from textlake.operators import article_histories, deduplicate_df, df_join
+from textlake.operators import article_histories, deduplicate_df, df_join, keep_matching
 from textlake.plans import (
     article_documents,
-    entry_counts,
     lookup_document,
     top_article_of_month,
     top_articles_by_month,
+    viewed_keys,
 )
-from textlake.plans import tables
 from textlake.workspace import land
 
 SF = "/root/testdata/sf0.001"
@@ -39,13 +39,52 @@ def settings(spark, **conf):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_python_and_no_cross_join(spark, name):
-    text = plan(contract.queries()[name](spark, SF))
-    # The corpus record that is a constant is matched by an existence check.
-    text = text.replace("BroadcastNestedLoopJoin BuildRight, LeftSemi", "")
-    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas"):
-        assert node not in text
+@contextlib.contextmanager
+def written(monkeypatch):
+    """The plans of everything that is written inside the block."""
+    plans = []
+    for how in ("parquet", "json", "csv", "text", "save"):
+        def write(self, *args, original=getattr(DataFrameWriter, how), **kwargs):
+            plans.append(plan(self._df))
+            return original(self, *args, **kwargs)
+        monkeypatch.setattr(DataFrameWriter, how, write)
+    yield plans
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_cross_join(spark, name, monkeypatch):
+    """In the returned plan and in those of all that is written on the way."""
+    with written(monkeypatch) as plans:
+        plans.append(plan(QUERIES[name](spark, SF)))
+    for text in plans:
+        # the one row of each of two reports, side by side
+        nodes = ["Python", "Pandas"] + ["CartesianProduct", "BroadcastNestedLoopJoin"] * (name != "corpus_quality")
+        assert not [node for node in nodes if node in text]
+
+
+@pytest.mark.parametrize("how", ["right", "full"])
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_joins_have_unmatched_rows_on_both_sides(spark, how, sf):
+    rows = QUERIES[f"orders_join_{how}"](spark, f"/root/testdata/{sf}")
+    assert rows.where("views IS NULL AND name IS NOT NULL").count() > 10
+    assert rows.where("article_name IS NULL").count() > 2
+    if how == "full":
+        assert rows.where("views IS NOT NULL AND url IS NULL").count() > 10
+    copies = rows.where("views IS NOT NULL AND url IS NOT NULL").groupBy("article_name").agg(
+        F.count_distinct("url").alias("urls"), F.count_distinct("date").alias("days"))
+    assert copies.where("urls > 1 AND days > 1").count() > 5
+
+
+@pytest.mark.parametrize("name", ["stored_top_day", "stored_top_month", "stored_top_year", "top_year_sql"])
+def test_stored_periods_skip_folders_and_row_groups(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    partition = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "year#" in partition and "1997" in partition
+    assert "GreaterThanOrEqual(date,1997-" in text and "LessThanOrEqual(date,1997" in text
+
+
+def test_stored_lookup_is_pushed(spark):
+    assert "EqualTo(article_name,smallring)" in plan(QUERIES["stored_lookup_analytics"](spark, SF))
 
 
 @pytest.fixture(scope="module")
@@ -141,14 +180,13 @@ def test_the_parts_of_a_hot_history_are_spread(spark):
     assert len([k for k, _ in sizes if k == "hot"]) == -(-66_667 // 500)
 
 
-def test_keys_are_broadcast_by_their_measured_size(spark, skewed, monkeypatch):
+def test_catalyst_decides_on_the_broadcast_of_keys(spark, skewed):
     left = skewed[0].withColumnRenamed("k", "article_name")
-    counts = entry_counts(left)
+    keys = viewed_keys(left)
+    assert "BroadcastHashJoin" in plan(keep_matching(left, keys, ["article_name"]))
     with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1,
                   spark__sql__adaptive__autoBroadcastJoinThreshold=-1):
-        assert "BroadcastHashJoin" in plan(counts.matching(left))
-        monkeypatch.setattr(tables, "BROADCAST_BYTES", 100)
-        assert "SortMergeJoin" in plan(counts.matching(left))
+        assert "SortMergeJoin" in plan(keep_matching(left, keys, ["article_name"]))
 
 
 def test_split_histories_cut_a_key_into_slices(spark):
@@ -159,7 +197,7 @@ def test_split_histories_cut_a_key_into_slices(spark):
         (id_ % 40_000).alias("views"), F.lit(None).cast("int").alias("rank")), "views")
     with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false",
                   spark__sql__shuffle__partitions=16):
-        parts = article_histories(df, "article_name", split=True, max_entries=1000).collect()
+        parts = article_histories(df, "article_name", 1000).collect()
     assert sorted((r.part, len(r.views)) for r in parts) == [(i, 1000) for i in range(120)]
     views = [v for r in sorted(parts, key=lambda r: r.part) for v in r.views]
     assert views == sorted(list(range(40_000)) * 3)

@@ -14,7 +14,7 @@ from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 
 from textlake import schemas, sinks, sources
 from textlake.__main__ import main
-from textlake.plans import build_tables, load_stores, lookup_analytics, top_article_of_month
+from textlake.plans import build, build_tables, load_stores, lookup_analytics, top_article_of_month
 from textlake.sinks.stores import jdbc_options, relational_rows
 from textlake.workspace import fresh_path, land, shared_dir, temporary
 
@@ -114,8 +114,10 @@ def test_relational_rows_are_typed_and_ordered(ranked):
     got = relational_rows(ranked, ["rank", "article_name", "views"],
                           {"rank": "INT", "article_name": "TEXT", "views": "FLOAT"})
     assert got.dtypes == [("rank", "int"), ("article_name", "string"), ("views", "double")]
-    with pytest.raises(ValueError, match="rank"):
-        relational_rows(ranked, ["rank"], {"rank": "POINT"})
+    types = {"rank": "NUMERIC(10,2)", "views": "varchar(20)", "date": "TIMESTAMP", "article_name": "JSONB"}
+    assert relational_rows(ranked, list(types), types).dtypes == [
+        ("rank", "decimal(10,2)"), ("views", "string"), ("date", "timestamp"), ("article_name", "string")]
+    assert relational_rows(ranked, ["rank"], {"rank": "SMALLINT"}).dtypes == [("rank", "smallint")]
 
 
 def test_jdbc_url_may_be_given():
@@ -160,9 +162,14 @@ def test_load_stores(spark, ranked, tmp_path, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "__init__",
                         lambda self, df: (seen["options"].clear(), create(self, df))[1])
     monkeypatch.setattr(DataFrameWriter, "save", lambda self: saved.append(
-        (seen["format"], dict(seen["options"]), self._df.dtypes)))
-    load_stores(spark, paths, {"host": "h", "dbname": "x"}, "mongodb://h/")
-    (f1, o1, t1), (f2, o2, t2), (f3, o3, t3) = saved
+        (seen["format"], dict(seen["options"]), self._df.dtypes, self._df)))
+    stored = documents.unionByName(documents.withColumn("part", F.lit(3).cast("long"))).select("article_name", "part", "url")
+    monkeypatch.setattr(build, "read_collection", lambda *args: stored)
+    load_stores(spark, paths, {"host": "h", "dbname": "x"}, "mongodb://h/", batch_size=7, max_connections=3)
+    (f1, o1, t1, _), (f2, o2, t2, _), (f3, o3, t3, sent) = saved
+    assert (o1["batchsize"], o1["numPartitions"], o3["maxBatchSize"]) == (7, 3, 500)
+    # part 3 is in the store only: it becomes a blank
+    assert sorted((r.article_name, r.part, r.date) for r in sent.collect()) == [("a", 0, []), ("a", 3, [])]
     assert (f1, o1["dbtable"], f2, o2["dbtable"]) == (
         "jdbc", "article_rankings", "jdbc", "article_analytics")
     assert t1 == [("article_name", "string"), ("views", "bigint"),
@@ -186,23 +193,20 @@ def test_land_and_temporary(spark):
         landed = land(spark.range(3), "rows")
         (folder,) = {f.rsplit("/", 1)[0] for f in landed.inputFiles()}
         assert landed.count() == 3 and exists(spark, folder)
-        assert folder.removeprefix("file://").startswith(shared_dir(spark))
+        assert folder.removeprefix("file://").startswith(shared_dir(spark).removeprefix("file:"))
     assert not exists(spark, folder) and not exists(spark, path)
     outside = land(spark.range(2), "rows")
     assert outside.count() == 2
 
 
-def test_a_cluster_needs_a_shared_folder():
+def test_the_shared_folder_is_the_sessions():
     class Session:
         def __init__(self, **conf):
             self.conf = conf
 
-    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///scratch/"}
-    assert shared_dir(Session(**shared)) == "hdfs:///scratch"
-    with pytest.raises(RuntimeError):
-        shared_dir(Session(**{"spark.master": "yarn"}))
-    local = {"spark.master": "local[2]"}
-    assert shared_dir(Session(**local)) == shared_dir(Session(**local))
+    warehouse = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    assert shared_dir(Session(**warehouse)) == "hdfs:///warehouse"
+    assert shared_dir(Session(**warehouse, **{"spark.checkpoint.dir": "hdfs:///scratch/"})) == "hdfs:///scratch"
 
 
 # End to end
@@ -222,8 +226,10 @@ def test_build_tables(spark, tmp_path, capsys):
     before = set(child.name for child in _children(spark))
     report = build_tables(spark, str(tmp_path / "views.csv"), str(corpus), target)
     assert set(child.name for child in _children(spark)) == before
-    assert (report.raw_pageviews, report.kept_pageviews, report.distinct_titles) == (4, 3, 2)
-    assert (report.raw_articles, report.viewed_articles) == (6, 2)
+    assert (report.raw_pageviews, report.kept_pageviews, report.documents) == (4, 3, 2)
+    assert (report.raw_articles, report.unreadable_articles) == (6, 3)
+    assert (report.viewed_articles, report.unique_articles) == (2, 1)
+    assert (report.bad_dates, report.bad_ranks, report.overflowed_views) == (0, 0, 0)
 
     stored = {n: sources.read_table(spark, p) for n, p in report.paths.items()}
     documents = {r.article_name: r for r in stored["article_documents"].collect()}

@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from textlake.plans import clean_articles, clean_pageviews, corrupt_records
+from textlake.plans import clean_articles, clean_pageviews, corrupt_records, pageview_quality
 from textlake.sources import ingest_data, read_articles, read_pageviews
 
 DAY = dt.date(2016, 12, 2)
@@ -50,6 +50,21 @@ def test_columns_are_found_by_name(spark, csv):
     assert read_pageviews(spark, one).collect() == [("A", DAY, "5", 1)]
 
 
+def test_a_schema_does_not_fill_wrong_columns(spark, csv):
+    path = csv("rank,article\n1,A\n")
+    assert ingest_data(spark, path, "csv", "rank int, article string").collect() == [(1, "A")]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        ingest_data(spark, path, "csv", "article string, rank int").collect()
+
+
+def test_unreadable_dates_and_ranks_are_flagged(spark, csv):
+    path = csv("rank,article,views,date\n1,A,5,bad\nx,B,6,2016-12-02\n,C,7,\n")
+    rows = {r.article: (r.date, r["rank"], r.bad_date, r.bad_rank) for r in read_pageviews(spark, path, flags=True).collect()}
+    assert rows == {"A": (None, 1, True, False), "B": (DAY, None, False, True), "C": (None, None, False, False)}
+    figures = pageview_quality(read_pageviews(spark, path, flags=True)).first()
+    assert (figures.kept_rows, figures.bad_date_rows, figures.bad_rank_rows) == (3, 1, 1)
+
+
 def test_file_type_is_checked_and_case_insensitive(spark, csv):
     assert ingest_data(spark, csv(PLAIN), "CSV").count() == 2
     with pytest.raises(ValueError, match="parquet"):

@@ -96,6 +96,15 @@ def test_ties_go_to_the_smaller_name_and_null_totals_never_win(spark):
     assert one(top_articles_by_month(only_null)) is None
 
 
+def test_totals_beyond_a_long(spark):
+    day, most = dt.date(2020, 1, 1), 2**63 - 1
+    df = spark.createDataFrame(
+        [("a", most, "high", day, 1), ("a", most, "high", day, 2), ("b", most, "high", day, 1)],
+        "article_name string, views long, popularity_bucket string, date date, rank int")
+    for top in (top_article_of_month(df, 2020, 1), top_article_of_year(df, 2020), top_articles_by_month(df), top_articles_by_year(df)):
+        assert (one(top).article_name, int(one(top).total_views)) == ("a", 2 * most)
+
+
 def test_two_first_ranks_on_a_day(spark):
     day = dt.date(2020, 1, 1)
     df = spark.createDataFrame(

@@ -1,8 +1,7 @@
 """The ordered history of each key as arrays.
 
-One row per key is only possible while its history fits a row. Keys with more
-than `max_entries` entries get several rows, numbered by `part`, that follow one
-another in history order and lose nothing.
+A history is cut into parts of `max_entries` entries, numbered by `part`, that follow
+one another in history order and lose nothing; most histories are part 0 alone.
 """
 
 from __future__ import annotations
@@ -19,43 +18,19 @@ MAX_ENTRIES = 100_000
 ENTRY = ("date", "rank", "views")
 
 
-def article_histories(
-    df: DataFrame,
-    key: str,
-    split: bool,
-    max_entries: int = MAX_ENTRIES,
-) -> DataFrame:
+def article_histories(df: DataFrame, key: str, max_entries: int = MAX_ENTRIES) -> DataFrame:
     """Columns key, ``part``, and the arrays date, views and rank of each part.
 
-    Entries are sorted by date, rank and views; the three arrays always have the
-    same length, NULLs included. Ask for `split` if a key may have more than
-    `max_entries` entries; a job then runs at once.
-    """
-    parts = _split_parts(df, key, max_entries) if split else _whole_parts(df, key)
-    return parts.select(
-        key, "part",
-        F.col("entries.date").alias("date"),
-        F.col("entries.views").alias("views"),
-        F.col("entries.rank").alias("rank"),
-    )
-
-
-def _whole_parts(df: DataFrame, key: str) -> DataFrame:
-    return (
-        df.groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct(*ENTRY))).alias("entries"))
-        .select(key, F.lit(0).cast("bigint").alias("part"), "entries")
-    )
-
-
-def _split_parts(df: DataFrame, key: str, max_entries: int) -> DataFrame:
-    """Parts of at most `max_entries` entries, without gathering a key anywhere.
+    Entries are sorted by date, rank and views; part p holds the entries from
+    p * max_entries on, whatever other keys have. The three arrays of a part always
+    have the same length, NULLs included. A job runs at once.
 
-    Equal entries are interchangeable, so they are counted instead of moved. The
-    distinct ones are range-partitioned in history order, which cuts a large key
-    into slices of the size of a partition. The offset of an entry is then the sum
-    over the earlier slices of its key, one row each, plus the running sum within
-    its slice. The slices are landed, as both sums must see the same bounds.
+    No key is gathered anywhere. Equal entries are interchangeable, so they are
+    counted instead of moved. The distinct ones are range-partitioned in history
+    order, which cuts a large key into slices of the size of a partition. The offset
+    of an entry is then the sum over the earlier slices of its key, one row each,
+    plus the running sum within its slice. The slices are landed, as both sums must
+    see the same bounds.
     """
     counted = df.groupBy(key, *ENTRY).agg(F.count(F.lit(1)).alias("copies"))
     slice_ = F.struct(F.col(key).alias("key"), F.spark_partition_id().alias("number"))
@@ -96,4 +71,5 @@ def _split_parts(df: DataFrame, key: str, max_entries: int) -> DataFrame:
             lambda run: F.array_repeat(
                 F.struct(*[run[c].alias(c) for c in ENTRY]), run["copies"]),
         )).alias("entries"))
+        .select(key, "part", *[F.col(f"entries.{c}").alias(c) for c in ("date", "views", "rank")])
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlake.workspace import land
+
 _RIGHT = {"right", "rightouter"}
 _FULL = {"full", "outer", "fullouter"}
 
@@ -23,8 +25,8 @@ def df_join(
     left of inner, left, semi and anti joins, but cannot do so where the right
     side must keep its unmatched rows. A right or full join is therefore made of
     an inner or left join plus the right rows whose key the left does not have;
-    for the second part only the distinct left keys are shuffled. They read the
-    left side twice, so give a stored table there.
+    for the second part only the distinct left keys are shuffled. The left side
+    is read twice, so it is written to the shared folder at once.
     """
     keys = list(join_columns)
     if not keys:
@@ -38,6 +40,7 @@ def df_join(
     if kind not in _RIGHT | _FULL:
         return left_df.join(right_df, on=keys, how=join_type)
 
+    left_df = land(left_df, "join-left")
     matched = left_df.join(right_df, on=keys, how="inner" if kind in _RIGHT else "left")
     unmatched = right_df.join(left_df.select(*keys).distinct(), on=keys, how="left_anti")
     absent = [F.lit(None).cast(f.dataType).alias(f.name)
@@ -46,13 +49,10 @@ def df_join(
     return matched.union(unmatched.select(*keys, *absent, *rest))
 
 
-def keep_matching(
-    df: DataFrame, keys: DataFrame, on: Sequence[str], broadcast_keys: bool = False
-) -> DataFrame:
+def keep_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of `df` whose key occurs in `keys`.
 
-    Cuts a corpus down before it is deduplicated or joined. Ask for a broadcast
-    only when the size of `keys` has been measured; otherwise Catalyst decides.
+    Cuts a corpus down before it is deduplicated or joined. Give landed keys: Catalyst
+    knows their size and broadcasts them only below its threshold.
     """
-    keys = keys.select(*on)
-    return df.join(F.broadcast(keys) if broadcast_keys else keys, on=list(on), how="left_semi")
+    return df.join(keys.select(*on), on=list(on), how="left_semi")

@@ -6,9 +6,9 @@ from textlake.plans.tables import (
     article_documents,
     clean_articles,
     clean_pageviews,
-    entry_counts,
     rankings,
     unique_articles,
+    viewed_keys,
 )
 from textlake.plans.top import (
     top_article_of_day,
@@ -28,7 +28,6 @@ __all__ = [
     "clean_pageviews",
     "corpus_counts",
     "corrupt_records",
-    "entry_counts",
     "load_stores",
     "lookup_analytics",
     "lookup_document",
@@ -44,4 +43,5 @@ __all__ = [
     "top_articles_by_month",
     "top_articles_by_year",
     "unique_articles",
+    "viewed_keys",
 ]

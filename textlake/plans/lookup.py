@@ -18,11 +18,11 @@ def _article(df: DataFrame, title: str) -> DataFrame:
 
 
 def lookup_document(documents: DataFrame, title: str) -> DataFrame:
-    """The document of an article, given its title or its key.
+    """The document of an article, given its title or its key: its parts in order.
 
-    A history too long for one document comes as several rows, numbered by `part`.
+    Parts that a document store keeps only as blanks are left out.
     """
-    return _article(documents, title)
+    return _article(documents, title).where((F.col("part") == 0) | (F.size("date") > 0)).orderBy("part")
 
 
 def lookup_analytics(analytics: DataFrame, title: str) -> DataFrame:
@@ -39,12 +39,16 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 
 
 def sample_document(documents: DataFrame, seed: int | None = None) -> DataFrame:
-    """One document chosen at random, without gathering the others.
+    """One document chosen at random, all its parts in order.
 
-    The draw depends on the seed and the key only, so that the same seed gives
-    the same document however the table is partitioned.
+    The draw depends on the seed and the key only: the same seed gives the same
+    document however the table is partitioned, and a long history is drawn no more
+    often than a short one. A NULL key is drawn as an empty one.
     """
     if seed is None:
         seed = random.getrandbits(63)
-    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), KEY, F.col("part").cast("string")))
-    return documents.orderBy(draw).limit(1)
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(KEY, F.lit(""))))
+    key = documents.where("part = 0").orderBy(draw, KEY).limit(1).select(F.struct(KEY).alias("drawn"))
+    # as a struct, so that the NULL key equals itself
+    parts = documents.withColumn("drawn", F.struct(KEY)).join(key, "drawn", "left_semi")
+    return parts.drop("drawn").orderBy("part")

@@ -18,27 +18,30 @@ def pageview_quality(raw: DataFrame) -> DataFrame:
     """One row about a raw pageview table.
 
     raw_rows, kept_rows, corrupt_rows; overflow_rows: counts too long for a long;
-    empty_key_rows: titles of punctuation only; distinct_titles, distinct_keys:
+    bad_date_rows and bad_rank_rows: rows, kept ones too, whose date or rank could
+    not be read (0 for a table that `read_pageviews` did not flag); empty_key_rows: titles of punctuation only; distinct_titles, distinct_keys:
     their difference is the number of titles that share a key with another one.
-    The last four are about the kept rows.
+    Overflows, empty keys, titles and keys are about the kept rows.
     """
     kept = F.coalesce(is_view_count("views"), F.lit(False))
+    bad = {c: F.col(c) if c in raw.columns else F.lit(False) for c in ("bad_date", "bad_rank")}
     per_title = raw.groupBy("article").agg(
         _rows().alias("raw_rows"),
         _rows(kept).alias("kept_rows"),
         _rows(kept & counted_views("views").isNull()).alias("overflow_rows"),
+        *[_rows(flag).alias(f"{c}_rows") for c, flag in bad.items()],
     )
     seen = F.col("kept_rows") > 0
     key = F.when(seen, title_key("article"))
     return per_title.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c)
-          for c in ("raw_rows", "kept_rows", "overflow_rows")],
+          for c in ("raw_rows", "kept_rows", "overflow_rows", "bad_date_rows", "bad_rank_rows")],
         F.coalesce(F.sum(F.when(key == "", F.col("kept_rows"))), F.lit(0)).alias("empty_key_rows"),
         F.count(F.when(seen, F.col("article"))).alias("distinct_titles"),
         F.count_distinct(key).alias("distinct_keys"),
     ).select(
         "raw_rows", "kept_rows", (F.col("raw_rows") - F.col("kept_rows")).alias("corrupt_rows"),
-        "overflow_rows", "empty_key_rows", "distinct_titles", "distinct_keys",
+        "overflow_rows", "bad_date_rows", "bad_rank_rows", "empty_key_rows", "distinct_titles", "distinct_keys",
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +22,6 @@ from textlake.operators.histories import MAX_ENTRIES
 from textlake.schemas import KEY
 from textlake.workspace import land
 
-# Keys of a corpus filter up to this size are broadcast: some three million titles.
-BROADCAST_BYTES = 64 << 20
-
 
 def clean_pageviews(raw: DataFrame) -> DataFrame:
     """article, views (long), date, rank and the key, without corrupt rows.
@@ -79,47 +75,30 @@ def analytics(pageviews: DataFrame) -> DataFrame:
     ])
 
 
-class EntryCounts(NamedTuple):
-    """Every key with the number `n` of its entries, landed and measured."""
-
-    table: DataFrame
-    largest: int
-    key_bytes: int
-
-    def matching(self, articles: DataFrame) -> DataFrame:
-        """The articles of these keys; keys of a checked size are broadcast."""
-        return keep_matching(articles, self.table, [KEY], self.key_bytes <= BROADCAST_BYTES)
-
-
-def entry_counts(pageviews: DataFrame) -> EntryCounts:
-    table = land(pageviews.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")), "entry-counts")
-    largest, key_bytes = table.agg(F.max("n"), F.sum(F.octet_length(KEY))).first()
-    return EntryCounts(table, largest or 0, key_bytes or 0)
+def viewed_keys(pageviews: DataFrame) -> DataFrame:
+    """The distinct keys, landed, so that Catalyst knows their size."""
+    return land(pageviews.select(KEY).distinct(), "viewed-keys")
 
 
 def article_documents(
     pageviews: DataFrame,
     articles: DataFrame,
-    counts: EntryCounts | None = None,
     max_entries: int = MAX_ENTRIES,
     order_by: str = "url",
     tie_breakers: Sequence[str] = ARTICLE_ORDER,
+    viewed_only: bool = False,
 ) -> DataFrame:
     """One document per viewed article: ordered history arrays and article text.
 
-    `pageviews` is read twice, so give a stored table. The `entry_counts` are made
-    first: they decide whether some history must be split, and cut the corpus
-    down to the viewed articles before it is shuffled. Histories are joined after
-    they are gathered, one row per document instead of one per day.
+    A document is a row for each `max_entries` entries of its history, numbered by
+    `part`; the texts are in each. `pageviews` is read twice, so give a stored table.
+    The corpus is cut down to the viewed articles before it is shuffled, unless it
+    is `viewed_only` already. Histories are joined after they are gathered.
     """
-    if counts is None:
-        counts = entry_counts(pageviews)
-    split = counts.largest > max_entries
-    histories = article_histories(pageviews, KEY, split, max_entries)
-    viewed = unique_articles(counts.matching(articles), order_by, tie_breakers)
-    texts = viewed.select(KEY, "description", "url", "abstract")
-    if split:
-        # The parts of a hot key meet in this join. They can be spread over
-        # tasks only if the other side has a shuffle of its own.
-        texts = land(texts, "viewed-articles")
+    histories = article_histories(pageviews, KEY, max_entries)
+    if not viewed_only:
+        articles = keep_matching(articles, viewed_keys(pageviews), [KEY])
+    # The parts of a hot key meet in this join. They can be spread over tasks only
+    # if the other side has a shuffle of its own.
+    texts = land(unique_articles(articles, order_by, tie_breakers).select(KEY, "description", "url", "abstract"), "texts")
     return df_join(histories, texts, [KEY]).select(*schemas.DOCUMENTS.names)

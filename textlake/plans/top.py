@@ -3,7 +3,7 @@
 A period is a range of dates, not a condition on its year and month, so that it
 reaches the Parquet scan. On a rankings table with a `year` folder column the
 same period also prunes folders. Ties go to the smaller article name; a period
-without data gives no row.
+without data gives no row. Totals are decimals of 38 digits.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ def _within(rankings: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
 
 
 def _totals(rankings: DataFrame, *period: str) -> DataFrame:
-    total = F.sum("views").alias("total_views")
+    # a sum of longs may not fit one; 38 digits hold any number of rows there can be
+    total = F.sum(F.col("views").cast("decimal(28,0)")).alias("total_views")
     return rankings.groupBy(*period, KEY).agg(total).where(F.col("total_views").isNotNull())
 
 

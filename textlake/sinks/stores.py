@@ -7,23 +7,24 @@ put them on the classpath (``spark.jars.packages``) of a session that uses them.
 
 from __future__ import annotations
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textlake.workspace import land
 
 _ROW_NUMBER = "load_row"
 
-# SQL column types and the Spark types stored for them. FLOAT is
-# double precision in PostgreSQL, and a Spark string becomes TEXT there.
+# Rows of an insert into the document and into the relational store.
+INSERT_BATCH, RELATIONAL_BATCH = 500, 1000
+
+# SQL column types whose name means something else in Spark, or nothing.
+# FLOAT is double precision in PostgreSQL, and a Spark string becomes TEXT there.
 RELATIONAL_TYPES = {
     "TEXT": "string",
-    "BIGINT": "bigint",
-    "INT": "int",
-    "INTEGER": "int",
     "FLOAT": "double",
     "DOUBLE PRECISION": "double",
-    "DATE": "date",
 }
 
 
@@ -43,14 +44,22 @@ def collection_options(db_name: str, collection_name: str, uri: str) -> dict:
     return {"connection.uri": uri, "database": db_name, "collection": collection_name}
 
 
+def _spark_type(sql_type: str) -> str:
+    """The Spark type that a SQL type is sent as; text for those that Spark does not have."""
+    name = RELATIONAL_TYPES.get(sql_type.upper(), sql_type)
+    try:
+        return T.DataType.fromDDL(name).simpleString()
+    except ParseException:
+        return "string"
+
+
 def relational_rows(records: DataFrame, columns: list[str], column_types: dict) -> DataFrame:
-    """`columns` in order, cast to the Spark types of their SQL types."""
-    unknown = [c for c in columns if column_types[c].upper() not in RELATIONAL_TYPES]
-    if unknown:
-        raise ValueError(f"no Spark type known for the SQL types of {unknown}")
-    return records.select(*[
-        F.col(c).cast(RELATIONAL_TYPES[column_types[c].upper()]).alias(c) for c in columns
-    ])
+    """`columns` in order, cast to the Spark types of their SQL types.
+
+    Any SQL type goes. One that Spark does not have (UUID, JSONB) is sent as text:
+    the table must then exist or be filled by `stage_for_postgres`, which casts.
+    """
+    return records.select(*[F.col(c).cast(_spark_type(column_types[c])).alias(c) for c in columns])
 
 
 def load_to_postgres(
@@ -59,7 +68,7 @@ def load_to_postgres(
     column_types: dict,
     db_config: dict,
     table_name: str,
-    batch_size: int = 1000,
+    batch_size: int = RELATIONAL_BATCH,
     mode: str = "append",
     max_connections: int = 16,
 ) -> None:
@@ -79,7 +88,7 @@ def stage_for_postgres(
     column_types: dict,
     db_config: dict,
     table_name: str,
-    batch_size: int = 1000,
+    batch_size: int = RELATIONAL_BATCH,
     max_connections: int = 16,
 ) -> list[str]:
     """Fill ``<table_name>_staging`` and return the SQL that publishes it.
@@ -100,9 +109,10 @@ def publish_statements(
 ) -> list[str]:
     listed = ", ".join(columns)
     typed = ", ".join(f"{c} {column_types[c]}" for c in columns)
+    cast = ", ".join(f"CAST({c} AS {column_types[c]})" for c in columns)
     return [
         f"CREATE TABLE IF NOT EXISTS {table_name} ({typed})",
-        f"INSERT INTO {table_name} ({listed}) SELECT {listed} FROM "
+        f"INSERT INTO {table_name} ({listed}) SELECT {cast} FROM "
         f"(SELECT DISTINCT {_ROW_NUMBER}, {listed} FROM {staging}) AS numbered",
         f"DROP TABLE {staging}",
     ]
@@ -120,10 +130,10 @@ def _write_jdbc(rows, db_config, table_name, batch_size, mode, max_connections)
 
 def upload_to_mongo(
     data: DataFrame,
-    db_name: str = "textlake",
-    collection_name: str = "articles_data",
-    uri: str = "mongodb://localhost:27017/",
-    batch_size: int = 500,
+    db_name: str,
+    collection_name: str,
+    uri: str,
+    batch_size: int = INSERT_BATCH,
     mode: str = "append",
     replace_on: list[str] | None = None,
 ) -> None:

@@ -26,7 +26,9 @@ def ingest_data(
     """Read `filepath` as csv, json (one value per file) or jsonl (one per line).
 
     Without a schema the types are inferred, which reads the input twice. With
-    one, the input is read once and unused fields are never materialised. Further
+    one, the input is read once and unused fields are never materialised; a CSV
+    header must then name its columns in their order (`read_pageviews` goes by
+    name). Further
     keyword arguments are passed to the Spark reader, e.g. ``escape='"'`` for
     CSV files that double their quotes. A json file is one task and is parsed as
     a whole, so keep such files small; the other types are split.
@@ -38,24 +40,33 @@ def ingest_data(
     reader = spark.read.format(source).options(**defaults)
     if schema is not None:
         reader = reader.schema(schema)
+        if kind == "csv":
+            # a header in another order is an error instead of values in wrong columns
+            reader = reader.option("enforceSchema", False)
     elif kind == "csv":
         reader = reader.option("inferSchema", True)
     return reader.options(**options).load(filepath)
 
 
-def read_pageviews(spark: SparkSession, filepath: str | list[str], **options) -> DataFrame:
+def read_pageviews(
+    spark: SparkSession, filepath: str | list[str], flags: bool = False, **options
+) -> DataFrame:
     """Daily view counts from CSV in the layout of `schemas.PAGEVIEWS`.
 
     Columns are found by header name, in any order: reading them all as text
     needs only the header line, where inference would scan the files. Files of
     one folder must have the same header; another one is an error. A value that
-    does not fit its type becomes NULL.
+    does not fit its type becomes NULL; `flags` adds bad_date and bad_rank, which
+    say that there was one.
     """
     text = ingest_data(
         spark, filepath, "csv", **{"inferSchema": False, "enforceSchema": False, **options})
-    return text.select(*[
-        F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.PAGEVIEWS
-    ])
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.PAGEVIEWS]
+    bad = [
+        (F.col(c).isNotNull() & F.col(c).try_cast(schemas.PAGEVIEWS[c].dataType).isNull()).alias(f"bad_{c}")
+        for c in ("date", "rank") if flags
+    ]
+    return text.select(*typed, *bad)
 
 
 def read_articles(

@@ -2,7 +2,7 @@
 
 An intermediate that several branches read, or that must not be recomputed when
 executors go away, is written as Parquet below the folder that the session names
-in ``spark.checkpoint.dir``. The file sizes of such a table are known to Catalyst
+in ``spark.checkpoint.dir``, or else below its warehouse. The file sizes of such a table are known to Catalyst
 before the next query starts, so it broadcasts the table only when it is below
 ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise. All of it is
 deleted when the application exits, or earlier by `temporary`.
@@ -12,8 +12,6 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
-import functools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -23,19 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 _scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="textlake-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see; a private one only in local mode."""
+    """The folder all executors see; a path without a scheme is in the default file system."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_scratch()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def _file_system(spark: SparkSession, path: str):
