@@ -9,9 +9,10 @@ left out once all slots hold less than j: long documents need two or three steps
 
 Documents that agree in a band of `ROWS` slots share a bucket. A pair at 0.75 misses
 all 32 bands with probability (1 - 0.75^4)^32 = 5e-6. Pairs are confirmed on the full
-sets. Not all pairs of a bucket are formed: a pair that is already in one component
-needs no test, so each document is held against its buckets' smallest members first,
-then only members of different components against each other.
+sets. Not all pairs of a bucket are formed, as a pair that is already in one component
+needs no test: each document is held against one of its buckets' smallest members
+first, then the members of buckets that still hold several components against one
+drawn from them, and at last all members of different components against each other.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm import text as T
@@ -30,6 +31,8 @@ from textlake.workspace import land
 
 SLOTS, ROWS = 128, 4
 THRESHOLD = 75
+#: Rounds in which each open bucket is held against a member drawn from it.
+PIVOT_ROUNDS = 1
 _ELEMENTS = 16_384
 _LOW = np.uint64(0xFFFFFFFF)
 _STEP = 0x9E3779B97F4A7C15
@@ -92,12 +95,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
 
+def _similar(x: str, y: str) -> Column:
+    """Are the sets of two columns similar enough?"""
+    shared = F.size(F.array_intersect(x, y)).cast("long")
+    return 100 * shared >= THRESHOLD * (F.size(x) + F.size(y) - shared)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    union = F.size("set_a") + F.size("set_b") - shared
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    return both.where(100 * shared >= THRESHOLD * union).select("a", "b")
+    return both.where(_similar("set_a", "set_b")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -120,34 +127,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = shared.select(F.col("rep").alias("doc_id")).distinct()
     sets = land(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<bigint>"), "sets")
 
-    fits = f"rep <> pivot and 100 * least(n, pivot_n) >= {THRESHOLD} * greatest(n, pivot_n)"
-    star = land(shared.where(fits).groupBy(F.col("pivot").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("weight")), "star")
+    def size_fits(x: str, y: str) -> Column:
+        return F.expr(f"100 * least({x}, {y}) >= {THRESHOLD} * greatest({x}, {y})")
+
+    # each document against the smallest member that it shares most buckets with
+    star = shared.where((F.col("rep") != F.col("pivot")) & size_fits("n", "pivot_n"))
+    star = star.groupBy(F.col("pivot").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("weight"))
     best = star.groupBy("b").agg(F.max_by("a", F.struct("weight", -F.col("a"))).alias("a")).select("a", "b")
-    links = land(_confirmed(best, sets), "links-best")
-
-    def with_components(pairs: DataFrame, found: DataFrame) -> DataFrame:
-        """Only pairs of different components."""
-        for side in ("a", "b"):
-            own = found.select(F.col("node").alias(side), F.col("component").alias(f"{side}_of"))
-            pairs = pairs.join(own, side, "left").withColumn(f"{side}_of", F.coalesce(f"{side}_of", side))
-        return pairs.where("a_of <> b_of").select("a", "b")
-
-    found = land(components(links), "components")
-    more = land(_confirmed(with_components(star.select("a", "b").exceptAll(best), found), sets), "links-star")
-    links = links.unionByName(more)
-    found = land(components(links), "components")
-
-    # buckets that still hold several components: all pairs across these
-    rows = shared.select("bucket", "rep", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    rows = land(rows.select("bucket", "rep", "n", "component"), "bucket-components")
-    open_ = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    left = rows.join(open_, "bucket", "left_semi")
-    a, b = (left.select("bucket", *[F.col(c).alias(f"{s}_{c}") for c in ("rep", "n", "component")]) for s in "ab")
-    crossing = a.join(b, "bucket").where(f"a_rep < b_rep and a_component <> b_component and 100 * least(a_n, b_n) >= {THRESHOLD} * greatest(a_n, b_n)")
-    tested = star.select("a", "b")
-    pairs = crossing.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(land(_confirmed(pairs, sets), "links-crossing"))
-    found = land(components(links), "components")
+    links = land(_confirmed(best, sets), "links")
+
+    def open_buckets() -> DataFrame:
+        """The buckets that hold several components, each member with its own."""
+        found = components(links).withColumnRenamed("node", "rep")
+        rows = shared.select("bucket", "rep", "n").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+        return land(rows.join(several, "bucket", "left_semi"), "open-buckets")
+
+    for k in range(PIVOT_ROUNDS):
+        rows = open_buckets()
+        drawn = rows.groupBy("bucket").agg(F.min_by(F.struct("rep", "n", "component"), F.xxhash64("rep", "bucket", F.lit(k))).alias("pivot"))
+        pairs = rows.join(drawn, "bucket").where((F.col("component") != F.col("pivot.component")) & size_fits("n", "pivot.n"))
+        pairs = pairs.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
+        links = links.unionByName(land(_confirmed(pairs, sets), "links"))
+
+    # what is left: every member outside its bucket's largest component against those of others;
+    # the join's condition is the comparison itself, so that only links come out of it
+    rows = open_buckets()
+    sized = rows.groupBy("bucket", "component").agg(F.count("*").alias("members"))
+    largest = sized.groupBy("bucket").agg(F.max_by("component", F.struct("members", "component")).alias("largest"))
+    members = rows.join(largest, "bucket").join(sets.toDF("rep", "set"), "rep").join(distinct.select("rep", "buckets"), "rep")
+    own = ("rep", "n", "component", "set", "buckets")
+    minor = members.where("component <> largest").select("bucket", *[F.col(c).alias(f"a_{c}") for c in own])
+    other = members.select(F.col("bucket").alias("b_bucket"), "largest", *[F.col(c).alias(f"b_{c}") for c in own])
+    crossing = F.expr("bucket = b_bucket and a_component <> b_component and (b_component = largest or a_rep < b_rep)") & size_fits("a_n", "b_n")
+    # in one of the buckets that a pair shares
+    crossing = crossing & (F.array_intersect("a_buckets", "b_buckets")[0] == F.col("bucket"))
+    pairs = minor.join(other, crossing & _similar("a_set", "b_set"))
+    links = links.unionByName(land(pairs.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct(), "links"))
+    found = components(links)
 
     rep_of = distinct.select("set_key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     plain = sketch.select("doc_id", "n_shingles", "set_key")
