@@ -23,6 +23,7 @@ from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
 from textlake.llm.queries import HELD_OUT, table
 from textlake.llm.secret_scan import redact
+from textlake.llm.text import bound_batches
 from textlake.workspace import land
 
 LEAST_SHARE = 0.4
@@ -30,6 +31,7 @@ LEAST_SHARE = 0.4
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is known; the model learns from labelled rows that are not held out."""
+    bound_batches(spark)
     model = language.train(docs.where(f"not {HELD_OUT}"))
     kept = language.identify(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
     return kept.select(*docs.columns)
@@ -40,6 +42,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows without doc_id belong to no group and stay.
     """
+    bound_batches(spark)
     judged = land(near_duplicates(docs).select("doc_id", "kept").where("doc_id is not null"), "judged")
     gone = land(judged.where("not kept").select("doc_id").distinct(), "near-duplicates")
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -63,6 +66,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in their sequences."""
+    bound_batches(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -130,7 +130,7 @@ def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` that hold no item, with all their columns."""
     columns = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string"
+    schema = T.row_schema(rows, "text string")
     for index in _indexes(items):
 
         def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:

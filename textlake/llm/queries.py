@@ -16,6 +16,7 @@ from textlake.llm.packing import pack
 from textlake.llm.quotes import link_quotations
 from textlake.llm.repeats import remove_repeats
 from textlake.llm.secret_scan import secret_report
+from textlake.llm.text import bound_batches
 from textlake.llm.token_counts import token_counts
 from textlake.llm.url_filter import hosts_with_label, judge_urls
 from textlake.workspace import land
@@ -30,6 +31,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,12 +11,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructType
 
 U64 = np.uint64
 SHINGLE_WORDS = 5
 
 #: Bytes handled at once; a single text may be longer and is then cut at white space.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -44,6 +46,20 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+#: Bytes of an Arrow batch between Spark and its Python workers.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, as 10,000 rows of text may be any size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def row_schema(rows: DataFrame, others: str) -> StructType:
+    """The struct `row` of `rows`, whatever its columns are called, and other columns."""
+    return StructType([rows.schema["row"], *DataType.fromDDL(others).fields])
+
+
 class _Powers:
     """Powers of the base and of its inverse, as many as were asked for."""
 

@@ -104,6 +104,5 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, text: str = "text", li
                 size = pc.binary_length(texts).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("row"), size, pa.array(n), pa.array(n > limit)], ["row", *new])
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
-    out = rows.mapInArrow(count, schema)
+    out = rows.mapInArrow(count, T.row_schema(rows, "n_bytes long, n_tokens long, over_limit boolean"))
     return out.select(*([F.col(f"row.`{c}`") for c in kept]), *new)

@@ -154,7 +154,7 @@ def member_of_list(rows: DataFrame, key: str, listed_keys: DataFrame, new: str,
     columns = [c for c in rows.columns if c != new]
     h = F.xxhash64(F.col(f"`{key}`").cast("string"), F.lit(seed))
     rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), h.alias("h"), shard(h).alias("shard"), F.lit(False).alias("listed"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, h long, shard long, listed boolean"
+    schema = T.row_schema(rows, "h long, shard long, listed boolean")
     for k in range(n_shards):
         cascade = rows.sparkSession.sparkContext.broadcast(build_cascade(universe.where(shard(F.col("h")) == k)))
 
