@@ -145,8 +145,14 @@ def train(labelled: DataFrame, rows_per_language: int = TRAIN_ROWS) -> Model:
     most 3 * 2**16 counts per language.
     """
     labelled = labelled.where("doc_id is not null and text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("lang", "doc_id").withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows_per_language)
+    # twice the share of a language that is wanted, before its rows are ranked in one place
+    hashed = labelled.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h"))
+    counts = labelled.groupBy("lang").count().toArrow().to_pydict()
+    if not counts["lang"]:
+        return Model([], np.zeros((1, 0), np.float32), np.zeros((len(SCRIPTS), 0), np.float32), np.zeros(0))
+    most = F.create_map(*[F.lit(x) for lang, n in zip(counts["lang"], counts["count"], strict=True) for x in (lang, 2 * rows_per_language * (1 << 40) // n)])
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    chosen = hashed.where(F.col("h") <= most[F.col("lang")]).withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows_per_language)
     chosen = land(chosen.select("doc_id").distinct(), "training-rows")
     counts = labelled.select("doc_id", "lang", "text").join(chosen, "doc_id", "left_semi").select("lang", "text").mapInArrow(_count, "lang string, feature long, n long")
     table = counts.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
@@ -283,5 +289,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)], ["row", *new])
 
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, spans {SPANS}")
+    out = rows.mapInArrow(run, T.row_schema(rows, f"lang_pred string, score double, spans {SPANS}"))
     return out.select(*[F.col(f"row.`{c}`") for c in columns], *new)
