@@ -1,0 +1,27 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = T.StructType([
+    T.StructField("doc_id", T.LongType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType()),
+])
+
+
+@pytest.fixture
+def documents(spark):
+    """Rows of `documents` from (doc_id, text[, lang[, source]])."""
+
+    def make(*rows):
+        full = [(i, t, *(*rest, None, None)[:2], None if t is None else len(t)) for i, t, *rest in rows]
+        return spark.createDataFrame(full, DOCUMENTS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    """The documents of the smallest tables."""
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

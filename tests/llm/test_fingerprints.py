@@ -1,0 +1,72 @@
+import hashlib
+import random
+
+import pytest
+
+from textlake.llm import fingerprints as P
+
+
+def expected(docs):
+    """(doc_id, n_chars, edited_sha256) in descending order of ids, then texts."""
+    order = sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0, x[1] or ""), reverse=True)
+    out = []
+    for k, (i, t) in enumerate(order):
+        t, following = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        out.append((i, len(t), hashlib.sha256((t[: len(t) - half] + following[:half]).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def apart(a, b):
+    return bin(int(a, 16) ^ int(b, 16)).count("1")
+
+
+def rows_of(docs):
+    return P.fingerprint_documents(docs).collect()
+
+
+def test_small_tables(small):
+    docs = {r.doc_id: r.text for r in small.collect()}
+    rows = {r.doc_id: r for r in rows_of(small)}
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in rows.values()), key=str) == expected(list(docs.items()))
+    by_text, ids = {}, sorted(docs, reverse=True)
+    for i, following in zip(ids, [*ids[1:], ids[0]], strict=True):
+        r = rows[i]
+        assert by_text.setdefault(docs[i], r.fingerprint) == r.fingerprint
+        assert r.near_next == 1 - apart(r.fingerprint, rows[following].fingerprint) / P.BITS
+        assert r.near_edited == 1 - apart(r.fingerprint, r.edited_fingerprint) / P.BITS
+    assert sum(r.near_edited > r.near_next for r in rows.values()) > 0.97 * len(rows)
+    again = {r.doc_id: r for r in rows_of(small.repartition(13))}
+    assert again == rows
+
+
+@pytest.mark.parametrize("radius", [0, 3, 4, 9])
+def test_search_finds_all_within_the_radius(spark, radius):
+    rnd = random.Random(radius)
+    prints = []
+    for _ in range(40):
+        base = rnd.getrandbits(128)
+        for _ in range(8):
+            near = base
+            for _ in range(rnd.randint(0, 12)):
+                near ^= 1 << rnd.randrange(128)
+            prints.append(near)
+    signed = [tuple(((x >> s) & (2**64 - 1)) - (2**64 if (x >> s) >> 63 & 1 else 0) for s in (64, 0)) for x in prints] + [(None, 1)]
+    frame = spark.createDataFrame(signed, "high long, low long")
+    got = {(r.high, r.low): r.n_near for r in P.within_radius(frame.limit(100), frame, radius).collect()}
+    for x, pair in list(zip(prints, signed, strict=False))[:100]:
+        assert got[pair] == sum(bin(x ^ y).count("1") <= radius for y in prints)
+
+
+def test_edges(documents):
+    t = "one two three four five six seven eight"
+    docs = [(5, t), (5, t), (5, None), (None, "zz"), (None, t), (7, ""), (6, "word"), (1, "é日 x")]
+    frame = documents(*docs).withColumnRenamed("lang", "edge")
+    rows = rows_of(frame)
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in rows), key=str) == expected(docs)
+    assert {r.fingerprint for r in rows if r.n_chars == 0} == {"0" * 32}
+    assert rows_of(frame.where("false")) == []
+    (only,) = rows_of(documents((3, t)))
+    assert only.near_next == 1.0 and only.edited_sha256 == expected([(3, t)])[0][2]
+    with pytest.raises(ValueError):
+        P.within_radius(frame, frame, -1)

@@ -1,0 +1,113 @@
+"""Ids against the library, windows against a quadratic program, pieces against the ids."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from textlake.llm import packing as K
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = "aB c'stIİΣσς<|endoftext|>.!?́  \x1c\x85　日本é̈ A\nÅ̸=\t1²½ºªµÀß÷×ÿ¡¼'re'LL"
+
+
+def encoded(texts):
+    ids, borders = K.encode(pa.array(texts, pa.string()), PATH)
+    return [ids[a:b].tolist() for a, b in zip(borders, borders[1:], strict=False)]
+
+
+def library(texts):
+    K._load(PATH)
+    return [e.ids for e in K._state["encoder"].encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_ids_of_random_texts():
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choice(ODD) for _ in range(rnd.randint(0, 40))) for _ in range(4000)]
+    texts += ["a <|endoftext|>b it's", "x<|startoftext|> y", "z" * 3000, None, ""]
+    assert encoded(texts) == library(texts)
+
+
+def test_equal_hashes_of_different_chunks(monkeypatch):
+    """Chunks are compared, not only their hashes."""
+    monkeypatch.setattr(K.T, "mix", lambda x: x % np.uint64(3))
+    texts = ["red green blue red", "blue blew red", "a bb ccc dddd a"]
+    assert encoded(texts) == library(texts)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_windows_are_the_cheapest(seed):
+    rnd = np.random.default_rng(seed)
+    window = 16
+    at = np.unique(np.concatenate([[0], np.cumsum(rnd.integers(1, 9, 60))]))
+    cost = rnd.choice([0, 4, 64], len(at))
+
+    def price(cuts):
+        lengths = np.diff(cuts)
+        assert lengths.max() <= window
+        padding = [0 if n & (n - 1) == 0 else window - n for n in lengths]
+        of = dict(zip(at.tolist(), cost.tolist(), strict=True))
+        return sum(padding) + sum(of[c] for c in cuts[1:]) + K.EACH_SEQUENCE * len(lengths)
+
+    best = [0]
+    for i in range(1, len(at)):
+        reach = [j for j in range(i) if at[i] - at[j] <= window]
+        best.append(min(best[j] + (0 if (n := int(at[i] - at[j])) & (n - 1) == 0 else window - n) for j in reach) + cost[i] + K.EACH_SEQUENCE)
+    assert price(K.windows(at, cost, window)) == best[-1]
+
+
+def check(docs, rows, window=4096):
+    """All ids once, sequences without gaps, checksums right; the padding."""
+    texts = [t for _, t in docs]
+    ids = [x + [2] for x in library(texts)]
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == {i for i, _ in docs}
+    for (i, _), own in zip(docs, ids, strict=True):
+        pieces = sorted(by_doc[i], key=lambda r: r.start)
+        assert sum(r.length for r in pieces) == len(own) and {r.doc_tokens for r in pieces} == {len(own)}
+        at = 0
+        for r in pieces:
+            assert r.start == at
+            assert r.ids_crc32 == zlib.crc32(np.array(own[at : at + r.length], "<u4").tobytes())
+            at += r.length
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    total = 0
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= window
+        total += 0 if at & (at - 1) == 0 else window - at
+    return total / sum(map(len, ids))
+
+
+def test_whole_documents(small):
+    docs = [(r.doc_id, r.text) for r in small.collect()]
+    assert check(docs, K.pack(small, PATH).collect()) < 0.02
+
+
+def test_long_texts_and_blocks(documents, monkeypatch):
+    rnd = random.Random(3)
+    words = ["one", "two", "three", "four.", "five", "six!"]
+    docs = [(i, " ".join(rnd.choice(words) for _ in range(n))) for i, n in enumerate([9000, 0, 1, 5, 30_000, 4095, 4096])]
+    docs += [(90, None), (91, ""), (92, "word " * 20_000)]
+    rows = K.pack(documents(*docs), PATH).collect()
+    check(docs, rows)
+
+
+def test_edges(documents, spark):
+    docs = documents((1, "a b"), (1, "a b"), (None, "c"), (2, None))
+    rows = K.pack(docs, PATH, with_ids=True).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in rows) == [(0, 2), (1, 3), (1, 3), (2, 1)]
+    assert all(r.ids[-1] == 2 and len(r.ids) == r.length for r in rows)
+    assert K.pack(docs.where("false"), PATH).count() == 0
+    with pytest.raises(ValueError):
+        K.pack(docs, PATH, window=1)

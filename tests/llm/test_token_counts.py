@@ -1,0 +1,47 @@
+"""Against the library on whole texts."""
+
+import random
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from textlake.llm import token_counts as C
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ODD = "aB c'stIİΣσς<|endoftext|>.!?́  \x1c\x85　日本é̈ A\nÅ̸=\t1²½ ­\r're"
+
+
+def whole(texts):
+    return [len(e.ids) for e in C.tokenizer(PATH).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_random_texts():
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choice(ODD) for _ in range(rnd.randint(0, 60))) for _ in range(4000)]
+    texts += ["a <|endoftext|>b it's", "<|endoftext|>" * 3, "word " * 9000, "x" * 50_000, ""]
+    assert C.count_tokens(texts, PATH).tolist() == whole(texts)
+
+
+def test_a_full_cache_changes_nothing(monkeypatch):
+    monkeypatch.setattr(C, "CACHE_PIECES", len(C._state.get("lengths", ())) + 5)
+    texts = [f"new{i} words{i} here{i}" for i in range(300)]
+    assert C.count_tokens(texts, PATH).tolist() == whole(texts)
+    assert C.count_tokens(texts[::-1], PATH).tolist() == whole(texts[::-1])
+
+
+def test_whole_documents(small):
+    rows = C.token_counts(small.select("doc_id", "text", "lang"), PATH).collect()
+    texts = {r.doc_id: r.text or "" for r in small.collect()}
+    counts = dict(zip(texts, whole(list(texts.values())), strict=True))
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in rows} == {
+        i: (len(t.encode()), counts[i], counts[i] > 512) for i, t in texts.items()}
+
+
+def test_edges(documents):
+    docs = documents((1, None), (2, ""), (2, "a b"), (2, "a b"), (None, "x y " * 1000))
+    docs = docs.withColumns({"n_tokens": F.lit("clash"), "row": F.lit(1), "a.b": F.lit(2)})
+    out = C.token_counts(docs, PATH)
+    assert out.columns == ["doc_id", "lang", "source", "n_chars", "row", "a.b", "n_bytes", "n_tokens", "over_limit"]
+    got = sorted((r.doc_id or 0, r.n_bytes, r.over_limit) for r in out.collect())
+    assert got == [(0, 4000, True), (1, 0, False), (2, 0, False), (2, 3, False), (2, 3, False)]
+    assert C.token_counts(docs.where("false"), PATH).count() == 0

@@ -54,7 +54,7 @@ def parse(text: str | None) -> tuple[str | None, list[tuple[int, str]]]:
         return text, []
     own: list[str] = []
     passages: list[tuple[int, list[str]]] = []
-    before = 0
+    before, run = 0, 0  # the levels of the last line that counts, and of the line above
     for line in text.split("\n"):
         marks = _MARKS.match(line)
         level = marks.group(1).count(">") if marks else 0
@@ -62,16 +62,17 @@ def parse(text: str | None) -> tuple[str | None, list[tuple[int, str]]]:
             if before == 0 or line.strip():
                 own.append(line)
                 before = 0
+            run = 0
             continue
         if before == 0:
             while own and not own[-1].strip():
                 own.pop()
             if own and _ATTRIBUTION.match(own[-1]):
                 own.pop()
-        if level != before:
+        if level != run:
             passages.append((level, []))
         passages[-1][1].append(line[marks.end() :])
-        before = level
+        before = run = level
     if not passages:
         return text, []
     return "\n".join(own).strip("\n"), [(level, "\n".join(lines)) for level, lines in passages]
