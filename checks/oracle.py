@@ -303,7 +303,7 @@ WHERE NOT EXISTS (SELECT 1 FROM art a WHERE a.article_name = p.article_name)""",
     "orders_top_every_year": _top_by(EVERY_YEAR, "pageviews"),
     "orders_top_every_day": """
 SELECT date, article_name, rank
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY article_name) AS rn
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY article_name NULLS FIRST) AS rn
       FROM pageviews WHERE rank = 1) t
 WHERE rn = 1""",
 }
