@@ -113,6 +113,7 @@ def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = docs.sparkSession.createDataFrame([], PAIRS)
     for index in _indexes(items):
 
+        @T.task("decontamination")
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             own = index.value
             for batch in batches:
@@ -133,6 +134,7 @@ def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     schema = T.row_schema(rows, "text string")
     for index in _indexes(items):
 
+        @T.task("decontamination")
         def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in T.slices(batch, "text"):

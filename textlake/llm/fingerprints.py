@@ -77,6 +77,7 @@ MEASURES = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "ne
 _TYPES = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, high long, low long"
 
 
+@T.task("fingerprints")
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text measured against the one after it; the partition's ends go out as they are."""
     part = TaskContext.get().partitionId()

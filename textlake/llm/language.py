@@ -37,7 +37,6 @@ RANGE_SHARE = 0.002
 
 _BITS = 16
 _GRAMS = (2, 3, 4)
-_DECODE_WORDS = 400_000
 #: First code points of the script ranges: basic Latin, Latin with marks, Greek,
 #: Cyrillic, Armenian, Hebrew, Arabic, Indic, Thai to Tibetan, others, Kana, Han,
 #: Hangul, others.
@@ -119,6 +118,7 @@ class Model:
     prior: np.ndarray  # (langs,)
 
 
+@T.task("language")
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, feature, n): grams at 1 and up, ranges from -1 down, documents at 0."""
     for batch in batches:
@@ -282,6 +282,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @T.task("language")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch, "text"):

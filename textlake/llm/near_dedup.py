@@ -71,6 +71,7 @@ def band_keys(ranks: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+@T.task("near-dedup")
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in T.slices(batch, "text"):
@@ -88,6 +89,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@T.task("near-dedup")
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in T.slices(batch, "text"):

@@ -39,9 +39,9 @@ BLOCK_IDS = 1 << 20
 SENTENCE_CUT, INNER_CUT, EACH_SEQUENCE = 4, 64, 16
 #: Ids between the places offered inside a sentence longer than twice that.
 INNER_STEP = 256
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 #: Ids kept by each worker: of chunks between white space, and of their words.
-CACHE_CHUNKS, CACHE_WORDS = 900_000, 700_000
+CACHE_CHUNKS, CACHE_WORDS = 250_000, 300_000
 
 #: The tokenizer's own words within a chunk of visible Latin-1 characters, lower-cased.
 LATIN_1 = re.compile(r"[\n!-;=-~\u00a1-\u00ff]*")
@@ -52,6 +52,10 @@ MARK = b"\xff" * 4
 _state: dict = {}
 
 
+def _release() -> None:
+    _state.clear()
+
+
 class Words(dict):
     """Kept ids (little-endian unsigned 32 bit) by word, and those of the batch at hand."""
 
@@ -242,6 +246,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id:
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).sortWithinPartitions("doc_id", "text")
     end = np.array([end_id], "<u4").tobytes()
 
+    @T.task("packing", _release)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends, sequence = _load(tokenizer_path)["ends"], TaskContext.get().partitionId() << 40
         block, room = [], BLOCK_IDS

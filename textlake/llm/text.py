@@ -6,7 +6,10 @@ space and 0x09 to 0x0D. Words and shingles stand for themselves as 64-bit hashes
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +58,42 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+_held: dict[str, Callable[[], None]] = {}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, as workers wait for their next task beside a busy JVM."""
+    _POWERS.up = _POWERS.down = np.ones(1, U64)
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def task(operator: str, release: Callable[[], None] = lambda: None):
+    """Marks what an operator runs over a partition's batches.
+
+    Python workers serve one operator after another. As a task begins, what other
+    operators keep from task to task is let go of (their `release`).
+    """
+
+    def wrap(function):
+        @functools.wraps(function)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for name in [name for name in _held if name != operator]:
+                _held.pop(name)()
+            _held[operator] = release
+            try:
+                yield from function(batches)
+            finally:
+                gc.collect()
+                _give_back()
+
+        return run
+
+    return wrap
+
+
 def row_schema(rows: DataFrame, others: str) -> StructType:
     """The struct `row` of `rows`, whatever its columns are called, and other columns."""
     return StructType([rows.schema["row"], *DataType.fromDDL(others).fields])

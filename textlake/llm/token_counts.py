@@ -33,6 +33,10 @@ CACHE_PIECES = 800_000
 _state: dict = {}
 
 
+def _release() -> None:
+    _state.clear()
+
+
 class Lengths(dict):
     """Kept lengths by piece, and those of the batch at hand that are not kept."""
 
@@ -96,6 +100,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, text: str = "text", li
     # one struct: names of other columns cannot clash with the text's
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row") if kept else F.struct(F.lit(1).alias("_")).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
 
+    @T.task("token counts", _release)
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch, "text"):
