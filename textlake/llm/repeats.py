@@ -12,7 +12,8 @@ and reusing what the one before it settled.
 1. The strings of one anchor overlap; the bytes from the first one's start to the last
    one's end are one bucket identifier for all of them. If a smaller document has it
    too, all are covered: settled. Of a set of equal identifiers only the smallest
-   document's stay open, and they keep a bucket for every string there is.
+   document's stay open, and only where its q-gram's bucket still holds an open one
+   of another document are they refined further.
 2. The strings left are buckets of their own, refined to the full length.
 
 Identifiers are 64-bit hashes, so they need no global numbering. Documents are
@@ -26,7 +27,6 @@ one plan that reads the same exchange.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 from textlake.llm import text as T
 
 LENGTH = 50
-GRAM = 20
-CHUNK_BYTES = 8 << 20
+GRAM = 24
+CHUNK_BYTES = 4 << 20
 #: Bytes of text whose identifiers meet in one range.
 RANGE_BYTES = 16 << 20
-_PIECE = 1 << 19
+_PIECE = 1 << 18
 _LAST = np.iinfo(np.int64).max
 
 
@@ -56,70 +56,64 @@ class Chunk:
         self.data, self.offsets = T.text_bytes(pa.concat_arrays(keyed["text"].cast(pa.large_string()).chunks))
         self.n_ranges = n_ranges
 
-    def pieces(self) -> Iterator[tuple[np.ndarray, ...]]:
-        """For each piece of the data: anchors' first and last string, hashes of gram and of
-        all their bytes, document, and a function from string starts to hashes."""
-        data, n = self.data, len(self.data)
-        for begin in range(0, n - LENGTH + 1, _PIECE):
-            end = min(begin + _PIECE + LENGTH - 1, n)
-            own = data[begin:end]
-            up, down = T._POWERS.get(len(own) + 1)
-            sums = np.zeros(len(own) + 1, np.uint64)
-            np.cumsum(T._BYTE[own] * up[:-1], out=sums[1:])
-
-            def spans(a, b, sums=sums, down=down):
-                return T.mix((sums[b] - sums[a]) * down[a])
-
-            at = np.arange(len(own) - GRAM + 1)
-            grams = spans(at, at + GRAM)
-            low = np.uint64((1 << 20) - 1)
-            least = (grams & ~low) | at.astype(np.uint64)
-            size, reach = 1, LENGTH - GRAM + 1
-            while size < reach:
-                step = min(size, reach - size)
+        self._find_anchors()
+
+    def _sums(self, begin: int) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix sums of a piece, and what brings a span's sum back to its own start."""
+        own = self.data[begin : begin + _PIECE + 2 * LENGTH]
+        up, down = T._POWERS.get(len(own) + 1)
+        sums = np.empty(len(own) + 1, np.uint64)
+        sums[0] = 0
+        values = T._BYTE[own]
+        values *= up[:-1]
+        np.cumsum(values, out=sums[1:])
+        return sums, down
+
+    def _find_anchors(self) -> None:
+        """All anchors in order: first and last string, document, and the identifiers of levels 0 and 1."""
+        n, low, found = len(self.data), np.uint64((1 << 20) - 1), []
+        for begin in range(0, max(n - LENGTH + 1, 0), _PIECE):
+            sums, down = self._sums(begin)
+            reach = min(_PIECE + LENGTH - 1, n - begin)
+            grams = T.mix((sums[GRAM : reach + 1] - sums[: reach - GRAM + 1]) * down[: reach - GRAM + 1])
+            least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+            size, window = 1, LENGTH - GRAM + 1
+            while size < window:
+                step = min(size, window - size)
                 least = np.minimum(least[:-step], least[step:])
                 size += step
-            starts = np.arange(len(least))
-            document = np.searchsorted(self.offsets, starts + begin, "right") - 1
-            starts = starts[starts + begin + LENGTH <= self.offsets[document + 1]]
-            if not len(starts):
-                continue
-            anchor = (least[starts] & low).astype(np.int64)
-            opens = np.ones(len(starts), bool)
-            opens[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
-            heads = np.flatnonzero(opens)
-            first, last = starts[heads], starts[np.append(heads[1:], len(starts)) - 1]
-            anchor = anchor[heads]
+            anchor = (least & low).astype(np.int32)
+            # strings that would go on into the next document are none
+            valid = np.ones(len(anchor), bool)
+            for stop in self.offsets[np.searchsorted(self.offsets, begin + 1) : np.searchsorted(self.offsets, begin + len(anchor) + LENGTH)].tolist():
+                valid[max(stop - begin - LENGTH + 1, 0) : max(min(stop - begin, len(valid)), 0)] = False
+            opens = valid.copy()
+            opens[1:] &= (anchor[1:] != anchor[:-1]) | ~valid[:-1]
+            closes = valid.copy()
+            closes[:-1] &= (anchor[1:] != anchor[:-1]) | ~valid[1:]
+            first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+            anchor = anchor[first].astype(np.int64)
             shape = ((anchor - first) * LENGTH + last - first).astype(np.uint64)
-            whole = T.mix(spans(first, last + LENGTH) + shape * np.uint64(0x9FB21C651E98DF25))
-            yield first + begin, last + begin, grams[anchor], whole, document[first], lambda s, spans=spans, begin=begin: spans(s - begin, s - begin + LENGTH)
-
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Level 0: the gram and the document of every anchor."""
-        parts = [(grams, doc) for _, _, grams, _, doc, _ in self.pieces()]
-        return _joined([g for g, _ in parts], np.uint64), _joined([d for _, d in parts], np.int64)
-
-    def wholes(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Level 1: the identifier and document of the anchors in shared buckets."""
-        parts = [(whole, doc) for _, _, _, whole, doc, _ in self.pieces()]
-        return _joined([w for w, _ in parts], np.uint64)[shared], _joined([d for _, d in parts], np.int64)[shared]
+            whole = T.mix(T.mix((sums[last + LENGTH] - sums[first]) * down[first]) + shape * np.uint64(0x9FB21C651E98DF25))
+            found.append((first + begin, last + begin, grams[anchor], whole))
+        kinds = (np.int64, np.int64, np.uint64, np.uint64)
+        self.first, self.last, self.gram, self.whole = (np.concatenate([np.zeros(0, kind), *[f[k] for f in found]]) for k, kind in enumerate(kinds))
+        self.document = np.searchsorted(self.offsets, self.first, "right") - 1
 
     def strings(self, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Level 2: the identifier, document and start of each string of the open anchors."""
-        hashes, docs, places, seen = [], [], [], 0
-        for first, last, _, _, doc, hash_of in self.pieces():
-            own = open_[seen : seen + len(first)]
-            seen += len(first)
-            n = (last - first + 1)[own]
-            starts = np.arange(n.sum()) + np.repeat(first[own] - (np.cumsum(n) - n), n)
-            hashes.append(hash_of(starts))
-            docs.append(np.repeat(doc[own], n))
-            places.append(starts)
-        return _joined(hashes, np.uint64), _joined(docs, np.int64), _joined(places, np.int64)
-
-    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
-        parts = [(first, last) for first, last, *_ in self.pieces()]
-        return _joined([f for f, _ in parts], np.int64), _joined([e for _, e in parts], np.int64)
+        n = (self.last - self.first + 1)[open_]
+        starts = np.arange(n.sum()) + np.repeat(self.first[open_] - (np.cumsum(n) - n), n)
+        hashes = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            begin = int(starts[at]) // _PIECE * _PIECE
+            to = int(np.searchsorted(starts, begin + _PIECE))
+            own = starts[at:to] - begin
+            sums, down = self._sums(begin)
+            hashes[at:to] = T.mix((sums[own + LENGTH] - sums[own]) * down[own])
+            at = to
+        return hashes, np.repeat(self.document[open_], n), starts
 
     def distinct(self, hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct identifiers by range, the smallest document key of each, each input's place in them."""
@@ -132,13 +126,19 @@ class Chunk:
         return ordered[heads], self.keys[docs[order[heads]]], which
 
     def ranges(self, ids: np.ndarray) -> np.ndarray:
-        """Borders of the ranges in the sorted identifiers."""
+        """Borders of the ranges in sorted identifiers."""
         tops = [(k << 64) // self.n_ranges for k in range(1, self.n_ranges)]
         return np.concatenate([[0], np.searchsorted(ids, np.array(tops, np.uint64)), [len(ids)]])
 
-
-def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *parts])
+    def wholes(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct identifiers of level 1 by gram: grams, identifiers, smallest document key, each anchor's place."""
+        gram, whole, document = self.gram[shared], self.whole[shared], self.document[shared]
+        order = np.lexsort((whole, gram))
+        ordered = whole[order]
+        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+        which = np.empty(len(whole), np.int64)
+        which[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(ordered))))
+        return gram[order[heads]], ordered[heads], self.keys[document[order[heads]]], which
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -167,10 +167,10 @@ def _flags(raw: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
 
 
-def _answers(mail: pa.Table, borders: np.ndarray) -> np.ndarray:
+def _answers(mail: pa.Table, borders: np.ndarray, column: str = "ids") -> np.ndarray:
     """The bits that the ranges sent back, in order of the identifiers."""
     out = np.zeros(borders[-1], bool)
-    for k, raw in zip(mail["range"].to_pylist(), mail["ids"].to_pylist(), strict=True):
+    for k, raw in zip(mail["range"].to_pylist(), mail[column].to_pylist(), strict=True):
         if k >= 0:
             out[borders[k] : borders[k + 1]] = _flags(raw, borders[k + 1] - borders[k])
     return out
@@ -181,12 +181,6 @@ def _note(mail: pa.Table) -> tuple[bytes, bytes]:
     return (own["ids"][0].as_py(), own["docs"][0].as_py()) if own.num_rows else (b"", b"")
 
 
-def _sent(chunk: Chunk, number: int, hashes: np.ndarray, docs: np.ndarray) -> list[tuple]:
-    ids, keys, _ = chunk.distinct(hashes, docs)
-    borders = chunk.ranges(ids)
-    return [(number, k, ids[a:b].tobytes(), _planes(keys[a:b])) for k, (a, b) in enumerate(zip(borders, borders[1:], strict=False)) if b > a]
-
-
 def _settle_grams(mail: pa.Table) -> pa.Table:
     """Level 0 in a range: a gram is shared if two chunks sent it, or one of two documents."""
     chunks, ids = mail["chunk"].to_pylist(), [np.frombuffer(x, np.uint32) for x in mail["ids"].to_pylist()]
@@ -199,8 +193,36 @@ def _settle_grams(mail: pa.Table) -> pa.Table:
     return _mail([(c, number, _bits(f), None) for c, f in zip(chunks, found, strict=True)])
 
 
+def _short(grams: np.ndarray) -> np.ndarray:
+    """The low half of a gram: enough within a range to find buckets that may be shared."""
+    return (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _settle_wholes(mail: pa.Table) -> pa.Table:
+    """Level 1 in a range: has a smaller document the identifier? If none has, is there an
+    open identifier of another document in the gram's bucket? Notes pass."""
+    if mail["range"][0].as_py() < 0:
+        return mail.cast(MAIL)
+    chunks, raw = mail["chunk"].to_pylist(), mail["ids"].to_pylist()
+    sizes = [len(x) // 12 for x in raw]
+    grams = np.concatenate([np.frombuffer(x, np.uint32, n) for x, n in zip(raw, sizes, strict=True)])
+    ids = np.concatenate([np.frombuffer(x, np.uint64, n, 4 * n) for x, n in zip(raw, sizes, strict=True)])
+    keys = np.concatenate([_unplaned(x) for x in mail["docs"].to_pylist()])
+    _, which = np.unique(ids, return_inverse=True)
+    least = np.full(which.max() + 1, _LAST)
+    np.minimum.at(least, which, keys)
+    settled = least[which] < keys
+    _, bucket = np.unique(grams, return_inverse=True)
+    low, high = np.full(bucket.max() + 1, _LAST), np.full(bucket.max() + 1, np.iinfo(np.int64).min)
+    np.minimum.at(low, bucket[~settled], keys[~settled])
+    np.maximum.at(high, bucket[~settled], keys[~settled])
+    live = ~settled & (low < high)[bucket]
+    at, number = np.cumsum(sizes)[:-1], mail["range"][0].as_py()
+    return _mail([(c, number, _bits(a), _bits(b)) for c, a, b in zip(chunks, np.split(settled, at), np.split(live, at), strict=True)])
+
+
 def _settle(mail: pa.Table) -> pa.Table:
-    """Levels 1 and 2 in a range: has a smaller document the identifier? Notes pass."""
+    """Level 2 in a range: has a smaller document the identifier? Notes pass."""
     if mail["range"][0].as_py() < 0:
         return mail.cast(MAIL)
     chunks, ids = mail["chunk"].to_pylist(), [np.frombuffer(x, np.uint64) for x in mail["ids"].to_pylist()]
@@ -215,59 +237,59 @@ def _settle(mail: pa.Table) -> pa.Table:
 
 def _send_grams(chunk: Chunk, number: int) -> pa.Table:
     ids, _, which, several = _gram_buckets(chunk)
-    borders = chunk.ranges(ids)
-    # within a range the low half of an identifier is enough to find buckets that may be shared
-    short = (ids & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    borders, short = chunk.ranges(ids), _short(ids)
     return _mail([(number, k, short[a:b].tobytes(), _bits(several[a:b])) for k, (a, b) in enumerate(zip(borders, borders[1:], strict=False)) if b > a])
 
 
 def _gram_buckets(chunk: Chunk) -> tuple[np.ndarray, ...]:
-    hashes, docs = chunk.grams()
-    ids, least, which = chunk.distinct(hashes, docs)
+    ids, least, which = chunk.distinct(chunk.gram, chunk.document)
     several = np.zeros(len(ids), bool)
-    several[which[chunk.keys[docs] != least[which]]] = True
+    several[which[chunk.keys[chunk.document] != least[which]]] = True
     return ids, least, which, several
 
 
 def _send_wholes(chunk: Chunk, number: int, mail: pa.Table) -> pa.Table:
     ids, _, which, _ = _gram_buckets(chunk)
     shared = _answers(mail, chunk.ranges(ids))[which]
-    return _mail([(number, -1, _bits(shared), None), *_sent(chunk, number, *chunk.wholes(shared))])
-
-
-def _covered(chunk: Chunk, mail: pa.Table, hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Which identifiers a smaller document has, here or in another chunk."""
-    ids, least, which = chunk.distinct(hashes, docs)
-    return _answers(mail, chunk.ranges(ids))[which] | (chunk.keys[docs] > least[which])
+    grams, wholes, keys, _ = chunk.wholes(shared)
+    borders, short = chunk.ranges(grams), _short(grams)
+    rows = [(number, k, short[a:b].tobytes() + wholes[a:b].tobytes(), _planes(keys[a:b])) for k, (a, b) in enumerate(zip(borders, borders[1:], strict=False)) if b > a]
+    return _mail([(number, -1, _bits(shared), None), *rows])
 
 
 def _send_strings(chunk: Chunk, number: int, mail: pa.Table) -> pa.Table:
-    first, _ = chunk.bounds()
-    shared = _flags(_note(mail)[0], len(first))
-    settled = np.zeros(len(first), bool)
-    settled[shared] = _covered(chunk, mail, *chunk.wholes(shared))
-    hashes, docs, _ = chunk.strings(shared & ~settled)
-    return _mail([(number, -1, _bits(shared), _bits(settled)), *_sent(chunk, number, hashes, docs)])
+    shared = _flags(_note(mail)[0], len(chunk.first))
+    grams, _, least, which = chunk.wholes(shared)
+    borders = chunk.ranges(grams)
+    later = chunk.keys[chunk.document[shared]] > least[which]
+    settled, live = np.zeros(len(shared), bool), np.zeros(len(shared), bool)
+    settled[shared] = _answers(mail, borders)[which] | later
+    live[shared] = _answers(mail, borders, "docs")[which] & ~later
+    ids, keys, _ = chunk.distinct(*chunk.strings(live)[:2])
+    borders = chunk.ranges(ids)
+    rows = [(number, k, ids[a:b].tobytes(), _planes(keys[a:b])) for k, (a, b) in enumerate(zip(borders, borders[1:], strict=False)) if b > a]
+    return _mail([(number, -1, _bits(live), _bits(settled)), *rows])
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
 
 def _cut(chunk: Chunk, mail: pa.Table, digest: bool) -> pa.Table:
-    first, last = chunk.bounds()
-    shared, settled = (_flags(x, len(first)) for x in _note(mail)) if mail.num_rows else (np.zeros(len(first), bool),) * 2
-    hashes, docs, starts = chunk.strings(shared & ~settled)
-    hit = starts[_covered(chunk, mail, hashes, docs)]
-    change = np.zeros(len(chunk.data) + LENGTH + 1, np.int64)
+    first, last = chunk.first, chunk.last
+    live, settled = (_flags(x, len(first)) for x in _note(mail))
+    hashes, docs, starts = chunk.strings(live)
+    ids, least, which = chunk.distinct(hashes, docs)
+    hit = starts[_answers(mail, chunk.ranges(ids))[which] | (chunk.keys[docs] > least[which])]
+    change = np.zeros(len(chunk.data) + LENGTH + 1, np.int32)
     np.add.at(change, first[settled], 1)
     np.add.at(change, last[settled] + LENGTH, -1)
     np.add.at(change, hit, 1)
     np.add.at(change, hit + LENGTH, -1)
-    gone = np.cumsum(change)[: len(chunk.data)] > 0
+    gone = np.cumsum(change, dtype=np.int32)[: len(chunk.data)] > 0
     opens = gone.copy()
     opens[1:] &= ~gone[:-1]
     opens[chunk.offsets[:-1][chunk.offsets[:-1] < len(gone)]] |= gone[chunk.offsets[:-1][chunk.offsets[:-1] < len(gone)]]
-    n_gone, n_open = (np.concatenate([[0], np.cumsum(x)])[chunk.offsets] for x in (gone, opens))
+    n_gone, n_open = (np.concatenate([[0], np.cumsum(x, dtype=np.int32)])[chunk.offsets] for x in (gone, opens))
     rows = []
     for k, (a, b) in enumerate(zip(chunk.offsets.tolist(), chunk.offsets[1:].tolist(), strict=False)):
         removed = int(n_gone[k + 1] - n_gone[k])
@@ -311,6 +333,6 @@ def remove_repeats(docs: DataFrame, *, digest: bool = False) -> DataFrame:
         return docs.groupBy("chunk").cogroup(mail.groupBy("chunk"))
 
     grams = answered(docs.groupBy("chunk").applyInArrow(send_grams, MAIL_DDL), _settle_grams)
-    wholes = answered(by_chunk(grams).applyInArrow(with_mail(_send_wholes), MAIL_DDL), _settle)
+    wholes = answered(by_chunk(grams).applyInArrow(with_mail(_send_wholes), MAIL_DDL), _settle_wholes)
     strings = answered(by_chunk(wholes).applyInArrow(with_mail(_send_strings), MAIL_DDL), _settle)
     return by_chunk(strings).applyInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
