@@ -80,13 +80,16 @@ def task(operator: str, release: Callable[[], None] = lambda: None):
     def wrap(function):
         @functools.wraps(function)
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for name in [name for name in _held if name != operator]:
+            others = [name for name in _held if name != operator]
+            for name in others:
                 _held.pop(name)()
+            if others:
+                gc.collect()
+                _give_back()
             _held[operator] = release
             try:
                 yield from function(batches)
             finally:
-                gc.collect()
                 _give_back()
 
         return run
