@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from textlake.llm import quotes as Q
 
 
@@ -92,3 +94,52 @@ def test_edges(spark):
     assert got[1, 1, "yes"] == (1, 1, 0, 0, 1) and got[None, 1, "x"] == (1, 0, None, 1, 0) and got[2, None, "x"] == (1, 0, None, None, 0)
     assert got[3, 0, None] == (0, 0, None, 0, 0) and got[3, 1, ""] == (0, 0, None, 1, 0) and got[4, 5, "a"] == (1, 0, None, 5, 0)
     assert Q.link_quotations(frame.where("false")).count() == 0
+
+
+def best_of_all(rows):
+    """reply_to of (conv_id, turn), counting each passage's sentences in every earlier message."""
+    own, passages = {}, {}
+    for c, t, _, x in rows:
+        text, quoted = Q.parse(x)
+        own.setdefault(c, {})[t] = set(Q.sentences(text or ""))
+        passages[c, t] = quoted
+    replies = {}
+    for (c, t), quoted in passages.items():
+        found = []
+        for level, p in quoted:
+            units = set(Q.sentences(p))
+            n, source = max(((len(units & own[c][s]), s) for s in own[c] if s < t), default=(0, None))
+            if n and 2 * n >= len(units):
+                found.append((-level, n, source))
+        if found:
+            replies[c, t] = max(found)[2]
+    return replies
+
+
+def replies_of(spark, rows):
+    got = Q.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    return {(r.conv_id, r.turn): r.reply_to for r in got if r.reply_to is not None}
+
+
+def test_recurring_sentences_count_for_every_earlier_message(spark):
+    passage = ["One.", "Two.", "Three.", "Four.", "Five."]
+    rows = [(1, 0, "user", "I fixed the parser. Thanks."), (1, 2, "user", "Thanks."), (1, 3, "user", "> I fixed the parser. Thanks.\nok")]
+    rows += [(2, 0, "user", " ".join(passage)), *((2, t, "user", f"{x} Said again.") for t, x in enumerate(passage, 1)), (2, 9, "user", "> " + " ".join(passage))]
+    assert replies_of(spark, rows) == {(1, 3): 0, (2, 9): 0}
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1000])
+def test_most_sentences_of_all_earlier_messages(spark, monkeypatch, hot):
+    monkeypatch.setattr(Q, "BLOCK_TURNS", 4)
+    monkeypatch.setattr(Q, "HOT", hot)
+    rnd = random.Random(hot)
+    pool = [f"Sentence number {i} here." for i in range(12)]
+    rows = []
+    for c in range(8):
+        for t in range(25):
+            quoted = ["> " + " ".join(rnd.choices(pool, k=rnd.randint(1, 6)))] if rnd.random() < 0.6 else []
+            quoted += [">> " + " ".join(rnd.choices(pool, k=3))] if rnd.random() < 0.3 else []
+            said = rnd.choices(pool[:6] if c % 2 else pool, k=rnd.randint(0, 5)) + [f"Only in {t}."] * (t % 2)
+            rows.append((c, t * 3, "user", "\n".join([*quoted, " ".join(said)])))
+    want = best_of_all(rows)
+    assert len(want) > 80 and replies_of(spark, rows) == want

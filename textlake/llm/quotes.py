@@ -8,9 +8,12 @@ conversation. A passage is linked to the message that has most of its sentences,
 least half, the latest one of equals. A message replies to the source of its shallowest
 linked passage; threads and depths follow by pointer doubling along these links.
 
-A quoted sentence is given the latest earlier message that has it by a running
-maximum, in blocks of `BLOCK_TURNS` turns and then over blocks: a sentence that a long
-conversation repeats neither makes pairs nor fills one task.
+All earlier messages are counted. A sentence that more than `HOT` messages of its
+conversation have makes no pairs: the passages and the messages are reduced to their
+distinct sets of such sentences, sets are compared with sets, and the latest earlier
+message of each number of shared sentences is found by a running maximum, in blocks of
+`BLOCK_TURNS` turns and then over blocks. A message that also has a rarer sentence of
+the passage is met by that one and counted in full.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 from textlake.workspace import land
 
 BLOCK_TURNS = 1024
+HOT = 64
+_PASSAGE = ["conv_id", "turn", "passage", "level"]
 
 _MARKS = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 _SENTENCE = re.compile(r"[^.!?]+[.!?]*")
@@ -112,6 +117,48 @@ def _latest_source(own: DataFrame, quoted: DataFrame) -> DataFrame:
     return rows.join(carried, [*key, "block"]).withColumn("source", F.greatest("near", "carried")).where("source is not null").select(*key, "turn", "passage", "level", "source")
 
 
+def _votes(own: DataFrame, quoted: DataFrame) -> DataFrame:
+    """(conv_id, turn, passage, level, n_units, votes, source): earlier messages that have at
+    least half of a passage's sentences; the best of them is among the rows.
+
+    `own` (conv_id, turn, unit) and `quoted` (conv_id, turn, passage, level, unit) are distinct.
+    """
+    key = ["conv_id", "unit"]
+    own = land(own.join(quoted.select(*key).distinct(), key, "left_semi"), "sources")
+    counts = land(own.groupBy(*key).agg(F.count("*").alias("df")), "source-counts")
+    hot = counts.where(F.col("df") > HOT)
+    hot_sets = own.join(hot, key).groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list("unit")).alias("theirs"))
+    hot_sets = land(hot_sets, "hot-sources")
+    ranked = F.when(F.col("df") > HOT, F.struct("df", "unit"))
+    asked = quoted.join(counts, key, "left").groupBy(*_PASSAGE).agg(F.count("*").alias("n_units"), F.sort_array(F.collect_list(ranked)).alias("hot"))
+    asked = land(asked, "passages")
+
+    # by a rare sentence: at most HOT messages for each
+    rare = counts.where(F.col("df") <= HOT).select(*key)
+    sources = own.join(rare, key).withColumnRenamed("turn", "source")
+    met = quoted.join(sources, key).where("source < turn").groupBy(*_PASSAGE, "source").agg(F.count("*").alias("votes"))
+    met = met.join(asked, _PASSAGE).where("2 * (votes + size(hot)) >= n_units")
+    met = met.join(hot_sets.withColumnRenamed("turn", "source"), ["conv_id", "source"], "left")
+    met = met.withColumn("votes", F.expr("votes + coalesce(size(array_intersect(hot.unit, theirs)), 0)"))
+
+    # by hot sentences alone
+    asked = asked.where("size(hot) > 0 and 2 * size(hot) >= n_units")
+    sets = asked.groupBy("conv_id", "hot").agg(F.min("n_units").alias("least"))
+    # a set with at least half of the sentences has one of the rarest that leave fewer than half
+    first = F.expr("slice(hot.unit, 1, size(hot) - int((least + 1) div 2) + 1)")
+    sets = sets.select("conv_id", "hot", "least", F.explode(first).alias("unit"))
+    kinds = hot_sets.select("conv_id", "theirs").distinct().select("conv_id", "theirs", F.explode("theirs").alias("unit"))
+    shared = F.expr("size(array_intersect(hot.unit, theirs))")
+    alike = sets.join(kinds, key).where(2 * shared >= F.col("least")).select("conv_id", "hot", "theirs", shared.cast("long").alias("votes")).distinct()
+    alike = land(alike.select("conv_id", "theirs", F.struct("hot", "votes").alias("unit")), "hot-pairs")
+    having = hot_sets.join(alike, ["conv_id", "theirs"]).select("conv_id", "turn", "unit").distinct()
+    asking = asked.join(alike.select("conv_id", "unit").distinct().withColumn("hot", F.col("unit.hot")), ["conv_id", "hot"])
+    latest = _latest_source(having, asking.select(*_PASSAGE, "unit")).select(*_PASSAGE, F.col("unit.votes").alias("votes"), "source")
+    latest = latest.join(asked.select(*_PASSAGE, "n_units"), _PASSAGE)
+    columns = [*_PASSAGE, "n_units", "votes", "source"]
+    return met.select(*columns).unionByName(latest.select(*columns)).where("2 * votes >= n_units")
+
+
 def _threads(replies: DataFrame) -> DataFrame:
     """(conv_id, turn, thread, depth) of messages that reply, by pointer doubling."""
     hops = land(replies.select("conv_id", "turn", F.col("reply_to").alias("up"), F.lit(1).cast("long").alias("depth")), "replies")
@@ -144,10 +191,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     passages = placed.where("size(passages) > 0").select("conv_id", "turn", F.posexplode("passages").alias("passage", "p"))
     # versions of a message count their passages together, by place
     quoted = land(passages.select("conv_id", "turn", "passage", "p.level", F.explode("p.units").alias("unit")).distinct(), "quoted")
-    sizes = quoted.groupBy("conv_id", "turn", "passage", "level").agg(F.count("*").alias("n_units"))
-    votes = _latest_source(own, quoted).groupBy("conv_id", "turn", "passage", "level", "source").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("conv_id", "turn", "passage", "level").agg(F.max(F.struct("votes", "source")).alias("best"))
-    linked = best.join(sizes, ["conv_id", "turn", "passage", "level"]).where("2 * best.votes >= n_units")
+    linked = _votes(own, quoted).groupBy(*_PASSAGE).agg(F.max(F.struct("votes", "source")).alias("best"))
     replies = linked.groupBy("conv_id", "turn").agg(
         F.max_by("best.source", F.struct(-F.col("level"), "best.votes", "best.source")).alias("reply_to"), F.count("*").alias("n_linked")
     )
