@@ -4,6 +4,7 @@ import random
 import pytest
 
 from textlake.llm import fingerprints as P
+from textlake.llm.queries import QUERIES
 
 
 def expected(docs):
@@ -70,3 +71,39 @@ def test_edges(documents):
     assert only.near_next == 1.0 and only.edited_sha256 == expected([(3, t)])[0][2]
     with pytest.raises(ValueError):
         P.within_radius(frame, frame, -1)
+
+
+@pytest.mark.parametrize("queries", [7, P._QUERIES])
+def test_near_classes_are_all_found(spark, monkeypatch, queries):
+    monkeypatch.setattr(P, "_QUERIES", queries)
+    rnd = random.Random(queries)
+    prints = []
+    for _ in range(30):
+        base = rnd.getrandbits(128)
+        prints += [base ^ sum(1 << b for b in rnd.sample(range(128), rnd.randint(0, 20))) for _ in range(8)] + [base] * 2
+    signed = [tuple(((x >> s) & (2**64 - 1)) - (2**64 if (x >> s) >> 63 & 1 else 0) for s in (64, 0)) for x in prints]
+    frame = spark.createDataFrame([*signed, (None, 1)], "high long, low long")
+    got = {(r.high, r.low): (r.n_found, r.found) for r in P.near_classes(frame.limit(40), frame).collect()}
+    assert set(got) == set(signed[:40])
+    for x, pair in list(zip(prints, signed, strict=True))[:40]:
+        near = [y for y in prints if bin(x ^ y).count("1") <= 24]
+        found = sorted({b"".join((y >> s & (2**64 - 1)).to_bytes(8, "little") for s in (64, 0)).hex() for y in near})
+        assert got[pair] == (len(near), found)
+    assert P.near_classes(frame.where("false"), frame).count() == 0
+
+
+def test_query_returns_near_copies(spark, documents, tmp_path):
+    rnd = random.Random(8)
+    texts = [[f"{rnd.choice('abcdefgh')}word{rnd.randrange(3000)}" for _ in range(240)] for _ in range(30)]
+    copies = [list(t) for t in texts]
+    for c in copies:
+        for k in rnd.sample(range(240), 4):
+            c[k] = "changed"
+    rows = [(100 * k, " ".join(t)) for k, t in enumerate(texts)] + [(100 * k + 1, " ".join(c)) for k, c in enumerate(copies)] + [(100 * k + 2, " ".join(c)) for k, c in enumerate(copies)]
+    documents(*rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op10_fingerprints"](spark, str(tmp_path)).collect()}
+    assert len(got) == 90 and sum(got[100 * k].n_near == 0 for k in range(30)) > 15
+    for k in range(30):
+        row = got[100 * k]
+        assert {i for i, r in got.items() if r.fingerprint in row.near_classes.split(",")} == {100 * k, 100 * k + 1, 100 * k + 2}
+        assert row.n_found == 2 and got[100 * k + 1].near_classes is None

@@ -27,6 +27,11 @@ from textlake.workspace import land
 
 BITS = 128
 RADIUS = 4
+#: On sf0.01 pairs at a 5-word Jaccard of 0.75 or more are 8 to 22 bits apart, unlike texts 33 at least.
+NEAR_RADIUS = 24
+#: Query fingerprints in one broadcast; fingerprints compared at once.
+_QUERIES = 1 << 18
+_TILE = 1 << 17
 _TERMS = 16_384
 
 
@@ -174,3 +179,64 @@ def within_radius(queries: DataFrame, entries: DataFrame, radius: int = RADIUS)
     # a pair is met in every table where it agrees, and counted in one
     once = near.groupBy("high", "low", "e_high", "e_low").agg(F.first("n").alias("n"))
     return once.groupBy("high", "low").agg(F.sum("n").alias("n_near"))
+
+
+_FOUND = "high long, low long, n_found long, found array<string>"
+
+
+def _halves(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    return np.stack([rows.column(c).to_numpy().view(np.uint64) for c in ("high", "low")], axis=1)
+
+
+def _near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The indexes of all pairs of a row of `a` and one of `b` within `radius`, by tiles; those of `a` ascend in each."""
+    (a_high, a_low), (b_high, b_low) = (np.ascontiguousarray(x.T) for x in (a, b))
+    width = max(1, min(len(b), 4096))
+    height = max(1, _TILE // width)
+    mixed = np.empty((height, width), np.uint64)
+    bits, more = np.empty((2, height, width), np.uint8)
+    for i in range(0, len(a), height):
+        for j in range(0, len(b), width):
+            at = slice(min(height, len(a) - i)), slice(min(width, len(b) - j))
+            x, n, m = mixed[at], bits[at], more[at]
+            np.bitwise_count(np.bitwise_xor(a_high[i : i + height, None], b_high[None, j : j + width], out=x), out=n)
+            np.bitwise_count(np.bitwise_xor(a_low[i : i + height, None], b_low[None, j : j + width], out=x), out=m)
+            np.add(n, m, out=n)
+            if n.min() <= radius:
+                first, second = np.nonzero(n <= radius)
+                yield first + i, second + j
+
+
+def near_classes(queries: DataFrame, entries: DataFrame, radius: int = NEAR_RADIUS) -> DataFrame:
+    """(high, low, n_found, found): for each distinct query fingerprint the number of entry
+    rows within `radius`, and their distinct fingerprints in hex, sorted.
+
+    Tables and nulls are as in `within_radius`. All is found, an equal entry too.
+    """
+    if not 0 <= radius <= BITS:
+        raise ValueError("radius must be from 0 to 128")
+    spark = queries.sparkSession
+    asked = land(queries.select("high", "low").dropna().distinct(), "asked-fingerprints")
+    classes = land(entries.select("high", "low").dropna().groupBy("high", "low").agg(F.count("*").alias("n")), "fingerprint-classes")
+    n_parts = -(-asked.count() // _QUERIES)
+    near = spark.createDataFrame([], _FOUND)
+    for k in range(n_parts):
+        part = asked.where(F.pmod(F.xxhash64("high", "low"), F.lit(n_parts)) == k).toArrow()
+        sent = spark.sparkContext.broadcast(_halves(part))
+
+        @T.task("fingerprints")
+        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own = sent.value
+            for batch in batches:
+                prints, n = _halves(batch), batch.column("n").to_numpy()
+                names = np.array([x.tobytes().hex() for x in prints], object)
+                for query, entry in _near_pairs(own, prints, radius):
+                    heads = np.flatnonzero(np.diff(query, prepend=-1))
+                    ends = pa.array(np.append(heads, len(query)), pa.int32())
+                    found = pa.ListArray.from_arrays(ends, pa.array(names[entry], pa.string()))
+                    which = own[query[heads]].view(np.int64)
+                    columns = [pa.array(which[:, 0]), pa.array(which[:, 1]), pa.array(np.add.reduceat(n[entry], heads)), found]
+                    yield pa.RecordBatch.from_arrays(columns, ["high", "low", "n_found", "found"])
+
+        near = near.unionByName(classes.mapInArrow(search, _FOUND))
+    return near.groupBy("high", "low").agg(F.sum("n_found").alias("n_found"), F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textlake.llm import language
 from textlake.llm.decontaminate import find_items
-from textlake.llm.fingerprints import fingerprint_documents, within_radius
+from textlake.llm.fingerprints import fingerprint_documents, near_classes, within_radius
 from textlake.llm.near_dedup import near_duplicates
 from textlake.llm.packing import pack
 from textlake.llm.quotes import link_quotations
@@ -91,9 +91,12 @@ def op9_repeats(spark, sf_dir):
 
 @query
 def op10_fingerprints(spark, sf_dir):
-    """n_near, for doc_ids divisible by 100: the other documents within the search radius."""
+    """For doc_ids divisible by 100: n_near, the other documents within 4 bits; n_found, those
+    within 24, as near copies are; near_classes, the fingerprints of these and its own."""
     prints = land(fingerprint_documents(table(spark, sf_dir, "documents")), "documents-fingerprints")
     asked = prints.where("doc_id % 100 = 0")
-    near = asked.join(within_radius(asked, prints), ["high", "low"]).withColumn("n_near", F.col("n_near") - 1)
-    rest = prints.where("doc_id is null or doc_id % 100 <> 0").withColumn("n_near", F.lit(None).cast("long"))
+    copies = near_classes(asked, prints).select("high", "low", F.col("n_found") - 1, F.concat_ws(",", "found")).toDF("high", "low", "n_found", "near_classes")
+    near = asked.join(within_radius(asked, prints), ["high", "low"]).withColumn("n_near", F.col("n_near") - 1).join(copies, ["high", "low"])
+    blank = {"n_near": F.lit(None).cast("long"), "n_found": F.lit(None).cast("long"), "near_classes": F.lit(None).cast("string")}
+    rest = prints.where("doc_id is null or doc_id % 100 <> 0").withColumns(blank)
     return near.unionByName(rest).drop("high", "low")
