@@ -3,6 +3,7 @@ import random
 import pytest
 
 from textlake.llm import quotes as Q
+from textlake.llm.queries import QUERIES, quoting
 
 
 def test_parse():
@@ -143,3 +144,12 @@ def test_most_sentences_of_all_earlier_messages(spark, monkeypatch, hot):
             rows.append((c, t * 3, "user", "\n".join([*quoted, " ".join(said)])))
     want = best_of_all(rows)
     assert len(want) > 80 and replies_of(spark, rows) == want
+
+
+def test_linking_of_the_whole_table(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in quoting(spark.read.parquet(f"{folder}/conversations.parquet")).collect()]
+    assert sum(x.startswith(">") for *_, x in rows) > len(rows) // 3
+    got = QUERIES["op2_quoted_replies"](spark, folder).collect()
+    want = best_of_all(rows)
+    assert len(got) == len(rows) and {(r.conv_id, r.turn): r.reply_to for r in got if r.reply_to is not None} == want and want

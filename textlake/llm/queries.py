@@ -46,6 +46,28 @@ def op2_quotations(spark, sf_dir):
     return link_quotations(table(spark, sf_dir, "conversations"))
 
 
+def quoting(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) of `messages`, each quoting the two turns before it.
+
+    The turn before is quoted at level 1, the one before that at level 2. Every third
+    message also says a sentence that recurs in all conversations.
+    """
+    said = messages.select("conv_id", "turn", "role", F.when(F.col("turn") % 3 == 0, F.concat("text", F.lit("\nThanks a lot."))).otherwise(F.col("text")).alias("text"))
+
+    def marked(mark: str, back: int) -> DataFrame:
+        lines = F.concat(F.lit(mark), F.regexp_replace(F.min("text"), "\n", f"\n{mark}"), F.lit("\n"))
+        return said.groupBy("conv_id", (F.col("turn") + back).alias("turn")).agg(lines.alias(f"back{back}"))
+
+    out = said.join(marked("> ", 1), ["conv_id", "turn"], "left").join(marked("> > ", 2), ["conv_id", "turn"], "left")
+    return out.select("conv_id", "turn", "role", F.concat(F.coalesce("back2", F.lit("")), F.coalesce("back1", F.lit("")), "text").alias("text"))
+
+
+@query
+def op2_quoted_replies(spark, sf_dir):
+    """The linking at scale: the whole table, quoted as replies do."""
+    return link_quotations(quoting(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op3_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
