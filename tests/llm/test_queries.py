@@ -14,7 +14,7 @@ import corpus_pipeline
 from textlake.llm.oracle import ORACLE_SQL
 from textlake.llm.queries import QUERIES
 
-TABLES = "documents pages benchmark conversations".split()
+TABLES = "documents pages benchmark conversations embeddings".split()
 
 
 def values(rows, columns):
@@ -36,7 +36,7 @@ def test_matches_sql(spark, name, sf):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
 
 

@@ -84,3 +84,38 @@ SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.verdict, CASE WHEN regexp_m
     '(^|[.-])(ads?|track(er|ing)?|spam|casino|adult|pills|bets|porn|malware|phishing)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM urls u LEFT JOIN best b ON b.page_id = u.page_id
 """
+
+
+def _vector_code_rounds(rounds: int) -> str:
+    """CTEs of the codebooks k0 to k{rounds}, and of the assignments to each, a0 to a{rounds}."""
+    out = []
+    for k in range(rounds + 1):
+        if k:
+            out.append(f"""
+m{k} AS (SELECT a.part, a.entry, x.pos, sum(x.x) AS s, count(*) AS n FROM a{k - 1} a JOIN x USING (vec_id, part) GROUP BY ALL),
+k{k} AS (
+    SELECT e.part, e.entry, e.pos, CASE WHEN m.n IS NULL THEN e.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+    FROM k{k - 1} e LEFT JOIN m{k} m USING (part, entry, pos)
+)""")
+        out.append(f"""
+d{k} AS (SELECT x.vec_id, part, e.entry, sum((x.x - e.x) * (x.x - e.x)) AS d FROM x JOIN k{k} e USING (part, pos) GROUP BY ALL),
+a{k} AS (SELECT vec_id, part, min(entry) AS entry, any_value(d) AS d FROM d{k} JOIN (SELECT vec_id, part, min(d) AS d FROM d{k} GROUP BY ALL) USING (vec_id, part, d) GROUP BY vec_id, part)""")
+    return ",".join(out)
+
+
+ORACLE_SQL["op11_vector_codes"] = f"""
+WITH kept AS (
+    SELECT vec_id, label, embedding AS e, len(embedding) // 4 AS w FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+),
+x AS (
+    SELECT vec_id, (i - 1) // w AS part, (i - 1) % w AS pos, CAST(floor(1024 * CAST(e[i] AS DOUBLE)) AS HUGEINT) AS x
+    FROM (SELECT *, unnest(range(1, len(e) + 1)) AS i FROM kept)
+),
+starts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 256),
+k0 AS (SELECT part, entry, pos, x FROM x JOIN starts USING (vec_id)),{_vector_code_rounds(4)},
+codes AS (SELECT vec_id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(d) AS error FROM a4 GROUP BY vec_id)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM k4) AS codebooks_sha256
+FROM kept JOIN codes USING (vec_id)
+"""

@@ -19,6 +19,7 @@ from textlake.llm.secret_scan import secret_report
 from textlake.llm.text import bound_batches
 from textlake.llm.token_counts import token_counts
 from textlake.llm.url_filter import hosts_with_label, judge_urls
+from textlake.llm.vector_codes import vector_codes
 from textlake.workspace import land
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +123,8 @@ def op10_fingerprints(spark, sf_dir):
     blank = {"n_near": F.lit(None).cast("long"), "n_found": F.lit(None).cast("long"), "near_classes": F.lit(None).cast("string")}
     rest = prints.where("doc_id is null or doc_id % 100 <> 0").withColumns(blank)
     return near.unionByName(rest).drop("high", "low")
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes(table(spark, sf_dir, "embeddings"))
