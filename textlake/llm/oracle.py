@@ -119,3 +119,28 @@ SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTI
     (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM k4) AS codebooks_sha256
 FROM kept JOIN codes USING (vec_id)
 """
+
+_GRAMS = " UNION ALL ".join(f"SELECT lang, {k} AS k, w[i : i + {k - 1}] AS p FROM (SELECT lang, w, unnest(range(1, len(w) - {k} + 2)) AS i FROM pieces WHERE len(w) >= {k})" for k in range(1, 5))
+_LONGER = " UNION ALL ".join(f"SELECT lang, f, w[i : i + {s - 1}] AS p FROM (SELECT lang, f, p AS w, unnest(range(1, k - {s} + 2)) AS i FROM found WHERE k > {s})" for s in (2, 3))
+
+ORACLE_SQL["op12_collocations"] = f"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents
+    )
+),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+found AS (SELECT lang, k, p, count(*) AS f FROM ({_GRAMS}) GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, p, f, unnest(range(1, k)) AS c FROM found WHERE k > 1),
+scored AS (
+    SELECT x.lang, x.p, x.f AS a, x.c, y.f AS l, z.f AS r, (2000000 * x.f::HUGEINT) // (y.f::HUGEINT + z.f) AS score
+    FROM cuts x JOIN found y ON y.lang = x.lang AND y.p = x.p[1 : x.c] JOIN found z ON z.lang = x.lang AND z.p = x.p[x.c + 1 : len(x.p)]
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
+longer AS (SELECT lang, p, max(f) AS f FROM ({_LONGER}) GROUP BY ALL),
+left_over AS (SELECT b.* FROM best b LEFT JOIN longer g USING (lang, p) WHERE g.f IS NULL OR 100 * g.f < 80 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM left_over)
+SELECT lang, rank, array_to_string(p, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

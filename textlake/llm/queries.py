@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlake.llm import language
+from textlake.llm.collocations import collocations
 from textlake.llm.decontaminate import find_items
 from textlake.llm.fingerprints import fingerprint_documents, near_classes, within_radius
 from textlake.llm.near_dedup import near_duplicates
@@ -128,3 +129,8 @@ def op10_fingerprints(spark, sf_dir):
 @query
 def op11_vector_codes(spark, sf_dir):
     return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
