@@ -54,14 +54,14 @@ def made(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("shard_words,bits", [(1 << 23, 1 << 25), (60, 32768), (400, 65536)])
-def test_against_plain(spark, shard_words, bits):
+@pytest.mark.parametrize("shards,held_words,bits", [(8, 1 << 23, 1 << 25), (3, 60, 32768), (40, 400, 65536)])
+def test_against_plain(spark, shards, held_words, bits):
     """With shards of any size, and bitmaps so small that phrases share bits."""
     rows = made(1, 400) + [("en", None), ("en", ""), (None, None), ("es", " .,;")]
-    frame = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(12)
     want = brute(rows, support=12)
     assert len(want) == 3 and any(len(p.split()) == 4 for found in want.values() for p, *_ in found)
-    assert got(frame, support=12, shard_words=shard_words, bits=bits) == want
+    assert got(frame, support=12, shards=shards, held_words=held_words, bits=bits) == want
     assert got(frame, support=12, top=3) == brute(rows, support=12, top=3)
 
 
@@ -90,8 +90,8 @@ def test_phrases_of_one_hash_are_told_apart():
 def test_local_support_is_a_bound(spark):
     """A phrase that no shard but one has often is in the union, as are those spread thin."""
     rows = [("en", "a b")] * 12 + [("en", f"q{i} z") for i in range(200)] + [("en", f"c d u{i}") for i in range(12)]
-    frame = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
-    found = got(frame, support=12, shard_words=20)["en"]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    found = got(frame.repartitionByRange(9, "text"), support=12)["en"]
     assert {(p, a) for p, a, *_ in found} == {("a b", 12), ("c d", 12)}
 
 

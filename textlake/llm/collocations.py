@@ -1,10 +1,11 @@
 """Collocations of each language: phrases of words that occur together unusually often.
 
-Phrases are mined by partitioning (Savasere, Omiecinski and Navathe, 1995). The words of a
-language are dealt to shards, runs of rows inside a task. A phrase with `support`
-occurrences in a language of N words has, in at least one shard with n of them, as many as
+Phrases are mined by partitioning (Savasere, Omiecinski and Navathe, 1995). The corpus is
+dealt to a few shards, each of many tasks. A phrase with `support` occurrences in a
+language of N words has, in at least one shard with n of them, as many as
 support * n / N: so each shard is mined completely at that local support, the locally
-frequent phrases of all shards are united, and all shards count the united ones exactly.
+frequent phrases of all shards are united, and all tasks count the united ones exactly. As
+the number of shards is fixed, so is the local support, whatever the size of the corpus.
 
 A locally frequent phrase joins the union only if the most that all shards together can
 have of it, one less than its local support in each shard that did not name it, reaches the
@@ -18,10 +19,12 @@ words among frequent pairs.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +32,8 @@ from textlake.llm import text as T
 from textlake.workspace import land
 
 SUPPORT, LONGEST, TOP, COVERED = 30, 4, 2000, 80
-#: Words of a shard, bits of a bitmap, and bytes of text whose phrases are counted at once.
-SHARD_WORDS, BITS, CHUNK_BYTES = 1 << 23, 1 << 25, 4 << 20
+#: Shards of the corpus, words whose phrases a task holds, bits of a bitmap, bytes of text cut into words at once.
+SHARDS, HELD_WORDS, BITS, CHUNK_BYTES = 8, 1 << 23, 1 << 25, 4 << 20
 _BLOCK = 32_768
 
 _ENDS = np.zeros(256, bool)
@@ -141,72 +144,58 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _mine(support: int, sizes: list[int], frequent, shard_words: int):
-    """(lang, hash, n, short) of the locally frequent phrases of each shard, short one less than
-    the local support; and (lang, null, 0, short) for each shard and language.
+def _mine(sizes: list[int], frequent, shards: int, held_words: int):
+    """(lang, hash, shard, n) of the phrases of each shard whose parts are frequent, added up
+    over some `held_words` words of a task; and (lang, null, shard, n), its words.
 
-    `frequent` is the broadcast bitmap of the parts that a phrase is made of, and their size.
+    A task's rows are of the shard that its number says. `frequent` is the broadcast
+    bitmap of the parts that a phrase is made of, and their size.
     """
     bits, part = frequent
 
     @T.task("collocations")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        shard = TaskContext.get().partitionId() % shards
+        held: dict[str, list[np.ndarray]] = {}
+        totals: Counter = Counter()
         total = 0
 
+        def rows(lang: str, hashes: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+            same = pa.array(np.zeros(len(counts), np.int64))
+            arrays = [pa.array([lang]).take(same), hashes, pa.array([shard], pa.int32()).take(same), pa.array(counts, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, ["lang", "hash", "shard", "n"])
+
         def mined() -> Iterator[pa.RecordBatch]:
-            for lang, (whole, n, by_size) in held.items():
-                least = max(-(-support * n // whole), 1)
-                named = {}
-                for size in sizes:
-                    if size - 1 in named:  # both parts of one word less must be locally frequent
-                        by_size[size] = [h[np.isin(low, named[size - 1]) & np.isin(high, named[size - 1])] for h, low, high in by_size[size]]
-                    else:
-                        by_size[size] = [h for h, *_ in by_size[size]]
-                    hashes, counts = np.unique(np.concatenate(by_size.pop(size)), return_counts=True)
-                    keep = counts >= least
-                    named[size] = hashes[keep]
-                    yield _rows(lang, hashes[keep].view(np.int64), counts[keep], least - 1)
-                yield _rows(lang, None, np.zeros(1, np.int64), least - 1)
-            held.clear()
+            for lang in list(held):
+                hashes, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+                yield rows(lang, pa.array(hashes.view(np.int64)), counts)
 
         for batch in batches:
-            for rows, words in chunks(batch):
+            for texts, words in chunks(batch):
                 known = _has(bits.value, words.phrase_hashes(part))
-                langs = rows.column("lang").dictionary_encode()
+                langs = texts.column("lang").dictionary_encode()
+                names = langs.dictionary.to_pylist()
                 lang = langs.indices.to_numpy()[words.row]
-                whole = dict(zip(rows.column("lang").to_pylist(), rows.column("n_lang").to_pylist(), strict=True))
-                shorter = {size: words.phrase_hashes(size) for size in sizes}
+                totals.update(dict(zip(names, np.bincount(lang, minlength=len(names)).tolist(), strict=True)))
                 for size in sizes:
                     fits = words.inside(size)
                     for k in range(size - part + 1):
                         fits = fits & known[k : k + len(fits)]
                     at = np.flatnonzero(fits)
-                    of = lang[at]
-                    for code, name in enumerate(langs.dictionary.to_pylist()):
-                        own = at[of == code]
-                        by_size = held.setdefault(name, [whole[name], 0, {s: [] for s in sizes}])[2]
-                        parts = (shorter[size - 1][own], shorter[size - 1][own + 1]) if size - 1 in sizes else ()
-                        by_size[size].append((shorter[size][own], *parts))
-                for code, n in enumerate(np.bincount(lang, minlength=len(langs.dictionary))):
-                    held[langs.dictionary[code].as_py()][1] += int(n)
+                    hashes, of = words.phrase_hashes(size)[at], lang[at]
+                    for code, name in enumerate(names):
+                        held.setdefault(name, []).append(hashes[of == code])
                 total += len(words.codes)
-                if total >= shard_words:
+                if total >= held_words:
                     yield from mined()
                     total = 0
         yield from mined()
+        for lang, n in totals.items():
+            yield rows(lang, pa.nulls(1, pa.int64()), np.array([n]))
 
     return run
 
 
-def _rows(lang: str, hashes: np.ndarray | None, counts: np.ndarray, short: int) -> pa.RecordBatch:
-    n = len(counts)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), pa.nulls(n, pa.int64()) if hashes is None else pa.array(hashes), pa.array(counts, pa.int64()), pa.array(np.full(n, short), pa.int64())],
-        ["lang", "hash", "n", "short"],
-    )
-
-
 def _count(sizes: list[int], united):
     """(lang, phrase, size, n) of the phrases whose hash is in the broadcast bitmap."""
 
@@ -272,34 +261,42 @@ def _bitmap(hashes: DataFrame, bits: int):
     return spark.sparkContext.broadcast(out)
 
 
-def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard_words: int | None = None, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _united(mined: DataFrame, langs: DataFrame, support: int) -> DataFrame:
+    """(hash) of the phrases that are locally frequent in a shard and may reach the support."""
+    shard = ["lang", "shard"]
+    sizes = mined.where("hash is null").groupBy(*shard).agg(F.sum("n").alias("n_shard")).join(langs.withColumnRenamed("n", "n_lang"), "lang")
+    # the least whole number from support * n_shard / n_lang on
+    least = F.expr(f"cast((cast({support} as decimal(38,0)) * n_shard + n_lang - 1) div n_lang as bigint)")
+    sizes = land(sizes.where("n_shard > 0").select(*shard, least.alias("least")), "shards")
+    slack = sizes.groupBy("lang").agg(F.sum(F.col("least") - 1).alias("slack"))
+    counted = mined.where("hash is not null").groupBy("lang", "hash", "shard").agg(F.sum("n").alias("n"))
+    local = counted.join(sizes, shard).where("n >= least")
+    named = local.groupBy("lang", "hash").agg(F.sum("n").alias("n"), F.sum(F.col("least") - 1).alias("short"))
+    return named.join(slack, "lang").where(f"n + slack - short >= {support}").select("hash")
+
+
+def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS, held_words: int = HELD_WORDS, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, n) of all phrases of 1 to `longest` words with n >= support
     occurrences in the language, and (lang, n), all its words.
 
-    `docs` has lang and text and is scanned five times (three for pairs only). The
-    union's bitmaps are `bits` bits, a power of two of 32,768 or more; a shard holds
-    `shard_words` words.
+    `docs` has lang and text and is scanned seven times (four for pairs only). The
+    bitmaps are `bits` bits, a power of two of 32,768 or more; a task adds up phrases over
+    `held_words` words before it sends them on.
     """
-    shard_words, bits = shard_words or SHARD_WORDS, bits or BITS
-    spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     columns = "lang string, phrase string, size int, n long"
     summed = docs.mapInArrow(_count_words, columns).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     words = land(summed.where(f"phrase is null or n >= {support}"), "words")
     langs = land(words.where("phrase is null").select("lang", "n"), "languages")
     found = words.where("phrase is not null")
-    counted = docs.join(langs.select("lang", F.col("n").alias("n_lang")), "lang").where("n_lang > 0")
     parts, part = found, 1
     for sizes in ([2], list(range(3, longest + 1))):
         sizes = [size for size in sizes if size <= longest]
         if not sizes:
             break
         known = _bitmap(parts.select("lang", F.col("phrase").alias("text")).mapInArrow(_hash_phrases, "hash long"), bits)
-        mined = counted.mapInArrow(_mine(support, sizes, (known, part), shard_words), "lang string, hash long, n long, short long")
-        mined = land(mined, "locally-frequent")
-        slack = mined.where("hash is null").groupBy("lang").agg(F.sum("short").alias("slack"))
-        named = mined.where("hash is not null").groupBy("lang", "hash").agg(F.sum("n").alias("n"), F.sum("short").alias("short"))
-        united = _bitmap(named.join(slack, "lang").where(f"n + slack - short >= {support}").select("hash"), bits)
+        mined = docs.mapInArrow(_mine(sizes, (known, part), shards, held_words), "lang string, hash long, shard int, n long")
+        united = _bitmap(_united(mined, langs, support), bits)
         exact = docs.mapInArrow(_count(sizes, united), columns).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
         parts, part = land(exact.where(f"n >= {support}"), "phrases"), 2
         found = found.unionByName(parts)
@@ -308,7 +305,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     return land(found, "frequent-phrases"), langs
 
 
-def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, shard_words: int | None = None, bits: int | None = None) -> DataFrame:
+def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, shards: int = SHARDS, held_words: int = HELD_WORDS, bits: int = BITS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first `top` phrases of each language of `docs` (lang, text).
 
     A-Z count as a-z. Texts are cut into pieces at . , ; : ! ? and line ends, pieces into words at
@@ -324,7 +321,7 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, shard_
     length is counted whole, in chunks of some 4 MB that end where a piece does; a single
     piece is held at once. Languages of any share are spread over all tasks.
     """
-    found, langs = frequent_phrases(docs, support, shard_words=shard_words, bits=bits)
+    found, langs = frequent_phrases(docs, support, LONGEST, shards, held_words, bits)
     several = found.where("size > 1").withColumn("words", F.split("phrase", " "))
     cuts = several.select("lang", "phrase", F.col("n").alias("a"), F.explode(F.expr("sequence(1, size - 1)")).alias("cut"), "words", "size")
     cuts = cuts.select("lang", "phrase", "a", "cut", F.expr("array_join(slice(words, 1, cut), ' ')").alias("left"), F.expr("array_join(slice(words, cut + 1, size - cut), ' ')").alias("right"))
