@@ -95,6 +95,12 @@ def test_local_support_is_a_bound(spark):
     assert {(p, a) for p, a, *_ in found} == {("a b", 12), ("c d", 12)}
 
 
+def test_local_supports():
+    for n_words in ([5, 5, 20], [0, 7], [1] * 40, [0, 0], [10**15, 1]):
+        least = C.local_supports(n_words, 30)
+        assert min(least) >= 1 and sum(x - 1 for x in least) < 30
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "lang string, text string")
     assert C.collocations(empty).columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and C.collocations(empty).count() == 0

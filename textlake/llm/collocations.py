@@ -1,11 +1,11 @@
 """Collocations of each language: phrases of words that occur together unusually often.
 
 Phrases are mined by partitioning (Savasere, Omiecinski and Navathe, 1995). The corpus is
-dealt to a few shards, each of many tasks. A phrase with `support` occurrences in a
-language of N words has, in at least one shard with n of them, as many as
-support * n / N: so each shard is mined completely at that local support, the locally
-frequent phrases of all shards are united, and all tasks count the united ones exactly. As
-the number of shards is fixed, so is the local support, whatever the size of the corpus.
+dealt to a few shards, each of many tasks. A phrase with `support` occurrences has, in at
+least one shard with n of the corpus's N words, as many as support * n / N: so each shard
+is mined completely at that local support, the locally frequent phrases of all shards
+are united, and all tasks count the united ones exactly. As the number of shards is
+fixed, so is the local support, whatever the size of the corpus.
 
 A locally frequent phrase joins the union only if the most that all shards together can
 have of it, one less than its local support in each shard that did not name it, reaches the
@@ -19,7 +19,6 @@ words among frequent pairs.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from textlake.workspace import land
 
 SUPPORT, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 #: Shards of the corpus, words whose phrases a task holds, bits of a bitmap, bytes of text cut into words at once.
-SHARDS, HELD_WORDS, BITS, CHUNK_BYTES = 8, 1 << 23, 1 << 25, 4 << 20
+SHARDS, HELD_WORDS, BITS, CHUNK_BYTES = 8, 1 << 22, 1 << 25, 2 << 20
 _BLOCK = 32_768
 
 _ENDS = np.zeros(256, bool)
@@ -63,13 +62,13 @@ class Words:
         first = np.flatnonzero(opens)
         lengths = np.flatnonzero(closes) + 1 - first
         self.row = np.searchsorted(offsets, first, "right") - 1
-        self.pieces = np.cumsum(ends_piece, dtype=np.int64)[first] + self.row if len(first) else np.zeros(0, np.int64)
+        self.pieces = np.cumsum(ends_piece, dtype=np.int32)[first] + self.row
         letters = _LOWER[data[solid]]
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]).dictionary_encode()
         self.codes, self.spelled = word.indices.to_numpy(), word.dictionary
         own = T.words(*T.text_bytes(self.spelled), lower=False)[0]
-        self.hashes = T.mix(own[self.codes] + seeds[self.row]) if len(first) else np.zeros(0, T.U64)
+        self.hashes = T.mix(own[self.codes] + seeds[self.row])
         self.starts = bounds[:-1] + np.arange(len(first))
         self.ends = self.starts + lengths
         self.joined = np.full(len(letters) + len(first), 0x20, np.uint8)
@@ -125,7 +124,9 @@ def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 @T.task("collocations")
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, size, n): single words, and for each language all its words as phrase null."""
+    """(lang, phrase, size, n): single words; and for each language all the task's words, with
+    phrase null and the task's number as size."""
+    task = TaskContext.get().partitionId()
     for batch in batches:
         for rows, words in chunks(batch):
             langs = rows.column("lang").dictionary_encode()
@@ -137,7 +138,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.concat_arrays([langs.dictionary.take(pa.array(keys // max(len(words.spelled), 1))), langs.dictionary]),
                     pa.concat_arrays([spelled.cast(pa.string()), pa.nulls(len(totals), pa.string())]),
-                    pa.array(np.full(len(keys) + len(totals), 1), pa.int32()),
+                    pa.array(np.repeat([1, task], [len(keys), len(totals)]), pa.int32()),
                     pa.array(np.concatenate([counts, totals]), pa.int64()),
                 ],
                 ["lang", "phrase", "size", "n"],
@@ -145,53 +146,37 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _mine(sizes: list[int], frequent, shards: int, held_words: int):
-    """(lang, hash, shard, n) of the phrases of each shard whose parts are frequent, added up
-    over some `held_words` words of a task; and (lang, null, shard, n), its words.
+    """(hash, shard, n) of the phrases whose parts are frequent, added up over some
+    `held_words` words of a task; the task's rows are of the shard that its number says.
 
-    A task's rows are of the shard that its number says. `frequent` is the broadcast
-    bitmap of the parts that a phrase is made of, and their size.
+    `frequent` is the broadcast bitmap of the parts that a phrase is made of, and their size.
     """
     bits, part = frequent
 
     @T.task("collocations")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
-        held: dict[str, list[np.ndarray]] = {}
-        totals: Counter = Counter()
+        held: list[np.ndarray] = []
         total = 0
 
-        def rows(lang: str, hashes: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-            same = pa.array(np.zeros(len(counts), np.int64))
-            arrays = [pa.array([lang]).take(same), hashes, pa.array([shard], pa.int32()).take(same), pa.array(counts, pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, ["lang", "hash", "shard", "n"])
-
-        def mined() -> Iterator[pa.RecordBatch]:
-            for lang in list(held):
-                hashes, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-                yield rows(lang, pa.array(hashes.view(np.int64)), counts)
+        def mined() -> pa.RecordBatch:
+            hashes, counts = np.unique(np.concatenate([np.zeros(0, T.U64), *held]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(np.full(len(hashes), shard, np.int32)), pa.array(counts, pa.int64())], ["hash", "shard", "n"])
 
         for batch in batches:
-            for texts, words in chunks(batch):
+            for _, words in chunks(batch):
                 known = _has(bits.value, words.phrase_hashes(part))
-                langs = texts.column("lang").dictionary_encode()
-                names = langs.dictionary.to_pylist()
-                lang = langs.indices.to_numpy()[words.row]
-                totals.update(dict(zip(names, np.bincount(lang, minlength=len(names)).tolist(), strict=True)))
                 for size in sizes:
                     fits = words.inside(size)
                     for k in range(size - part + 1):
                         fits = fits & known[k : k + len(fits)]
-                    at = np.flatnonzero(fits)
-                    hashes, of = words.phrase_hashes(size)[at], lang[at]
-                    for code, name in enumerate(names):
-                        held.setdefault(name, []).append(hashes[of == code])
+                    held.append(words.phrase_hashes(size)[fits])
                 total += len(words.codes)
                 if total >= held_words:
-                    yield from mined()
+                    yield mined()
                     total = 0
-        yield from mined()
-        for lang, n in totals.items():
-            yield rows(lang, pa.nulls(1, pa.int64()), np.array([n]))
+        yield mined()
 
     return run
 
@@ -261,18 +246,22 @@ def _bitmap(hashes: DataFrame, bits: int):
     return spark.sparkContext.broadcast(out)
 
 
-def _united(mined: DataFrame, langs: DataFrame, support: int) -> DataFrame:
+def local_supports(n_words: list[int], support: int) -> list[int]:
+    """For shards of so many words the least count that some shard has of a phrase with `support`.
+
+    If all shards have fewer, the counts add up to less than the support; so it is, too, where
+    a later scan deals the rows to other shards.
+    """
+    return [max(-(-support * n // max(sum(n_words), 1)), 1) for n in n_words]
+
+
+def _united(mined: DataFrame, least: list[int], support: int) -> DataFrame:
     """(hash) of the phrases that are locally frequent in a shard and may reach the support."""
-    shard = ["lang", "shard"]
-    sizes = mined.where("hash is null").groupBy(*shard).agg(F.sum("n").alias("n_shard")).join(langs.withColumnRenamed("n", "n_lang"), "lang")
-    # the least whole number from support * n_shard / n_lang on
-    least = F.expr(f"cast((cast({support} as decimal(38,0)) * n_shard + n_lang - 1) div n_lang as bigint)")
-    sizes = land(sizes.where("n_shard > 0").select(*shard, least.alias("least")), "shards")
-    slack = sizes.groupBy("lang").agg(F.sum(F.col("least") - 1).alias("slack"))
-    counted = mined.where("hash is not null").groupBy("lang", "hash", "shard").agg(F.sum("n").alias("n"))
-    local = counted.join(sizes, shard).where("n >= least")
-    named = local.groupBy("lang", "hash").agg(F.sum("n").alias("n"), F.sum(F.col("least") - 1).alias("short"))
-    return named.join(slack, "lang").where(f"n + slack - short >= {support}").select("hash")
+    locally = F.array(*[F.lit(n).cast("long") for n in least])[F.col("shard")]
+    # dealt by hash alone, so that neither sum deals again; tasks have added up their own rows
+    counted = mined.repartition("hash").groupBy("hash", "shard").agg(F.sum("n").alias("n"))
+    named = counted.withColumn("least", locally).where("n >= least").groupBy("hash").agg(F.sum("n").alias("n"), F.sum(F.col("least") - 1).alias("short"))
+    return named.where(f"n + {sum(least) - len(least)} - short >= {support}").select("hash")
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS, held_words: int = HELD_WORDS, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
@@ -285,9 +274,12 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     """
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     columns = "lang string, phrase string, size int, n long"
-    summed = docs.mapInArrow(_count_words, columns).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
-    words = land(summed.where(f"phrase is null or n >= {support}"), "words")
-    langs = land(words.where("phrase is null").select("lang", "n"), "languages")
+    summed = docs.mapInArrow(_count_words, columns).withColumn("size", F.when(F.col("phrase").isNull(), F.col("size") % shards).otherwise(F.col("size")))
+    words = land(summed.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(f"phrase is null or n >= {support}"), "words")
+    totals = words.where("phrase is null")
+    langs = land(totals.groupBy("lang").agg(F.sum("n").alias("n")), "languages")
+    n_words = dict(totals.groupBy("size").agg(F.sum("n")).collect())
+    least = local_supports([n_words.get(shard, 0) for shard in range(shards)], support)
     found = words.where("phrase is not null")
     parts, part = found, 1
     for sizes in ([2], list(range(3, longest + 1))):
@@ -295,8 +287,8 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
         if not sizes:
             break
         known = _bitmap(parts.select("lang", F.col("phrase").alias("text")).mapInArrow(_hash_phrases, "hash long"), bits)
-        mined = docs.mapInArrow(_mine(sizes, (known, part), shards, held_words), "lang string, hash long, shard int, n long")
-        united = _bitmap(_united(mined, langs, support), bits)
+        mined = docs.mapInArrow(_mine(sizes, (known, part), shards, held_words), "hash long, shard int, n long")
+        united = _bitmap(_united(mined, least, support), bits)
         exact = docs.mapInArrow(_count(sizes, united), columns).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
         parts, part = land(exact.where(f"n >= {support}"), "phrases"), 2
         found = found.unionByName(parts)
@@ -318,7 +310,7 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, shards
 
     A null text is empty, a null lang is `und` (also for rows that say so). Repeated rows
     count each time, an empty table has no rows, other columns are not read. A text of any
-    length is counted whole, in chunks of some 4 MB that end where a piece does; a single
+    length is counted whole, in chunks of some 2 MB that end where a piece does; a single
     piece is held at once. Languages of any share are spread over all tasks.
     """
     found, langs = frequent_phrases(docs, support, LONGEST, shards, held_words, bits)
