@@ -54,7 +54,7 @@ def made(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("shards,held_words,bits", [(8, 1 << 23, 1 << 25), (3, 60, 32768), (40, 400, 65536)])
+@pytest.mark.parametrize("shards,held_words,bits", [(8, 1 << 23, 1 << 25), (3, 60, 32768), (16, 400, 65536)])
 def test_against_plain(spark, shards, held_words, bits):
     """With shards of any size, and bitmaps so small that phrases share bits."""
     rows = made(1, 400) + [("en", None), ("en", ""), (None, None), ("es", " .,;")]
@@ -95,6 +95,13 @@ def test_local_support_is_a_bound(spark):
     assert {(p, a) for p, a, *_ in found} == {("a b", 12), ("c d", 12)}
 
 
+def test_counts_beyond_a_row(spark):
+    """A phrase that one task has more often than a packed row can say."""
+    rows = [("en", "ha " * 5000), ("en", "ho hum." * 9001)] * 2
+    frame = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    assert got(frame, support=18002) == brute(rows, support=18002) and got(frame, support=18003) == {}
+
+
 def test_local_supports():
     for n_words in ([5, 5, 20], [0, 7], [1] * 40, [0, 0], [10**15, 1]):
         least = C.local_supports(n_words, 30)

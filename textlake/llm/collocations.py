@@ -34,6 +34,7 @@ SUPPORT, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 #: Shards of the corpus, words whose phrases a task holds, bits of a bitmap, bytes of text cut into words at once.
 SHARDS, HELD_WORDS, BITS, CHUNK_BYTES = 8, 1 << 22, 1 << 25, 2 << 20
 _BLOCK = 32_768
+_MOST = 4095
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -146,10 +147,12 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _mine(sizes: list[int], frequent, shards: int, held_words: int):
-    """(hash, shard, n) of the phrases whose parts are frequent, added up over some
-    `held_words` words of a task; the task's rows are of the shard that its number says.
+    """(packed) of the phrases whose parts are frequent, added up over some `held_words` words of
+    a task; the task's rows are of the shard that its number says.
 
-    `frequent` is the broadcast bitmap of the parts that a phrase is made of, and their size.
+    `frequent` is the broadcast bitmap of the parts that a phrase is made of, and their
+    size. A number packs 48 bits of a hash, 4 of the shard and 12 of the count; a larger
+    count takes several.
     """
     bits, part = frequent
 
@@ -162,7 +165,11 @@ def _mine(sizes: list[int], frequent, shards: int, held_words: int):
         def mined() -> pa.RecordBatch:
             hashes, counts = np.unique(np.concatenate([np.zeros(0, T.U64), *held]), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(np.full(len(hashes), shard, np.int32)), pa.array(counts, pa.int64())], ["hash", "shard", "n"])
+            times = -(-counts // _MOST)
+            n = np.full(times.sum(), _MOST)
+            n[np.cumsum(times) - 1] = counts - _MOST * (times - 1)
+            packed = np.repeat(hashes << T.U64(16), times) | T.U64(shard << 12) | n.astype(T.U64)
+            return pa.RecordBatch.from_arrays([pa.array(packed.view(np.int64))], ["packed"])
 
         for batch in batches:
             for _, words in chunks(batch):
@@ -259,7 +266,9 @@ def _united(mined: DataFrame, least: list[int], support: int) -> DataFrame:
     """(hash) of the phrases that are locally frequent in a shard and may reach the support."""
     locally = F.array(*[F.lit(n).cast("long") for n in least])[F.col("shard")]
     # dealt by hash alone, so that neither sum deals again; tasks have added up their own rows
-    counted = mined.repartition("hash").groupBy("hash", "shard").agg(F.sum("n").alias("n"))
+    hashed = F.shiftrightunsigned("packed", 16)
+    dealt = mined.repartition(hashed).select(hashed.alias("hash"), F.expr("cast(shiftright(packed, 12) & 15 as int)").alias("shard"), F.expr("packed & 4095").alias("n"))
+    counted = dealt.groupBy("hash", "shard").agg(F.sum("n").alias("n"))
     named = counted.withColumn("least", locally).where("n >= least").groupBy("hash").agg(F.sum("n").alias("n"), F.sum(F.col("least") - 1).alias("short"))
     return named.where(f"n + {sum(least) - len(least)} - short >= {support}").select("hash")
 
@@ -268,9 +277,9 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     """(lang, phrase, size, n) of all phrases of 1 to `longest` words with n >= support
     occurrences in the language, and (lang, n), all its words.
 
-    `docs` has lang and text and is scanned seven times (four for pairs only). The
-    bitmaps are `bits` bits, a power of two of 32,768 or more; a task adds up phrases over
-    `held_words` words before it sends them on.
+    `docs` has lang and text and is scanned five times (three for pairs only). There are
+    16 `shards` at most; the bitmaps are `bits` bits, a power of two from 2**15 to 2**48; a
+    task adds up phrases over `held_words` words before it sends them on.
     """
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     columns = "lang string, phrase string, size int, n long"
@@ -287,7 +296,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
         if not sizes:
             break
         known = _bitmap(parts.select("lang", F.col("phrase").alias("text")).mapInArrow(_hash_phrases, "hash long"), bits)
-        mined = docs.mapInArrow(_mine(sizes, (known, part), shards, held_words), "hash long, shard int, n long")
+        mined = docs.mapInArrow(_mine(sizes, (known, part), shards, held_words), "packed long")
         united = _bitmap(_united(mined, least, support), bits)
         exact = docs.mapInArrow(_count(sizes, united), columns).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
         parts, part = land(exact.where(f"n >= {support}"), "phrases"), 2
