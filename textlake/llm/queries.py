@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlake.llm import language
+from textlake.llm import language, toxicity
 from textlake.llm.collocations import collocations
 from textlake.llm.decontaminate import find_items
 from textlake.llm.fingerprints import fingerprint_documents, near_classes, within_radius
@@ -134,3 +134,14 @@ def op11_vector_codes(spark, sf_dir):
 @query
 def op12_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
+
+
+#: The rows that op13 does not learn from: crc32 of the id as text, mod 3, is 1.
+UNSEEN = "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)"
+
+
+@query
+def op13_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(UNSEEN).alias("held_out"))
+    model = toxicity.train(docs.where("not held_out"), table(spark, sf_dir, "labels").where(f"not {UNSEEN}"))
+    return toxicity.score_texts(docs, model).drop("text")
