@@ -260,6 +260,17 @@ SELECT p.article_name, COUNT(*) AS n_days, CAST(SUM(p.views) AS BIGINT) AS total
        min(a.url) AS url
 FROM pageviews p LEFT JOIN articles a ON p.article_name = a.article_name GROUP BY 1""",
     "end_to_end": _all_rows("by_url"),
+    "months_analytics": """
+SELECT article_name, avg_views, max_views, best_rank, total_days_ranked FROM analytics""",
+    "months_lookup_analytics": """
+SELECT article_name, avg_views, max_views, best_rank, total_days_ranked AS total_days_tracked
+FROM analytics WHERE article_name = 'smallring'""",
+    "months_top_month": _top_by(EVERY_MONTH, where=ONE_MONTH),
+    "months_top_year": TOP_YEAR,
+    "huge_months_top_month": _top_by(EVERY_MONTH, where=ONE_MONTH, huge=True),
+    "huge_months_top_every_month": _top_by(EVERY_MONTH, huge=True),
+    "huge_months_top_every_year": _top_by(EVERY_YEAR, huge=True),
+    "reloaded_rankings": "SELECT article_name, views, popularity_bucket, date, rank FROM ranked",
 }
 
 RANKED = """
@@ -301,6 +312,15 @@ WHERE NOT EXISTS (SELECT 1 FROM art a WHERE a.article_name = p.article_name)""",
     "orders_documents": DOCUMENT,
     "orders_top_every_month": _top_by(EVERY_MONTH, "pageviews"),
     "orders_top_every_year": _top_by(EVERY_YEAR, "pageviews"),
+    "orders_months_analytics": ANALYTICS_OF,
+    "orders_reloaded_analytics": ANALYTICS_OF,
+    "orders_reloaded_rankings": RANKED,
+    "orders_months_top_every_month": _top_by(EVERY_MONTH, "pageviews"),
+    "orders_months_top_every_year": _top_by(EVERY_YEAR, "pageviews"),
+    "months_merged": f"""
+SELECT article_name, {YEAR_OF} AS year, {MONTH_OF} AS month, CAST(SUM(views) AS BIGINT) AS total_views,
+       COUNT(views) AS n_views, MAX(views) AS max_views, MIN(rank) AS best_rank, COUNT(DISTINCT date) AS n_days
+FROM pageviews GROUP BY 1, 2, 3""",
     "orders_top_every_day": """
 SELECT date, article_name, rank
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date ORDER BY article_name NULLS FIRST) AS rn

@@ -19,7 +19,7 @@ from textlake.operators import (
     df_join,
     groupby_expr,
 )
-from textlake.schemas import ANALYTICS, ARTICLES, DOCUMENTS, KEY, RANKINGS
+from textlake.schemas import ANALYTICS, ARTICLES, DOCUMENTS, KEY, MONTHS, RANKINGS
 from textlake.workspace import fresh_path, land
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -502,6 +502,115 @@ def orders_top_every_day(spark, sf_dir):
     return plans.top_articles_by_day(orders_rankings(spark, sf_dir)).drop("views")
 
 
+# The roll-up by month: states of two loads that share days, stored one after the other
+
+def _halves(pageviews):
+    """Two loads of the same days: every day has rows in both."""
+    half = F.pmod(F.xxhash64("article", "views", "date", "rank"), F.lit(2))
+    return [pageviews.where(half == k) for k in (0, 1)]
+
+
+def _stored_months(spark, pageviews):
+    path = fresh_path(spark, "months")
+    for load in _halves(land(pageviews, "pageviews")):
+        sinks.write_months(plans.month_totals(load), path)
+    return sources.read_table(spark, path, MONTHS)
+
+
+@query
+def months_analytics(spark, sf_dir):
+    return plans.analytics_of_months(_stored_months(spark, fixture.pageviews(spark, sf_dir)))
+
+
+@query
+def orders_months_analytics(spark, sf_dir):
+    return plans.analytics_of_months(_stored_months(spark, fixture.order_views(spark, sf_dir)))
+
+
+@query
+def months_lookup_analytics(spark, sf_dir):
+    months = _stored_months(spark, fixture.pageviews(spark, sf_dir))
+    return plans.lookup_analytics(plans.analytics_of_months(months), TITLE)
+
+
+@query
+def months_merged(spark, sf_dir):
+    """The roll-up itself, a row per article and month after both loads."""
+    months = plans.merge_months(_stored_months(spark, fixture.order_views(spark, sf_dir)))
+    days = F.bit_count("days").cast("long").alias("n_days")
+    return months.select(KEY, "year", "month", F.col("total_views").cast("bigint").alias("total_views"), "n_views", "max_views", "best_rank", days)
+
+
+@query
+def months_top_month(spark, sf_dir):
+    return _long(plans.top_of_month(_stored_months(spark, fixture.pageviews(spark, sf_dir)), YEAR, MONTH))
+
+
+@query
+def months_top_year(spark, sf_dir):
+    return _long(plans.top_of_year(_stored_months(spark, fixture.pageviews(spark, sf_dir)), YEAR))
+
+
+@query
+def orders_months_top_every_month(spark, sf_dir):
+    return _long(plans.top_of_months(_stored_months(spark, fixture.order_views(spark, sf_dir))))
+
+
+@query
+def orders_months_top_every_year(spark, sf_dir):
+    return _long(plans.top_of_years(_stored_months(spark, fixture.order_views(spark, sf_dir))))
+
+
+def _huge_months(spark, sf_dir):
+    rows = fixture.huge_rankings(spark, sf_dir).withColumn("article", F.col(KEY))
+    return _stored_months(spark, rows)
+
+
+@query
+def huge_months_top_month(spark, sf_dir):
+    return _text(plans.top_of_month(_huge_months(spark, sf_dir), YEAR, MONTH))
+
+
+@query
+def huge_months_top_every_month(spark, sf_dir):
+    return _text(plans.top_of_months(_huge_months(spark, sf_dir)))
+
+
+@query
+def huge_months_top_every_year(spark, sf_dir):
+    return _text(plans.top_of_years(_huge_months(spark, sf_dir)))
+
+
+# Loads of a period that are repeated: the year's folders are replaced
+
+def _reloaded(spark, table, write, year):
+    """A table whose first load had a year wrong: loaded again twice, then read back."""
+    path = fresh_path(spark, "reloaded")
+    table = land(table, "table")
+    wrong = F.when(year == YEAR, F.lit("wrong")).otherwise(F.col(KEY)).alias(KEY)
+    write(table.select(*[wrong if c == KEY else c for c in table.columns]), path)
+    for _ in range(2):
+        write(table.where(year == YEAR), path, sinks.REPLACE_YEARS)
+    return sources.read_table(spark, path)
+
+
+@query
+def reloaded_rankings(spark, sf_dir):
+    return _reloaded(spark, rankings(spark, sf_dir), sinks.write_rankings, F.year("date")).select(*RANKINGS.names)
+
+
+@query
+def orders_reloaded_rankings(spark, sf_dir):
+    return _reloaded(spark, orders_rankings(spark, sf_dir), sinks.write_rankings, F.year("date")).select(*RANKINGS.names)
+
+
+@query
+def orders_reloaded_analytics(spark, sf_dir):
+    """Statistics after a year's roll-up was corrected."""
+    months = plans.month_totals(fixture.order_views(spark, sf_dir))
+    return plans.analytics_of_months(_reloaded(spark, months, sinks.write_months, F.col("year")))
+
+
 # Sinks: written, then read back
 
 @query

@@ -1,5 +1,14 @@
 from textlake.plans.build import BuildReport, build_tables, load_stores, open_tables
 from textlake.plans.lookup import lookup_analytics, lookup_document, preview, sample_document
+from textlake.plans.months import (
+    analytics_of_months,
+    merge_months,
+    month_totals,
+    top_of_month,
+    top_of_months,
+    top_of_year,
+    top_of_years,
+)
 from textlake.plans.quality import corpus_counts, corrupt_records, pageview_quality
 from textlake.plans.tables import (
     analytics,
@@ -22,6 +31,7 @@ from textlake.plans.top import (
 __all__ = [
     "BuildReport",
     "analytics",
+    "analytics_of_months",
     "article_documents",
     "build_tables",
     "clean_articles",
@@ -31,6 +41,8 @@ __all__ = [
     "load_stores",
     "lookup_analytics",
     "lookup_document",
+    "merge_months",
+    "month_totals",
     "open_tables",
     "pageview_quality",
     "preview",
@@ -42,6 +54,10 @@ __all__ = [
     "top_articles_by_day",
     "top_articles_by_month",
     "top_articles_by_year",
+    "top_of_month",
+    "top_of_months",
+    "top_of_year",
+    "top_of_years",
     "unique_articles",
     "viewed_keys",
 ]

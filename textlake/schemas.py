@@ -56,6 +56,18 @@ ANALYTICS = T.StructType([
     T.StructField("total_days_ranked", T.LongType()),
 ])
 
+# `days` has a bit for each day of the month, the first day's lowest.
+MONTHS = T.StructType([
+    T.StructField(KEY, T.StringType()),
+    T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+    T.StructField("total_views", T.DecimalType(38, 0)),
+    T.StructField("n_views", T.LongType()),
+    T.StructField("max_views", T.LongType()),
+    T.StructField("best_rank", T.IntegerType()),
+    T.StructField("days", T.IntegerType()),
+])
+
 DOCUMENTS = T.StructType([
     T.StructField(KEY, T.StringType()),
     T.StructField("part", T.LongType()),

@@ -1,6 +1,6 @@
 """Parquet / JSON tables, laid out so that the read queries skip most of them.
 
-Rankings are read by period: they are range-partitioned and sorted by date, so
+Rankings and their roll-up are read by period. Rankings are range-partitioned and sorted by date, so
 that row-group statistics skip other days. Range bounds come from a sample and go
 on to the rank and the key, so a crowded day spreads over several files. The other
 two tables are read by key: a Parquet bloom filter per row group answers that
@@ -9,7 +9,7 @@ without a further shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from textlake.schemas import KEY
@@ -21,17 +21,38 @@ _KEY_INDEX = {
 }
 
 
+#: Mode of a table in folders by year: the years of the input take the place of the stored ones.
+REPLACE_YEARS = "replace_years"
+
+
+def _by_year(df: DataFrame, mode: str) -> DataFrameWriter:
+    """A writer of one folder per year. With `REPLACE_YEARS` the folders that the input has rows
+    for are replaced when the job commits, all others stay as they are."""
+    writer = df.write.partitionBy("year")
+    if mode != REPLACE_YEARS:
+        return writer.mode(mode)
+    return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
 def write_rankings(rankings: DataFrame, path: str, mode: str = "append") -> None:
-    """One folder per year, sorted by day and rank inside it."""
+    """One folder per year, sorted by day and rank inside it.
+
+    With mode ``replace_years`` the load of a period can be repeated or corrected: give all
+    rows of its years. Rows without a date are a folder of their own.
+    """
     order = ["date", "rank", KEY]
-    (
-        rankings.withColumn("year", F.year("date"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions("year", *order)
-        .write.mode(mode)
-        .partitionBy("year")
-        .parquet(path)
-    )
+    ranged = rankings.withColumn("year", F.year("date")).repartitionByRange(*order)
+    _by_year(ranged.sortWithinPartitions("year", *order), mode).parquet(path)
+
+
+def write_months(months: DataFrame, path: str, mode: str = "append") -> None:
+    """The roll-up of `plans.month_totals`, one folder per year, sorted by month and key.
+
+    Appended rows are merged by their readers; ``replace_years`` as in `write_rankings`.
+    Adaptive execution makes files of like size, and splits a large year.
+    """
+    dealt = months.hint("rebalance", "year").sortWithinPartitions("year", "month", KEY)
+    _by_year(dealt, mode).options(**_KEY_INDEX).parquet(path)
 
 
 def write_analytics(analytics: DataFrame, path: str, mode: str = "append") -> None:
