@@ -270,6 +270,8 @@ FROM analytics WHERE article_name = 'smallring'""",
     "huge_months_top_month": _top_by(EVERY_MONTH, where=ONE_MONTH, huge=True),
     "huge_months_top_every_month": _top_by(EVERY_MONTH, huge=True),
     "huge_months_top_every_year": _top_by(EVERY_YEAR, huge=True),
+    "grown_documents": _document(SPLIT_AT),
+    "grown_lookup": f"{_document(SPLIT_AT)} WHERE h.article_name = 'smallring'",
     "reloaded_rankings": "SELECT article_name, views, popularity_bucket, date, rank FROM ranked",
 }
 
@@ -312,6 +314,8 @@ WHERE NOT EXISTS (SELECT 1 FROM art a WHERE a.article_name = p.article_name)""",
     "orders_documents": DOCUMENT,
     "orders_top_every_month": _top_by(EVERY_MONTH, "pageviews"),
     "orders_top_every_year": _top_by(EVERY_YEAR, "pageviews"),
+    "arrivals_orders_dedup": "SELECT article_name, name, description, url, abstract FROM articles",
+    "orders_grown_documents": DOCUMENT,
     "orders_months_analytics": ANALYTICS_OF,
     "orders_reloaded_analytics": ANALYTICS_OF,
     "orders_reloaded_rankings": RANKED,
@@ -379,6 +383,8 @@ SELECT (SELECT COUNT(*) FROM dirty) AS raw_pageviews, (SELECT COUNT(*) FROM page
     "orders_end_to_end": _all_rows("articles"),
 }
 
+SELECTS["arrivals_dedup_texts"] = SELECTS["dedup_texts"]
+
 ORACLE_SQL = {name: VIEWS + sql for name, sql in SELECTS.items()}
 ORACLE_SQL.update((name, ORDER_VIEWS + sql) for name, sql in ORDER_SELECTS.items())
 ORACLE_SQL.update((name, DIRTY + sql) for name, sql in DIRTY_SELECTS.items())

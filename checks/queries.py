@@ -19,6 +19,7 @@ from textlake.operators import (
     df_join,
     groupby_expr,
 )
+from textlake.plans.tables import ARTICLE_ORDER
 from textlake.schemas import ANALYTICS, ARTICLES, DOCUMENTS, KEY, MONTHS, RANKINGS
 from textlake.workspace import fresh_path, land
 
@@ -611,6 +612,58 @@ def orders_reloaded_analytics(spark, sf_dir):
     return plans.analytics_of_months(_reloaded(spark, months, sinks.write_months, F.col("year")))
 
 
+# Documents that grow: loads up to a year, from a later year on, then the days between
+
+def _grown(spark, pageviews, articles, year, **options):
+    path, pageviews, articles = fresh_path(spark, "grown"), land(pageviews, "pageviews"), land(articles, "texts")
+    at = F.year("date")
+    for load in (pageviews.where(at < year), pageviews.where(at > year), pageviews.where(at == year)):
+        plans.append_documents(spark, path, load, articles, **options)
+    return path
+
+
+@query
+def grown_documents(spark, sf_dir):
+    """In parts of 365 entries; the last load changes parts in the middle."""
+    path = _grown(spark, fixture.pageviews(spark, sf_dir), fixture.articles(spark, sf_dir), YEAR - 2, max_entries=SPLIT_AT)
+    return _as_text(plans.current_documents(spark, path))
+
+
+@query
+def orders_grown_documents(spark, sf_dir):
+    path = _grown(spark, fixture.order_views(spark, sf_dir), plans.unique_articles(fixture.customers(spark, sf_dir)), YEAR - 2)
+    return _as_text(plans.current_documents(spark, path))
+
+
+@query
+def grown_lookup(spark, sf_dir):
+    """One document of the grown table, after it was compacted."""
+    path, target = _grown(spark, fixture.pageviews(spark, sf_dir), fixture.articles(spark, sf_dir), YEAR, max_entries=SPLIT_AT), fresh_path(spark, "compacted")
+    plans.compact_documents(spark, path, target, SPLIT_AT)
+    return _as_text(plans.lookup_document(plans.current_documents(spark, target), TITLE))
+
+
+# A corpus in several files, of which one arrives twice
+
+def _arrived(spark, rows, files, *rule, **options):
+    path, rows = fresh_path(spark, "arrivals"), land(rows, "corpus")
+    for k in [*range(files), 1]:
+        own = F.pmod(F.xxhash64(*rows.columns), F.lit(files)) == k
+        plans.add_arrival(rows.where(own), path, f"file {k}", *rule, **options)
+    return plans.winners_of_arrivals(spark, path, *rule, **options)
+
+
+@query
+def arrivals_dedup_texts(spark, sf_dir):
+    documents = fixture.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", F.sha2(title_key("text"), 256).alias("text_key"))
+    return _arrived(spark, documents, 4, ["text_key"], "doc_id").drop("text_key")
+
+
+@query
+def arrivals_orders_dedup(spark, sf_dir):
+    return _arrived(spark, fixture.customers(spark, sf_dir), 5, [KEY], "url", tie_breakers=ARTICLE_ORDER)
+
+
 # Sinks: written, then read back
 
 @query

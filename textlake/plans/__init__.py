@@ -1,4 +1,6 @@
+from textlake.plans.arrivals import add_arrival, winners_of_arrivals
 from textlake.plans.build import BuildReport, build_tables, load_stores, open_tables
+from textlake.plans.growing import append_documents, compact_documents, current_documents
 from textlake.plans.lookup import lookup_analytics, lookup_document, preview, sample_document
 from textlake.plans.months import (
     analytics_of_months,
@@ -30,14 +32,18 @@ from textlake.plans.top import (
 
 __all__ = [
     "BuildReport",
+    "add_arrival",
     "analytics",
     "analytics_of_months",
+    "append_documents",
     "article_documents",
     "build_tables",
     "clean_articles",
     "clean_pageviews",
+    "compact_documents",
     "corpus_counts",
     "corrupt_records",
+    "current_documents",
     "load_stores",
     "lookup_analytics",
     "lookup_document",
@@ -60,4 +66,5 @@ __all__ = [
     "top_of_years",
     "unique_articles",
     "viewed_keys",
+    "winners_of_arrivals",
 ]

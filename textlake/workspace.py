@@ -32,6 +32,14 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies directly below `path`, none if it does not exist."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
 _application_dirs: set[str] = set()
 
 
