@@ -113,6 +113,23 @@ def dirty_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(broken, F.substring(record, 1, 12)).otherwise(record).alias("value"))
 
 
+HEADER = "article,date,views,rank"
+
+
+def quoted_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines (named as their header) of titles with quotes and commas, and `slot`, 0 to 4.
+
+    Half of the titles have their quotes doubled, half behind a backslash; a line of every
+    61st order has too many fields to be either.
+    """
+    key, rows = F.col("o_orderkey"), _order_rows(spark, sf_dir)
+    quote = F.when(key % 2 == 0, '""').otherwise('\\"')
+    title = F.concat(F.lit('"The '), quote, F.coalesce("article", F.lit("?")), quote, F.lit(', live"'))
+    rest = F.concat_ws(",", F.col("date").cast("string"), "views", F.col("rank").cast("string"))
+    line = F.when(key % 61 == 0, F.concat(F.lit("a,b,c,"), rest)).otherwise(F.concat_ws(",", title, rest))
+    return rows.select(line.alias(HEADER), (key % 5).alias("slot"))
+
+
 def huge_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rankings whose counts are so near the largest long that no two of them fit one."""
     views = F.lit(9_223_372_036_854_775_807) - F.col("rank")

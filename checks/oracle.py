@@ -385,6 +385,35 @@ SELECT (SELECT COUNT(*) FROM dirty) AS raw_pageviews, (SELECT COUNT(*) FROM page
 
 SELECTS["arrivals_dedup_texts"] = SELECTS["dedup_texts"]
 
+# Titles with quotes and commas, in files that write a quote in two ways
+QUOTED = rf"""{ORDER_VIEWS.split("pageviews AS (")[0].replace("SELECT CASE", "SELECT o_orderkey, CASE", 1)}
+quoted AS (
+  SELECT 'The "' || coalesce(article, '?') || '", live' AS article, date, views, rank,
+         o_orderkey % 2 = 0 AS recovered, o_orderkey % 61 = 0 AS lost, o_orderkey % 5 AS slot
+  FROM pv_raw),
+pageviews AS (
+  SELECT article, CAST(views AS BIGINT) AS views, date, rank, {KEY_SQL.format("article")} AS article_name
+  FROM quoted WHERE NOT lost AND regexp_matches(views, '^[0-9]+$'))
+"""
+
+QUOTED_SELECTS = {
+    "recovered_rows": "SELECT article, date, views, rank, recovered FROM quoted WHERE NOT lost",
+    "recovered_rankings": RANKED,
+    "pageview_files": """
+SELECT slot, COUNT(*) AS raw_rows, COUNT(*) FILTER (NOT lost AND regexp_matches(views, '^[0-9]+$')) AS kept_rows,
+       COUNT(*) FILTER (lost OR NOT regexp_matches(views, '^[0-9]+$')) AS corrupt_rows,
+       COUNT(*) FILTER (lost) AS bad_date_rows, COUNT(*) FILTER (lost) AS bad_rank_rows,
+       COUNT(*) FILTER (recovered AND NOT lost) AS recovered_rows, COUNT(*) FILTER (lost) AS lost_rows
+FROM quoted GROUP BY slot""",
+}
+
+DIRTY_SELECTS["article_files"] = """
+SELECT CASE WHEN CAST(regexp_extract(url, '([0-9]+)/', 1) AS INT) % 37 = 0 AND ends_with(url, '/b') THEN 'unreadable' ELSE description END AS slot,
+       COUNT(*) AS total_rows,
+       COUNT(*) FILTER (CAST(regexp_extract(url, '([0-9]+)/', 1) AS INT) % 37 = 0 AND ends_with(url, '/b')) AS corrupt_rows
+FROM art_raw GROUP BY 1"""
+
 ORACLE_SQL = {name: VIEWS + sql for name, sql in SELECTS.items()}
 ORACLE_SQL.update((name, ORDER_VIEWS + sql) for name, sql in ORDER_SELECTS.items())
 ORACLE_SQL.update((name, DIRTY + sql) for name, sql in DIRTY_SELECTS.items())
+ORACLE_SQL.update((name, QUOTED + sql) for name, sql in QUOTED_SELECTS.items())

@@ -118,6 +118,47 @@ def _dirty_jsonl(spark, sf_dir):
     return path
 
 
+def _quoted_csv(spark, sf_dir):
+    """A file for each of five slots, with both ways to write a quote; the lines are written as they are."""
+    path = fresh_path(spark, "quoted-csv")
+    lines = fixture.quoted_order_lines(spark, sf_dir).repartition("slot")
+    lines.write.partitionBy("slot").options(header=True, quote="", sep="\u0001").csv(path)
+    return f"{path}/*"
+
+
+@query
+def recovered_rows(spark, sf_dir):
+    """Rows of a file with both ways to write a quote, those lost left out."""
+    raw = sources.read_pageviews(spark, _quoted_csv(spark, sf_dir), flags=True, recover=True)
+    return raw.where("not lost").select("article", "date", "views", "rank", "recovered")
+
+
+@query
+def recovered_rankings(spark, sf_dir):
+    return plans.rankings(plans.clean_pageviews(sources.read_pageviews(spark, _quoted_csv(spark, sf_dir), recover=True)))
+
+
+def _slot(files):
+    """The slot that a file's folder says, in place of its path."""
+    return files.withColumn("slot", F.regexp_extract("file", "slot=([0-9]+)/[^/]*$", 1).cast("long")).drop("file")
+
+
+@query
+def pageview_files(spark, sf_dir):
+    raw = sources.read_pageviews(spark, _quoted_csv(spark, sf_dir), flags=True, recover=True, file=True)
+    return _slot(plans.pageview_files(raw))
+
+
+@query
+def article_files(spark, sf_dir):
+    """Faults of a corpus by file: a file holds the records of one market segment."""
+    path = fresh_path(spark, "segments")
+    segment = F.coalesce(F.get_json_object("value", "$.description"), F.lit("unreadable")).alias("slot")
+    fixture.dirty_customer_lines(spark, sf_dir).select("value", segment).repartition("slot").write.partitionBy("slot").text(path)
+    files = plans.article_files(sources.read_articles(spark, f"{path}/*", file=True))
+    return files.withColumn("slot", F.regexp_extract("file", "slot=([A-Za-z]+)/[^/]*$", 1)).drop("file")
+
+
 @query
 def quality_report(spark, sf_dir):
     """Every figure above zero: on rows with each kind of fault."""

@@ -10,12 +10,13 @@ import json
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 
 from textlake import schemas, sinks, sources
 from textlake.__main__ import main
 from textlake.plans import build, build_tables, load_stores, lookup_analytics, top_article_of_month
-from textlake.sinks.stores import jdbc_options, relational_rows
+from textlake.sinks.stores import created_types, jdbc_options, relational_rows
 from textlake.workspace import fresh_path, land, shared_dir, temporary
 
 
@@ -89,7 +90,8 @@ def test_relational_write(spark, ranked, calls, monkeypatch):
     assert len(calls) == 1 and seen["format"] == "jdbc" and seen["mode"] == "append"
     assert seen["options"] == {
         "url": "jdbc:postgresql://db:5433/x", "user": "me", "dbtable": "article_rankings",
-        "batchsize": 1000, "numPartitions": 16, "truncate": True}
+        "batchsize": 1000, "numPartitions": 16, "truncate": True,
+        "createTableColumnTypes": "`date` DATE, `views` float"}
 
 
 def test_staged_rows_are_published_once(spark, ranked, monkeypatch):
@@ -254,3 +256,21 @@ def _children(spark):
     import pathlib
     folder = pathlib.Path(shared_dir(spark)) / "textlake" / spark.conf.get("spark.app.id")
     return list(folder.iterdir()) if folder.exists() else []
+
+
+def test_a_created_table_has_the_types_that_were_asked_for(spark, monkeypatch, calls):
+    columns = ["id", "name", "price", "note", "mean", "n", "when", "exact"]
+    types = dict(zip(columns, ["UUID", "VARCHAR(20)", "NUMERIC(12,2)", "TEXT", "FLOAT", "SMALLINT", "TIMESTAMP", "DOUBLE PRECISION"]))
+    assert created_types(columns, types) == "`name` VARCHAR(20), `price` NUMERIC(12,2), `mean` FLOAT, `n` SMALLINT, `when` TIMESTAMP"
+    seen = recorded(monkeypatch, DataFrameWriter)
+    rows = spark.createDataFrame([("0", "x", 1.5, "t", 2.0, 1, "2020-01-01 00:00:00", 0.5)], columns)
+    sinks.load_to_postgres(rows, columns, types, {"host": "h", "dbname": "d"}, "t")
+    assert seen["options"]["createTableColumnTypes"] == created_types(columns, types)
+    # Spark takes them: it parses the option as a list of columns
+    parsed = T.StructType.fromDDL(created_types(columns, types))
+    assert [f.dataType.simpleString() for f in parsed] == ["varchar(20)", "decimal(12,2)", "float", "smallint", "timestamp"]
+    # of the table's own: all but the text
+    assert created_types(list(schemas.RANKINGS_SQL), schemas.RANKINGS_SQL) == "`views` BIGINT, `date` DATE, `rank` INT"
+    seen["options"].clear()
+    sinks.load_to_postgres(rows.select("note"), ["note"], {"note": "TEXT"}, {"host": "h", "dbname": "d"}, "t")
+    assert "createTableColumnTypes" not in seen["options"]

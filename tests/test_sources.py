@@ -5,7 +5,8 @@ import json
 
 import pytest
 
-from textlake.plans import clean_articles, clean_pageviews, corrupt_records, pageview_quality
+from textlake import schemas
+from textlake.plans import article_files, clean_articles, clean_pageviews, corrupt_records, pageview_quality
 from textlake.sources import ingest_data, read_articles, read_pageviews
 
 DAY = dt.date(2016, 12, 2)
@@ -108,3 +109,38 @@ def test_multi_line_file_read_as_lines_is_all_corrupt(spark, csv):
     path = csv(json.dumps(ARTICLE, indent=2), "one.json")
     total, corrupt = corrupt_records(read_articles(spark, path, "jsonl")).first()
     assert total == corrupt > 1
+
+
+def test_both_ways_to_write_a_quote(spark, tmp_path):
+    """Lines broken by the other way are read again; the others are not touched."""
+    path = tmp_path / "views.csv"
+    path.write_text(
+        "rank,article,views,date\n"
+        '1,"""Awaken,_My_Love!""",500,2017-01-01\n'
+        '2,"say \\"hi\\", you",7,2017-01-02\n'
+        "3,plain,8,2017-01-03\n"
+        "4,a,b,c,d,e\n"
+        "5,short\n"
+        '6,"""Awaken""",9,2017-01-06\n')
+    rows = {r["rank"]: r for r in read_pageviews(spark, str(path), flags=True, recover=True, file=True).collect()}
+    assert (rows[1].article, rows[1].views, rows[1].recovered, rows[1].lost) == ('"Awaken,_My_Love!"', "500", True, False)
+    assert (rows[2].article, rows[2].views, rows[2].recovered) == ('say "hi", you', "7", False)
+    assert (rows[3].article, rows[3].recovered, rows[3].lost) == ("plain", False, False)
+    assert rows[4].lost and rows[5].lost and not rows[4].recovered
+    assert rows[6].views == "9" and not rows[6].lost
+    assert {r.file.rsplit("/", 1)[1] for r in rows.values()} == {"views.csv"}
+    # the reverse, where quotes are said to be doubled
+    other = {r["rank"]: r for r in read_pageviews(spark, str(path), flags=True, recover=True, escape='"').collect()}
+    assert (other[1].article, other[1].recovered) == ('"Awaken,_My_Love!"', False)
+    assert (other[2].article, other[2].views, other[2].recovered) == ('say "hi", you', "7", True)
+    # without it, the row is shifted as before
+    plain = {r["rank"]: r for r in read_pageviews(spark, str(path)).collect()}
+    assert plain[1].views != "500" and plain[3].views == "8"
+    assert read_pageviews(spark, str(path), recover=True).columns == schemas.PAGEVIEWS.names
+
+
+def test_files_are_told_apart(spark, tmp_path):
+    for name, lines in (("a.jsonl", ['{"name": "x"}', "{broken", '{"name": "y"}']), ("b.jsonl", ["{broken"]), ("c.jsonl", [])):
+        (tmp_path / name).write_text("".join(line + "\n" for line in lines))
+    files = article_files(read_articles(spark, str(tmp_path), file=True))
+    assert sorted((r.file.rsplit("/", 1)[1], r.total_rows, r.corrupt_rows) for r in files.collect()) == [("a.jsonl", 3, 1), ("b.jsonl", 1, 1)]

@@ -11,7 +11,13 @@ from textlake.plans.months import (
     top_of_year,
     top_of_years,
 )
-from textlake.plans.quality import corpus_counts, corrupt_records, pageview_quality
+from textlake.plans.quality import (
+    article_files,
+    corpus_counts,
+    corrupt_records,
+    pageview_files,
+    pageview_quality,
+)
 from textlake.plans.tables import (
     analytics,
     article_documents,
@@ -37,6 +43,7 @@ __all__ = [
     "analytics_of_months",
     "append_documents",
     "article_documents",
+    "article_files",
     "build_tables",
     "clean_articles",
     "clean_pageviews",
@@ -50,6 +57,7 @@ __all__ = [
     "merge_months",
     "month_totals",
     "open_tables",
+    "pageview_files",
     "pageview_quality",
     "preview",
     "rankings",

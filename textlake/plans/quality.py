@@ -58,3 +58,23 @@ def corrupt_records(raw: DataFrame) -> DataFrame:
         _rows().alias("total_rows"),
         _rows(unreadable()).alias("corrupt_rows"),
     )
+
+
+def pageview_files(raw: DataFrame) -> DataFrame:
+    """One row per file of a table that `read_pageviews` read with `file`.
+
+    file, raw_rows, kept_rows, corrupt_rows, and of all rows those flagged: bad_date_rows,
+    bad_rank_rows, recovered_rows, lost_rows (0 for flags that the table does not have).
+    A file without rows has none here.
+    """
+    kept = F.coalesce(is_view_count("views"), F.lit(False))
+    flags = ("bad_date", "bad_rank", "recovered", "lost")
+    return raw.groupBy("file").agg(
+        _rows().alias("raw_rows"), _rows(kept).alias("kept_rows"), _rows(~kept).alias("corrupt_rows"),
+        *[_rows(F.col(c) if c in raw.columns else F.lit(False)).alias(f"{c}_rows") for c in flags],
+    )
+
+
+def article_files(raw: DataFrame) -> DataFrame:
+    """file, total_rows and corrupt_rows per file of a corpus that `read_articles` read with `file`."""
+    return raw.groupBy("file").agg(_rows().alias("total_rows"), _rows(unreadable()).alias("corrupt_rows"))

@@ -56,12 +56,30 @@ def _spark_type(sql_type: str) -> str:
 def relational_rows(records: DataFrame, columns: list[str], column_types: dict) -> DataFrame:
     """`columns` in order, cast to the Spark types of their SQL types.
 
-    Any SQL type goes. One that Spark does not have (UUID, JSONB) is sent as text:
-    the table must then exist or be filled by `stage_for_postgres`, which casts.
+    Any SQL type goes. One that Spark does not have (UUID, JSONB) is sent as text, and so
+    a created table has it: fill the table by `stage_for_postgres`, which casts.
     """
     return records.select(*[F.col(c).cast(_spark_type(column_types[c])).alias(c) for c in columns])
 
 
+def created_types(columns: list[str], column_types: dict) -> str:
+    """The column types of a table that the writer creates, for its option `createTableColumnTypes`.
+
+    Lengths, precisions and narrow types (VARCHAR(20), NUMERIC(12,2), SMALLINT) go there as
+    asked. Left out is what the option cannot carry: those types that the writer chooses
+    itself (TEXT for a string, DOUBLE PRECISION for a double), and those that Spark does
+    not have (UUID, JSONB), which a created table gets as TEXT.
+    """
+    def known(sql_type: str) -> bool:
+        try:
+            T.DataType.fromDDL(sql_type)
+        except ParseException:
+            return False
+        return sql_type.upper() not in ("STRING", "DOUBLE")
+
+    return ", ".join(f"`{c}` {column_types[c]}" for c in columns if known(column_types[c]))
+
+
 def load_to_postgres(
     records: DataFrame,
     columns: list[str],
@@ -72,14 +90,14 @@ def load_to_postgres(
     mode: str = "append",
     max_connections: int = 16,
 ) -> None:
-    """Insert `records`, creating the table from their types if it is missing.
+    """Insert `records`, creating the table with their SQL types if it is missing (`created_types`).
 
     Each partition is one transaction on one connection; at most `max_connections`
     run at a time. A partition that is rerun after its commit is inserted twice:
     use `stage_for_postgres` where that must not happen.
     """
     rows = relational_rows(records, columns, column_types)
-    _write_jdbc(rows, db_config, table_name, batch_size, mode, max_connections)
+    _write_jdbc(rows, db_config, table_name, batch_size, mode, max_connections, created_types(columns, column_types))
 
 
 def stage_for_postgres(
@@ -118,13 +136,15 @@ def publish_statements(
     ]
 
 
-def _write_jdbc(rows, db_config, table_name, batch_size, mode, max_connections) -> None:
+def _write_jdbc(rows, db_config, table_name, batch_size, mode, max_connections, types="") -> None:
+    created = {"createTableColumnTypes": types} if types else {}
     # Overwriting empties the table instead of dropping it.
     rows.write.format("jdbc").options(
         **jdbc_options(db_config, table_name),
         batchsize=batch_size,
         numPartitions=max_connections,
         truncate=True,
+        **created,
     ).mode(mode).save()
 
 
