@@ -111,3 +111,32 @@ def test_edges(documents, spark):
     assert K.pack(docs.where("false"), PATH).count() == 0
     with pytest.raises(ValueError):
         K.pack(docs, PATH, window=1)
+
+
+@pytest.mark.parametrize("room", [0, 3000, 1 << 20])
+def test_kept_chunks(monkeypatch, room):
+    """Ids are the tokenizer's, whatever is kept from slices before; no more is kept than fits."""
+    monkeypatch.setattr(K, "CACHE_BYTES", room)
+    K._release()
+    encoder = K._load(PATH)["encoder"]
+    rnd = random.Random(room)
+    words = ["Hello", "hello,", "ÉCOLE", "naïve", "<b>", "日本語", "x" * 40, "don't", "12,5", "<|endoftext|>"] + [f"w{k}" for k in range(200)]
+    for _ in range(8):
+        texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 60))) for _ in range(20)] + ["", None]
+        ids, offsets = K.encode(pa.array(texts), PATH)
+        got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+        assert got == [encoder.encode(t or "", add_special_tokens=False).ids for t in texts]
+        kept = K._state["chunks"]
+        assert len(kept.bytes) + 4 * len(kept.ids) <= room and (room < 1 << 20 or kept.runs)
+    K._release()
+
+
+def test_chunks_of_one_hash():
+    """A chunk whose hash is kept for another one is not found."""
+    kept = K.Chunks()
+    data = np.frombuffer(b"abcdxbcd", np.uint8)
+    one = np.array([7], np.uint64)
+    kept.add(one, data, np.array([0]), np.array([4]), np.array([2]), np.array([5, 6], "<u4"))
+    assert kept.find(one, data, np.array([0]), np.array([4])).tolist() == [[0, 2]]
+    assert kept.find(one, data, np.array([4]), np.array([4])).tolist() == [[-1, 0]]
+    assert kept.find(one, data, np.array([0]), np.array([3])).tolist() == [[-1, 0]]

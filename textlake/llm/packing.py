@@ -39,9 +39,9 @@ BLOCK_IDS = 1 << 20
 SENTENCE_CUT, INNER_CUT, EACH_SEQUENCE = 4, 64, 16
 #: Ids between the places offered inside a sentence longer than twice that.
 INNER_STEP = 256
-SLICE_BYTES = 6 << 20
-#: Ids kept by each worker: of chunks between white space, and of their words.
-CACHE_CHUNKS, CACHE_WORDS = 900_000, 700_000
+SLICE_BYTES = 1 << 20
+#: What each worker keeps: bytes of chunks between white space with their ids, and the number of words with theirs.
+CACHE_BYTES, CACHE_WORDS = 64 << 20, 250_000
 
 #: The tokenizer's own words within a chunk of visible Latin-1 characters, lower-cased.
 LATIN_1 = re.compile(r"[\n!-;=-~\u00a1-\u00ff]*")
@@ -66,6 +66,49 @@ class Words(dict):
         return self.passing[word]
 
 
+class Chunks:
+    """Kept chunks and their ids in flat arrays, found by hash and then compared byte by byte.
+
+    Chunks are kept in runs sorted by hash, of which a smaller one is merged with the next.
+    """
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []  # hashes, and rows of _SPAN
+        self.bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, "<u4")
+
+    def find(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """For each chunk its first id's place and number of ids, (-1, 0) if it is not kept."""
+        out = np.tile(np.array([[-1, 0]], np.int32), (len(hashes), 1))
+        for own, spans in self.runs:
+            at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+            hit = np.flatnonzero((own[at] == hashes) & (spans[at, 1] == lengths))
+            span, n = spans[at[hit]].astype(np.int64), lengths[hit]
+            begins = np.cumsum(n) - n
+            run = np.arange(n.sum()) - np.repeat(begins, n)
+            unlike = self.bytes[np.repeat(span[:, 0], n) + run] != data[np.repeat(starts[hit], n) + run]
+            same = np.ones(len(hit), bool)
+            same[np.repeat(np.arange(len(hit)), n)[unlike]] = False
+            out[hit[same]] = span[same, 2:]
+        return out
+
+    def add(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, n_ids: np.ndarray, ids: np.ndarray) -> None:
+        """Keep chunks of different hashes, unless they do not fit."""
+        row = 8 + 16
+        kept = len(self.bytes) + 4 * len(self.ids) + row * sum(len(own) for own, _ in self.runs)
+        if not len(hashes) or kept + int(lengths.sum()) + 4 * len(ids) + row * len(hashes) > CACHE_BYTES:
+            return
+        at = np.cumsum(lengths) - lengths
+        spans = np.stack([len(self.bytes) + at, lengths, len(self.ids) + np.cumsum(n_ids) - n_ids, n_ids], axis=1).astype(np.int32)
+        take = np.arange(lengths.sum()) + np.repeat(starts - at, lengths)
+        self.bytes, self.ids = np.concatenate([self.bytes, data[take]]), np.concatenate([self.ids, ids])
+        run = (hashes, spans)
+        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
+            other = self.runs.pop()
+            run = tuple(np.concatenate(both) for both in zip(other, run, strict=True))
+        order = np.argsort(run[0], kind="stable")
+        self.runs.append((run[0][order], run[1][order]))
+
+
 def _load(path: str) -> dict:
     if _state.get("path") != path:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,7 +122,7 @@ def _load(path: str) -> dict:
         ends[[i for piece, i in vocabulary.items() if piece.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
         last = np.zeros(len(ends), bool)
         last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        _state.update(path=path, encoder=encoder, ends=ends, last=last, chunks={}, words=Words())
+        _state.update(path=path, encoder=encoder, ends=ends, last=last, chunks=Chunks(), words=Words())
     return _state
 
 
@@ -105,22 +148,30 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         alone = np.flatnonzero(differs)
         which[alone] = len(first) + np.arange(len(alone))
         first = np.concatenate([first, alone])
+    starts, length, hashes = starts[first], length[first], hashes[first]
+    kept = _state["chunks"].find(hashes, data, starts, length)
+    new = np.flatnonzero(kept[:, 0] < 0)
     whole = data.tobytes()
-    own = _chunk_ids([whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
-    n_ids = np.fromiter(map(len, own), np.int64, len(own)) // 4
+    own = _chunk_ids([whole[a : a + b] for a, b in zip(starts[new].tolist(), length[new].tolist(), strict=True)])
+    n_new = np.fromiter(map(len, own), np.int64, len(own)) // 4
     flat = np.frombuffer(b"".join(own), "<u4")
+    held = _state["chunks"].ids
+    n_ids, place = kept[:, 1].astype(np.int64), kept[:, 0].astype(np.int64)
+    n_ids[new], place[new] = n_new, len(held) + np.cumsum(n_new) - n_new
+    both = np.concatenate([held, flat])
     n = n_ids[which]
     out = np.concatenate([[0], np.cumsum(n)])
-    ids = flat[np.arange(out[-1]) + np.repeat((np.cumsum(n_ids) - n_ids)[which] - out[:-1], n)]
+    ids = both[np.arange(out[-1]) + np.repeat(place[which] - out[:-1], n)]
+    _, once = np.unique(hashes[new], return_index=True)
+    if len(once) == len(new):
+        _state["chunks"].add(hashes[new], data, starts[new], length[new], n_new, flat)
     return ids, out[chunk_offsets]
 
 
-def _chunk_ids(seen: list[bytes]) -> list[bytes]:
+def _chunk_ids(new: list[bytes]) -> list[bytes]:
     """The ids of chunks. A chunk in Latin 1 is cut into the words that the tokenizer
     itself merges in; `<` opens its special strings, so chunks with one go to it whole."""
-    chunks, words = _state["chunks"], _state["words"]
-    ids = list(map(chunks.get, seen))
-    new = [c for c, known in zip(seen, ids, strict=True) if known is None]
+    words = _state["words"]
     whole = b"\n".join(new).decode()
     plain = new
     if not LATIN_1.fullmatch(whole):
@@ -135,9 +186,7 @@ def _chunk_ids(seen: list[bytes]) -> list[bytes]:
     if other:
         encoded = _state["encoder"].encode_batch_fast(other, add_special_tokens=False)
         found.update((c.encode(), array("I", e.ids).tobytes()) for c, e in zip(other, encoded, strict=True))
-    if len(chunks) + len(found) <= CACHE_CHUNKS:
-        chunks.update(found)
-    return [found[c] if known is None else known for c, known in zip(seen, ids, strict=True)]
+    return [found[c] for c in new]
 
 
 def _encode_into(words: Words, new: list[str], encoder) -> None:
