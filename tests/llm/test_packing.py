@@ -127,7 +127,7 @@ def test_kept_chunks(monkeypatch, room):
         got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
         assert got == [encoder.encode(t or "", add_special_tokens=False).ids for t in texts]
         kept = K._state["chunks"]
-        assert len(kept.bytes) + 4 * len(kept.ids) <= room and (room < 1 << 20 or kept.runs)
+        assert kept.n_bytes + 4 * kept.n_ids <= room and (room < 1 << 20 or kept.runs)
     K._release()
 
 

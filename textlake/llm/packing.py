@@ -41,7 +41,7 @@ SENTENCE_CUT, INNER_CUT, EACH_SEQUENCE = 4, 64, 16
 INNER_STEP = 256
 SLICE_BYTES = 1 << 20
 #: What each worker keeps: bytes of chunks between white space with their ids, and the number of words with theirs.
-CACHE_BYTES, CACHE_WORDS = 64 << 20, 250_000
+CACHE_BYTES, CACHE_WORDS = 48 << 20, 150_000
 
 #: The tokenizer's own words within a chunk of visible Latin-1 characters, lower-cased.
 LATIN_1 = re.compile(r"[\n!-;=-~\u00a1-\u00ff]*")
@@ -66,6 +66,15 @@ class Words(dict):
         return self.passing[word]
 
 
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array with room for n, a quarter more if it must grow."""
+    if n <= len(array):
+        return array
+    out = np.empty(n + n // 4, array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 class Chunks:
     """Kept chunks and their ids in flat arrays, found by hash and then compared byte by byte.
 
@@ -75,6 +84,7 @@ class Chunks:
     def __init__(self):
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []  # hashes, and rows of _SPAN
         self.bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, "<u4")
+        self.n_bytes = self.n_ids = 0
 
     def find(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """For each chunk its first id's place and number of ids, (-1, 0) if it is not kept."""
@@ -93,14 +103,16 @@ class Chunks:
 
     def add(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, n_ids: np.ndarray, ids: np.ndarray) -> None:
         """Keep chunks of different hashes, unless they do not fit."""
-        row = 8 + 16
-        kept = len(self.bytes) + 4 * len(self.ids) + row * sum(len(own) for own, _ in self.runs)
-        if not len(hashes) or kept + int(lengths.sum()) + 4 * len(ids) + row * len(hashes) > CACHE_BYTES:
+        n, row = int(lengths.sum()), 8 + 16
+        rows = len(hashes) + sum(len(own) for own, _ in self.runs)
+        if not len(hashes) or self.n_bytes + n + 4 * (self.n_ids + len(ids)) + row * rows > CACHE_BYTES:
             return
         at = np.cumsum(lengths) - lengths
-        spans = np.stack([len(self.bytes) + at, lengths, len(self.ids) + np.cumsum(n_ids) - n_ids, n_ids], axis=1).astype(np.int32)
-        take = np.arange(lengths.sum()) + np.repeat(starts - at, lengths)
-        self.bytes, self.ids = np.concatenate([self.bytes, data[take]]), np.concatenate([self.ids, ids])
+        spans = np.stack([self.n_bytes + at, lengths, self.n_ids + np.cumsum(n_ids) - n_ids, n_ids], axis=1).astype(np.int32)
+        self.bytes, self.ids = _room(self.bytes, self.n_bytes + n), _room(self.ids, self.n_ids + len(ids))
+        self.bytes[self.n_bytes : self.n_bytes + n] = data[np.arange(n) + np.repeat(starts - at, lengths)]
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.n_bytes, self.n_ids = self.n_bytes + n, self.n_ids + len(ids)
         run = (hashes, spans)
         while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
             other = self.runs.pop()
@@ -155,13 +167,18 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     own = _chunk_ids([whole[a : a + b] for a, b in zip(starts[new].tolist(), length[new].tolist(), strict=True)])
     n_new = np.fromiter(map(len, own), np.int64, len(own)) // 4
     flat = np.frombuffer(b"".join(own), "<u4")
-    held = _state["chunks"].ids
+    # places from 0 on are of the kept ids, those below 0 count back from the end of the new ones
     n_ids, place = kept[:, 1].astype(np.int64), kept[:, 0].astype(np.int64)
-    n_ids[new], place[new] = n_new, len(held) + np.cumsum(n_new) - n_new
-    both = np.concatenate([held, flat])
+    n_ids[new], place[new] = n_new, np.cumsum(n_new) - n_new - len(flat)
     n = n_ids[which]
     out = np.concatenate([[0], np.cumsum(n)])
-    ids = both[np.arange(out[-1]) + np.repeat(place[which] - out[:-1], n)]
+    at = np.arange(out[-1])
+    at += np.repeat(place[which] - out[:-1], n)
+    fresh = at < 0
+    ids = np.empty(len(at), "<u4")
+    ids[fresh] = flat[at[fresh]]
+    np.logical_not(fresh, out=fresh)
+    ids[fresh] = _state["chunks"].ids[at[fresh]]
     _, once = np.unique(hashes[new], return_index=True)
     if len(once) == len(new):
         _state["chunks"].add(hashes[new], data, starts[new], length[new], n_new, flat)
@@ -327,6 +344,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id:
                         start, room = start + take, room - take
                         if not room:
                             yield from flush()
+            T.trim()
         yield from flush()
 
     return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", ids array<int>" * with_ids)

@@ -62,14 +62,19 @@ _held: dict[str, Callable[[], None]] = {}
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
-def _give_back() -> None:
-    """Return freed memory to the system, as workers wait for their next task beside a busy JVM."""
-    _POWERS.up = _POWERS.down = np.ones(1, U64)
+def trim() -> None:
+    """Return freed memory to the system."""
     pa.default_memory_pool().release_unused()
     if _trim:
         _trim(0)
 
 
+def _give_back() -> None:
+    """Let go of what helpers keep, as workers wait for their next task beside a busy JVM."""
+    _POWERS.up = _POWERS.down = np.ones(1, U64)
+    trim()
+
+
 def task(operator: str, release: Callable[[], None] = lambda: None):
     """Marks what an operator runs over a partition's batches.
 
