@@ -383,6 +383,7 @@ SELECT (SELECT COUNT(*) FROM dirty) AS raw_pageviews, (SELECT COUNT(*) FROM page
     "orders_end_to_end": _all_rows("articles"),
 }
 
+SELECTS["updated_tables"] = SELECTS["end_to_end"]
 SELECTS["arrivals_dedup_texts"] = SELECTS["dedup_texts"]
 
 # Titles with quotes and commas, in files that write a quote in two ways

@@ -760,13 +760,17 @@ def write_documents(spark, sf_dir):
 
 def _all_rows(spark, views, corpus):
     """The rows of the three tables that a build makes, as (table_name, article_name, said)."""
-    stored = plans.open_tables(spark, plans.build_tables(spark, views, corpus, fresh_path(spark, "tables")).paths)
+    return _said(plans.open_tables(spark, plans.build_tables(spark, views, corpus, fresh_path(spark, "tables")).paths))
+
+
+def _said(stored):
+    """The rows of the three tables, each as one text."""
     said = {
         "article_rankings": ["views", "popularity_bucket", "date", "rank"],
         "article_analytics": [F.round("avg_views", 3).cast("decimal(30,3)"), "max_views", "best_rank", "total_days_ranked"],
         "article_documents": ["part", "dates", "views", "ranks", "description", "url", "abstract"],
     }
-    stored["article_documents"] = _as_text(stored["article_documents"])
+    stored = {**stored, "article_documents": _as_text(stored["article_documents"])}
     rows = [
         stored[name].select(
             F.lit(name).alias("table_name"), KEY,
@@ -789,3 +793,27 @@ def end_to_end(spark, sf_dir):
 def orders_end_to_end(spark, sf_dir):
     """The same from files with faults, where titles grow with the tables."""
     return _all_rows(spark, _dirty_csv(spark, sf_dir), _dirty_jsonl(spark, sf_dir))
+
+
+@query
+def updated_tables(spark, sf_dir):
+    """The same tables, from a corpus in three files of which one comes twice, and pageviews in
+    three loads, the days between the others last; a wrong year is corrected at the end."""
+    target, corpus, views = (fresh_path(spark, name) for name in ("tables", "corpus", "views"))
+    articles = land(fixture.raw_articles(spark, sf_dir).drop("id"), "raw-articles")
+    file = F.pmod(F.xxhash64("url"), F.lit(3))
+    for k in range(3):
+        articles.where(file == k).write.json(f"{corpus}/{k}")
+    for k in (2, 0, 1, 0):
+        plans.add_corpus_file(spark, f"{corpus}/{k}", target, f"file {k}")
+    pageviews, year = land(fixture.raw_pageviews(spark, sf_dir), "raw-pageviews"), F.year("date")
+    loads = {"old": year < YEAR - 2, "new": year > YEAR - 2, "between": year == YEAR - 2}
+    for name, rows in loads.items():
+        pageviews.where(rows).write.option("header", True).csv(f"{views}/{name}")
+        plans.add_pageviews(spark, f"{views}/{name}", target)
+    # rankings and statistics as if the middle year had come twice, until it is given once more
+    sinks.write_rankings(rankings(spark, sf_dir).where(loads["between"]), f"{target}/article_rankings")
+    sinks.write_months(plans.month_totals(fixture.pageviews(spark, sf_dir).where(loads["between"])), f"{target}/article_months")
+    for _ in range(2):
+        plans.replace_years(spark, f"{views}/between", target)
+    return _said(plans.open_updated(spark, target))

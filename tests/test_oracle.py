@@ -4,6 +4,8 @@ import datetime
 import glob
 import math
 import os
+import subprocess
+import sys
 from collections import Counter
 
 import duckdb
@@ -62,3 +64,18 @@ def test_matches_oracle(spark, databases, name, sf):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 62
+
+
+def test_corpus_queries_are_optional():
+    """Without the corpus package, or a library that only it needs, the others are registered."""
+    code = """
+import sys, warnings
+warnings.simplefilter("ignore")
+sys.modules[sys.argv[1]] = None
+import __spark_entry__ as contract
+names = set(contract.queries())
+assert names == set(contract.oracle_sql()) and "analytics" in names and not any(n.startswith("op") for n in names), names
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for missing in ("textlake.llm", "corpus_pipeline", "public_tokenizers"):
+        subprocess.run([sys.executable, "-c", code, missing], cwd=root, check=True, timeout=300)

@@ -35,10 +35,19 @@ from textlake.plans.top import (
     top_articles_by_month,
     top_articles_by_year,
 )
+from textlake.plans.update import (
+    add_corpus_file,
+    add_pageviews,
+    known_articles,
+    open_updated,
+    replace_years,
+)
 
 __all__ = [
     "BuildReport",
     "add_arrival",
+    "add_corpus_file",
+    "add_pageviews",
     "analytics",
     "analytics_of_months",
     "append_documents",
@@ -51,16 +60,19 @@ __all__ = [
     "corpus_counts",
     "corrupt_records",
     "current_documents",
+    "known_articles",
     "load_stores",
     "lookup_analytics",
     "lookup_document",
     "merge_months",
     "month_totals",
     "open_tables",
+    "open_updated",
     "pageview_files",
     "pageview_quality",
     "preview",
     "rankings",
+    "replace_years",
     "sample_document",
     "top_article_of_day",
     "top_article_of_month",
