@@ -44,6 +44,16 @@ def test_no_letter_is_unknown(model):
     assert all(0 <= g[1] <= 1 for g in got) and [g[1] for g in got[:4]] == [0] * 4
 
 
+def test_letters_are_those_of_unicode(model):
+    """Digits, marks and signs beyond Latin are no letters, alone or beside other texts."""
+    none = ["١٢٣ ٤٥٦", "१२३", "！？", "\ufffd \ufffd", "\u0301\u0302", "٪", "12 ٤٥٦ ..", "😀 \U0001d7ce"]
+    some = ["مرحبا", "Ω", "ª", "ñ", "٤٥٦ a", "Ж!", "𐐀"]
+    for texts in (none, some, [x for pair in zip(none, some) for x in pair]):
+        for text, (lang, score, spans) in zip(texts, labelled(model, texts)):
+            assert (lang == "und") == (text in none), text
+            assert text in some or (score == 0 and not spans)
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_viterbi_is_the_best_path(seed):
     rng = np.random.default_rng(seed)

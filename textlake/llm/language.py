@@ -255,15 +255,19 @@ def _label(model: Model, part: pa.RecordBatch) -> tuple[list, list, list]:
     for o, a, b, k in zip(owner[heads].tolist(), (points[starts[heads]] - base).tolist(), (points[ends[tails]] - base).tolist(), labels[heads].tolist(), strict=True):
         if n_langs:
             spans[o].append({"start": a, "end": b, "lang": model.langs[k]})
+    # of the characters taken for letters here, only the ASCII ones are so for certain
+    latin = np.concatenate([[0], np.cumsum((lower >= ord("a")) & (lower <= ord("z")))])
+    certain = latin[np.append(begins[1:], len(lower))] > latin[begins]
     langs, scores = [], []
     for i in range(n):
-        if n_langs and (cuts[i + 1] > cuts[i] or _LETTER.search(texts[i].as_py() or "")):
+        if n_langs and (certain[i] or _LETTER.search(texts[i].as_py() or "")):
             has_words = letters[i].sum() > 0
             langs.append(model.langs[best[i]] if has_words else model.langs[int(np.argmax(model.prior))])
             scores.append(float(share[i]) if has_words else float(np.exp(model.prior.max())))
         else:
             langs.append(UNKNOWN)
             scores.append(0.0)
+            spans[i] = []
     return langs, scores, spans
 
 
