@@ -8,8 +8,8 @@ text's language is the one with most letters, its score their share.
 
 The model is counted on a bounded sample: `TRAIN_ROWS` labelled rows per language,
 those with the smallest hash of their id. It is a table of 3 * 2**16 scores per
-language. Words are decoded in blocks of `BLOCK_WORDS` at most; between two blocks of
-a long text a switch costs nothing.
+language. A long text is decoded in blocks of `BLOCK_WORDS`, with the labels that an
+undivided run gives it.
 """
 
 from __future__ import annotations
@@ -187,42 +187,105 @@ def word_scores(model: Model, lower, code, starts, ends) -> np.ndarray:
     return scores - scores.max(axis=1, keepdims=True, initial=-np.inf)
 
 
+@dataclass
+class _Runs:
+    """Runs of words that are decoded side by side, the longest first."""
+
+    begins: np.ndarray
+    lengths: np.ndarray
+    penalty: float
+
+    def __post_init__(self):
+        # how many runs have a word number t
+        self.live = np.searchsorted(-self.lengths, -np.arange(1, self.lengths.max(initial=0) + 1), "right").tolist()
+
+    def forward(self, scores: np.ndarray, before: np.ndarray, opens: np.ndarray, back: np.ndarray | None = None) -> np.ndarray:
+        """The values of each run's labels after its last word.
+
+        `before` holds the values ahead of its first word: a run that opens a text adds
+        them to the word's scores, others may switch. `back` takes the label that each
+        label of a word comes from.
+        """
+        stay = np.arange(scores.shape[1], dtype=np.int8)
+        value = before.copy()
+        for t, n in enumerate(self.live):
+            now, at = value[:n], self.begins[:n] + t
+            top = now.argmax(axis=1)
+            switched = now[np.arange(n), top][:, None] - self.penalty
+            moved = np.maximum(now, switched)
+            if back is not None:
+                back[at] = np.where(now >= switched, stay, top[:, None].astype(np.int8))
+            if t == 0 and opens.any():
+                moved[opens] = now[opens]
+            value[:n] = moved + scores[at]
+        return value
+
+    def backward(self, back: np.ndarray, ends: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
+        """The label before each run's first word, if its last word has the one of `ends`."""
+        state = ends.copy()
+        for t in range(len(self.live) - 1, -1, -1):
+            at = self.begins[: self.live[t]] + t
+            if labels is not None:
+                labels[at] = state[: len(at)]
+            state[: len(at)] = back[at, state[: len(at)]]
+        return state
+
+
 def viterbi(scores: np.ndarray, offsets: np.ndarray, prior: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
     """The best label of each word; offsets bound the sequences, all decoded side by side.
 
-    Ties go to staying, then to the language of the smaller name.
+    Ties go to staying, then to the language of the smaller name. A sequence of more
+    than `BLOCK_WORDS` words is decoded in blocks with the result of an undivided run: a
+    block's gain from each label to each label is found first, which gives the values
+    at its border; then its way back from each label, which gives the labels there.
+    Scores are multiples of 2**-16 here, so that their sums do not depend on the order.
     """
-    lengths = np.diff(offsets)
-    order = np.argsort(-lengths, kind="stable")
-    begins, lengths = offsets[:-1][order], lengths[order]
     labels = np.zeros(len(scores), np.int8)
     if not len(scores):
         return labels
-    stay = np.arange(scores.shape[1], dtype=np.int8)
+    scores, prior = np.rint(scores * 65536.0) / 65536, np.rint(prior * 65536) / 65536
+    n_langs = scores.shape[1]
+    sizes = np.diff(offsets)
+    offsets, sizes = offsets[:-1][sizes > 0], sizes[sizes > 0]
+    n_blocks = -(-sizes // BLOCK_WORDS)
+    number = np.arange(n_blocks.sum()) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+    begins = np.repeat(offsets, n_blocks) + number * BLOCK_WORDS
+    lengths = np.minimum(np.repeat(offsets + sizes, n_blocks) - begins, BLOCK_WORDS)
+    opens = number == 0
+
+    order = np.argsort(-lengths, kind="stable")
+    runs = _Runs(begins[order], lengths[order], penalty)
+    before = np.tile(prior, (len(begins), 1))
+    goes_on = np.flatnonzero(np.append(~opens[1:], False))  # blocks with one of their text after them
+
+    def each_label(blocks: np.ndarray) -> tuple[_Runs, np.ndarray]:
+        """A run for each label of each of the blocks, and the blocks in the runs' order."""
+        ranked = blocks[np.argsort(-lengths[blocks], kind="stable")]
+        return _Runs(np.repeat(begins[ranked], n_langs), np.repeat(lengths[ranked], n_langs), penalty), ranked
+
+    if len(goes_on):
+        several, ranked = each_label(goes_on)
+        single = np.where(np.eye(n_langs, dtype=bool), 0.0, -np.inf)
+        first = opens[ranked]
+        start = np.tile(single, (len(ranked), 1))
+        start[np.repeat(first, n_langs)] += prior
+        gains = np.empty((len(begins), n_langs, n_langs))
+        gains[ranked] = several.forward(scores, start, np.repeat(first, n_langs)).reshape(-1, n_langs, n_langs)
+        for b in goes_on:
+            ahead = gains[b] if opens[b] else before[b][:, None] + gains[b]
+            before[b + 1] = ahead.max(axis=0)
+
     back = np.empty(scores.shape, np.int8)
-    live = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right").tolist()
-    value = prior + scores[begins[: live[0]]]
-    final = np.zeros(len(begins), np.int8)
-    for t in range(1, len(live)):
-        n = live[t]
-        if n < len(value):
-            final[n : len(value)] = value[n:].argmax(axis=1)
-            value = value[:n]
-        top = value.argmax(axis=1)
-        switched = value[np.arange(n), top][:, None] - penalty
-        at = begins[:n] + t
-        back[at] = np.where(value >= switched, stay, top[:, None].astype(np.int8))
-        value = np.maximum(value, switched) + scores[at]
-    final[: len(value)] = value.argmax(axis=1)
-    state = np.zeros(len(begins), np.int8)
-    for t in range(len(live) - 1, -1, -1):
-        n = live[t]
-        ends_here = lengths[:n] == t + 1
-        state[:n][ends_here] = final[:n][ends_here]
-        at = begins[:n] + t
-        labels[at] = state[:n]
-        if t:
-            state[:n] = back[at, state[:n]]
+    last = np.empty((len(begins), n_langs))
+    last[order] = runs.forward(scores, before[order], opens[order], back)
+    ends = last.argmax(axis=1).astype(np.int8)
+    if len(goes_on):
+        several, ranked = each_label(goes_on + 1)
+        ways = np.empty((len(begins), n_langs), np.int8)
+        ways[ranked] = several.backward(back, np.tile(np.arange(n_langs, dtype=np.int8), len(ranked))).reshape(-1, n_langs)
+        for b in goes_on[::-1]:
+            ends[b] = ways[b + 1, ends[b + 1]]
+    runs.backward(back, ends[order], labels)
     return labels
 
 
@@ -232,8 +295,7 @@ def _label(model: Model, part: pa.RecordBatch) -> tuple[list, list, list]:
     n, n_langs = len(texts), len(model.langs)
     lower, code, starts, ends, owner, begins = _words(texts)
     cuts = np.searchsorted(owner, np.arange(n + 1))
-    blocks = np.unique(np.concatenate([cuts, *[np.arange(a, b, BLOCK_WORDS) for a, b in zip(cuts, cuts[1:], strict=False) if b - a > BLOCK_WORDS]]))
-    labels = viterbi(word_scores(model, lower, code, starts, ends), blocks, model.prior) if n_langs else np.zeros(len(starts), np.int8)
+    labels = viterbi(word_scores(model, lower, code, starts, ends), cuts, model.prior) if n_langs else np.zeros(len(starts), np.int8)
     letters = np.zeros((n, max(n_langs, 1)))
     np.add.at(letters, (owner, labels), ends - starts)
     best = letters.argmax(axis=1)
