@@ -18,6 +18,7 @@ the passage is met by that one and counted in full.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -160,16 +161,26 @@ def _votes(own: DataFrame, quoted: DataFrame) -> DataFrame:
 
 
 def _threads(replies: DataFrame) -> DataFrame:
-    """(conv_id, turn, thread, depth) of messages that reply, by pointer doubling."""
-    hops = land(replies.select("conv_id", "turn", F.col("reply_to").alias("up"), F.lit(1).cast("long").alias("depth")), "replies")
-    while True:
-        above = hops.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
-        hops = hops.join(above, ["conv_id", "up"], "left").select(
-            "conv_id", "turn", F.coalesce("further", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("further").isNotNull().alias("moved")
-        )
-        hops = land(hops, "replies")
-        if hops.where("moved").isEmpty():
-            return hops.select("conv_id", "turn", F.col("up").alias("thread"), "depth")
+    """(conv_id, turn, thread, depth) of messages that reply, by pointer doubling.
+
+    A message whose pointer has reached the opening of its thread is settled. Later rounds
+    move the others only, and read the settled ones of their conversations alone.
+    """
+    node = ["conv_id", "turn"]
+    start = replies.select(*node, F.col("reply_to").alias("up"), F.lit(1).cast("long").alias("depth"))
+    answers = replies.select("conv_id", F.col("turn").alias("up"))
+    settled = [land(start.join(answers, ["conv_id", "up"], "left_anti").select(*node, "up", "depth"), "settled-replies")]
+    moving = land(start.join(answers, ["conv_id", "up"], "left_semi").select(*node, "up", "depth"), "moving-replies")
+    while not moving.isEmpty():
+        still = moving.select("conv_id").distinct()
+        reached = functools.reduce(DataFrame.unionByName, settled).join(still, "conv_id", "left_semi").withColumn("done", F.lit(True))
+        above = reached.unionByName(moving.withColumn("done", F.lit(False)))
+        above = above.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"), "done")
+        hops = moving.join(above, ["conv_id", "up"]).select(*node, F.col("further").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), "done")
+        hops = land(hops, "hops")
+        settled.append(hops.where("done").drop("done"))
+        moving = hops.where("not done").drop("done")
+    return functools.reduce(DataFrame.unionByName, settled).withColumnRenamed("up", "thread")
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
