@@ -336,17 +336,12 @@ def _label(model: Model, part: pa.RecordBatch) -> tuple[list, list, list]:
 SPANS = "array<struct<start:int,end:int,lang:string>>"
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with lang_pred, score and spans (code points, end exclusive) added.
+_NEW = ("lang_pred", "score", "spans")
 
-    lang_pred is a learned language, or `und` with score 0 and no spans where the text
-    is null or has no letter, or where nothing was learned. Every row is kept; columns
-    with the new names are replaced.
-    """
-    new = ("lang_pred", "score", "spans")
-    columns = [c for c in docs.columns if c not in new]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+def identify_rows(rows: DataFrame, model: Model) -> DataFrame:
+    """`rows` (row, text), of which `row` may be any struct, as (row, lang_pred, score, spans)."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     @T.task("language")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,7 +349,18 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             for part in T.slices(batch, "text"):
                 langs, scores, spans = _label(shared.value, part)
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)], ["row", *new])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)], ["row", *_NEW])
+
+    return rows.mapInArrow(run, T.row_schema(rows, f"lang_pred string, score double, spans {SPANS}"))
 
-    out = rows.mapInArrow(run, T.row_schema(rows, f"lang_pred string, score double, spans {SPANS}"))
-    return out.select(*[F.col(f"row.`{c}`") for c in columns], *new)
+
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """`docs` with lang_pred, score and spans (code points, end exclusive) added.
+
+    lang_pred is a learned language, or `und` with score 0 and no spans where the text
+    is null or has no letter, or where nothing was learned. Every row is kept; columns
+    with the new names are replaced. Texts of any length are labelled as a whole.
+    """
+    columns = [c for c in docs.columns if c not in _NEW]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    return identify_rows(rows, model).select(*[F.col(f"row.`{c}`") for c in columns], *_NEW)
