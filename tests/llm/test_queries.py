@@ -87,6 +87,61 @@ def test_pipeline_stages(spark, documents):
     check([(i, r.text) for i, r in after.items()], pieces)
 
 
+def test_stages_keep_columns_of_any_name(spark, documents):
+    """Columns that operators use, a name with a dot, and no rows at all."""
+    sf = "/root/testdata/sf0.001"
+    names = ["score", "spans", "lang_pred", "at", "row", "number", "place", "count", "a.b", "kept", "clean", "cuts"]
+    text = "the house on the hill is old and the road to it is long"
+    rows = documents(*[(i, f"{text} word{i} and that is all there is to say of number {i}", "en", "s") for i in (1, 1, 2, 2, 3)], (4, "der alte Mann ging am Abend noch in das Dorf hinunter", "de", "s"))
+    docs = rows.select("*", *[(rows.doc_id * 100 + k).alias(c) for k, c in enumerate(names)])
+    for docs in (docs, docs.where("false")):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            for frame in (docs, docs.where("false")):
+                out = stage(spark, frame, sf)
+                assert out.schema.names == frame.schema.names and out.schema.simpleString() == frame.schema.simpleString()
+                for r in out.collect():
+                    assert [r[c] for c in names] == [r["doc_id"] * 100 + k for k in range(len(names))]
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= docs.count()
+
+
+def test_languages_stage_keeps_mixed_texts(spark, documents):
+    """A third of each of three learned languages."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang in ('en', 'de', 'fr')").groupBy("lang").agg({"text": "max"}).collect()
+    assert len(rows) == 3
+    mixed = " ".join(r[1][:400] for r in rows) * 3
+    out = corpus_pipeline.language_stage(spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").unionByName(documents((77777, mixed), (77778, "12 ... 3"), (77779, ""))), "/root/testdata/sf0.001")
+    assert {r.doc_id for r in out.where("doc_id >= 77777").collect()} == {77777}
+
+
+def test_near_dedup_stage_with_repeated_ids(spark, documents):
+    """Each row of an id is judged by itself; equal rows and near copies go, other texts stay."""
+    words = [f"w{i}" for i in range(60)]
+    a, near, b, c = " ".join(words), " ".join([*words[:59], "x"]), " ".join(words[::-1]), " ".join(words[::7] * 3)
+    rows = [(1, a), (1, b), (1, a), (2, near), (0, c), (5, c), (5, c), (7, "  "), (7, "  "), (None, a), (None, a), (9, None), (9, b)]
+    out = corpus_pipeline.near_dedup_stage(spark, documents(*rows).repartition(3), "").collect()
+    got = sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in out)
+    assert got == sorted([(1, a), (1, b), (0, c), (7, "  "), (7, "  "), (-1, a), (-1, a), (9, "")])
+
+
+def test_stages_on_long_texts(spark, documents):
+    """Texts above the bytes that are handled at once pass whole."""
+    sf = "/root/testdata/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first().text
+    rnd = np.random.default_rng(1)
+    plain = " ".join(f"word{x} of the" for x in rnd.integers(0, 10**6, 90_000))
+    other = " ".join(f"note{x} on the" for x in rnd.integers(0, 10**6, 90_000))
+    assert min(len(plain), len(other)) > 1 << 20
+    docs = documents((1, plain, "en", "s"), (2, plain[:-200], "en", "s"), (3, f"{other} {item}", "en", "s"), (4, f'{other} token = "Zq81aLm2Xc77"', "en", "s"))
+    kept = corpus_pipeline.language_stage(spark, docs, sf)
+    assert kept.count() == 4
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, kept, sf).collect()) == [1, 3]
+    assert sorted(r.doc_id for r in corpus_pipeline.decontamination_stage(spark, kept, sf).collect()) == [1, 2, 4]
+    masked = {r.doc_id: r.text for r in corpus_pipeline.secrets_stage(spark, kept, sf).collect()}
+    assert masked[4] == f'{other} token = "[SECRET]"' and masked[1] == plain
+    pieces = corpus_pipeline.packing_stage(spark, docs.where("doc_id = 1"), sf).collect()
+    check([(1, plain)], pieces)
+
+
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     lengths = np.array([r.length for r in rows])
