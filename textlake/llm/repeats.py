@@ -1,10 +1,11 @@
-"""Removal of byte strings that an earlier document has, by bucket-pointer refinement.
+"""Removal of byte strings that an earlier document has, by refinement of q-gram buckets.
 
 Every string of `LENGTH` bytes that also starts in a document of smaller id is
-covered, and the covered bytes go. Positions are sorted into buckets as a suffix array
-by bucket-pointer refinement does it: first by a q-gram, then by the identifiers of
-buckets at later offsets, each step only for buckets that still hold several documents
-and reusing what the one before it settled.
+covered, and the covered bytes go. Positions are dealt into buckets by a q-gram, and
+buckets that still hold several documents are refined by longer strings; what a step
+settles is left out of the next one. Bucket-pointer refinement as published sorts on
+the identifiers of buckets at later offsets. Here an identifier is a hash of the bytes
+themselves, taken from prefix sums, so no identifier of another offset is read.
 
 0. Initial buckets. Of the q-grams of each string the one with the smallest hash is
    its anchor; strings that are equal have equal anchors at equal offsets. An anchor
@@ -16,7 +17,8 @@ and reusing what the one before it settled.
    of another document are they refined further.
 2. The strings left are buckets of their own, refined to the full length.
 
-Identifiers are 64-bit hashes, so they need no global numbering. Documents are
+Identifiers are 64-bit hashes, so they need no global numbering; equal hashes are not
+confirmed on the bytes. A document is never split: it stands whole in one chunk. Documents are
 dealt into chunks of about `CHUNK_BYTES` by the hash of the row. For each level a
 chunk sends, packed by range of identifiers, each distinct identifier once with its
 smallest document; a range answers with one bit for each. A copied passage thus comes
