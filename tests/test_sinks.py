@@ -167,7 +167,7 @@ def test_load_stores(spark, ranked, tmp_path, monkeypatch):
         (seen["format"], dict(seen["options"]), self._df.dtypes, self._df)))
     stored = documents.unionByName(documents.withColumn("part", F.lit(3).cast("long"))).select("article_name", "part", "url")
     monkeypatch.setattr(build, "read_collection", lambda *args: stored)
-    load_stores(spark, paths, {"host": "h", "dbname": "x"}, "mongodb://h/", batch_size=7, max_connections=3)
+    load_stores(spark, paths, {"host": "h", "dbname": "x"}, "mongodb://h/", "articles", batch_size=7, max_connections=3)
     (f1, o1, t1, _), (f2, o2, t2, _), (f3, o3, t3, sent) = saved
     assert (o1["batchsize"], o1["numPartitions"], o3["maxBatchSize"]) == (7, 3, 500)
     # part 3 is in the store only: it becomes a blank
