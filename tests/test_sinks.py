@@ -62,6 +62,39 @@ def test_documents_as_json_and_parquet(spark, tmp_path):
         assert stored.count() == 4
 
 
+@pytest.mark.parametrize("landed", [False, True])
+def test_tables_by_key_have_a_range_of_keys_in_each_file(spark, tmp_path, landed):
+    """Statistics of a file rule it out for all keys but those in its range."""
+    keys = [f"key{i * 7919 % 4000:05}" for i in range(4000)]
+    stats = spark.createDataFrame([(k, 1.5, 2, 1, 3) for k in keys], schemas.ANALYTICS).repartition(6)
+    documents = spark.createDataFrame(
+        [(k, part, [], [], [], "d" * 50, None, None) for k in keys for part in (0, 1)], schemas.DOCUMENTS).repartition(6)
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        sinks.write_analytics(stats, str(tmp_path / "analytics"), landed=landed)
+        sinks.write_documents(documents, str(tmp_path / "documents"), landed=landed)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    for name, n in (("analytics", 4000), ("documents", 8000)):
+        files = sorted(tuple(r) for r in sources.read_table(spark, str(tmp_path / name)).groupBy(F.input_file_name()).agg(
+            F.min("article_name"), F.max("article_name"), F.count("*")).drop("input_file_name()").collect())
+        assert len(files) > 3 and sum(rows for *_, rows in files) == n
+        assert all(last <= first for (_, last, _), (first, _, _) in zip(files, files[1:], strict=False))
+
+
+def test_what_makes_the_rows_of_a_table_runs_once(spark, ranked, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        made.add(1)
+        return n
+
+    sinks.write_rankings(ranked.withColumn("views", counted("views")), str(tmp_path / "rankings"))
+    assert made.value == 60
+
+
 @pytest.fixture
 def calls(monkeypatch):
     made = []
@@ -147,7 +180,9 @@ def test_store_reads(spark, monkeypatch):
         "url": "jdbc:postgresql://h:5432/x", "dbtable": "t", "partitionColumn": "date",
         "lowerBound": "2016-01-01", "upperBound": "2026-01-01", "numPartitions": 10}
     assert sources.read_collection(spark, "db", "c", "mongodb://h/") == "loaded"
-    assert seen["format"] == "mongodb"
+    assert seen["format"] == "mongodb" and "aggregation.pipeline" not in seen["options"]
+    sources.read_collection(spark, "db", "c", "mongodb://h/", aggregation="[]")
+    assert seen["options"]["aggregation.pipeline"] == "[]"
 
 
 def test_load_stores(spark, ranked, tmp_path, monkeypatch):
@@ -166,10 +201,15 @@ def test_load_stores(spark, ranked, tmp_path, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "save", lambda self: saved.append(
         (seen["format"], dict(seen["options"]), self._df.dtypes, self._df)))
     stored = documents.unionByName(documents.withColumn("part", F.lit(3).cast("long"))).select("article_name", "part", "url")
-    monkeypatch.setattr(build, "read_collection", lambda *args: stored)
+    asked = []
+    monkeypatch.setattr(build, "read_collection", lambda *args: asked.append(args) or stored)
     load_stores(spark, paths, {"host": "h", "dbname": "x"}, "mongodb://h/", "articles", batch_size=7, max_connections=3)
     (f1, o1, t1, _), (f2, o2, t2, _), (f3, o3, t3, sent) = saved
     assert (o1["batchsize"], o1["numPartitions"], o3["maxBatchSize"]) == (7, 3, 500)
+    # the store sends places only, and none of the blanks it has
+    ((*_, schema, stages),) = asked
+    assert schema.names == ["article_name", "part"]
+    assert json.loads(stages) == [{"$match": {"date.0": {"$exists": True}}}, {"$project": {"_id": 0, "article_name": 1, "part": 1}}]
     # part 3 is in the store only: it becomes a blank
     assert sorted((r.article_name, r.part, r.date) for r in sent.collect()) == [("a", 0, []), ("a", 3, [])]
     assert (f1, o1["dbtable"], f2, o2["dbtable"]) == (

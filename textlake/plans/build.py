@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql import types as T
 
 from textlake.plans.tables import (
     analytics,
@@ -105,7 +106,8 @@ def build_tables(
         }
         paths = {name: f"{target.rstrip('/')}/{name}" for name in products}
         for name, table in products.items():
-            _WRITERS[name](table, paths[name], mode)
+            # rankings only add columns to the landed pageviews
+            _WRITERS[name](table, paths[name], mode, landed=name == "article_rankings")
         # rows of landed tables, from their footers
         n_unique, n_documents = once.count(), keys.count()
 
@@ -148,7 +150,8 @@ def load_stores(
 
     Documents replace stored ones of the same key and part, so that they are not
     doubled by a rerun. Parts that the store has and the build has no more become
-    blanks, which lookups leave out.
+    blanks, which lookups leave out. To find them the store sends key and part of its
+    documents, without the blanks it already has.
     """
     for name, types in (
         ("article_rankings", RANKINGS_SQL), ("article_analytics", ANALYTICS_SQL),
@@ -157,19 +160,28 @@ def load_stores(
         load_to_postgres(table, list(types), types, db_config, name, batch_size, mode, max_connections)
     documents = read_table(spark, paths["article_documents"], DOCUMENTS)
     if mode == "append":
-        documents = documents.unionByName(stale_parts(read_collection(spark, db_name, collection_name, uri), documents))
+        stored = read_collection(spark, db_name, collection_name, uri, _PLACE, FILLED_PLACES)
+        documents = documents.unionByName(stale_parts(stored, documents))
     upload_to_mongo(
         documents, db_name, collection_name, uri, document_batch, mode, replace_on=[KEY, "part"])
 
 
+_PLACE = T.StructType([DOCUMENTS[name] for name in (KEY, "part")])
+#: What the document store runs itself: key and part of the documents that have entries.
+FILLED_PLACES = json.dumps([
+    {"$match": {"date.0": {"$exists": True}}},
+    {"$project": {"_id": 0, **{field.name: 1 for field in _PLACE}}},
+])
+
+
 def stale_parts(stored: DataFrame, documents: DataFrame) -> DataFrame:
     """A blank document for each key and part of `stored` that `documents` lack.
 
-    An empty collection has no columns, and nothing is stale.
+    An empty collection read without a schema has no columns, and nothing is stale.
     """
     if KEY not in stored.columns:
         return documents.where(F.lit(False))
     place = F.struct(F.col(KEY), F.col("part").cast("long").alias("part"))
     gone = stored.select(place.alias("place")).join(documents.select(place.alias("place")), "place", "left_anti")
-    empty = {f.name: F.array().cast(f.dataType) if isinstance(f.dataType, ArrayType) else F.lit(None).cast(f.dataType) for f in DOCUMENTS}
+    empty = {f.name: F.array().cast(f.dataType) if isinstance(f.dataType, T.ArrayType) else F.lit(None).cast(f.dataType) for f in DOCUMENTS}
     return gone.select("place.*", *[c.alias(n) for n, c in empty.items() if n not in (KEY, "part")]).select(*documents.columns)

@@ -56,7 +56,7 @@ def add_pageviews(spark: SparkSession, pageviews_path: str, target: str, max_ent
     with temporary(spark):
         pageviews = land(clean_pageviews(read_pageviews(spark, pageviews_path, **options)), "pageviews")
         articles = land(keep_matching(known_articles(spark, target), viewed_keys(pageviews), [KEY]), "articles")
-        write_rankings(rankings(pageviews), _path(target, "article_rankings"))
+        write_rankings(rankings(pageviews), _path(target, "article_rankings"), landed=True)
         write_months(month_totals(pageviews), _path(target, "article_months"))
         append_documents(spark, _path(target, "article_documents"), pageviews, articles, max_entries)
         _write_statistics(spark, target)
@@ -70,7 +70,7 @@ def replace_years(spark: SparkSession, pageviews_path: str, target: str, **optio
     """
     with temporary(spark):
         pageviews = land(clean_pageviews(read_pageviews(spark, pageviews_path, **options)), "pageviews")
-        write_rankings(rankings(pageviews), _path(target, "article_rankings"), REPLACE_YEARS)
+        write_rankings(rankings(pageviews), _path(target, "article_rankings"), REPLACE_YEARS, landed=True)
         write_months(month_totals(pageviews), _path(target, "article_months"), REPLACE_YEARS)
         _write_statistics(spark, target)
 

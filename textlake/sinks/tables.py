@@ -3,8 +3,11 @@
 Rankings and their roll-up are read by period. Rankings are range-partitioned and sorted by date, so
 that row-group statistics skip other days. Range bounds come from a sample and go
 on to the rank and the key, so a crowded day spreads over several files. The other
-two tables are read by key: a Parquet bloom filter per row group answers that
-without a further shuffle.
+two tables are read by key: each file of a load holds a range of keys, sorted, so that its
+statistics rule it out for all other keys, and a bloom filter does so within the range.
+
+A sample reads its input once more, so the input is landed first. Who gives a landed
+table, or a projection of one, says so with `landed`.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from textlake.schemas import KEY
-
+from textlake.workspace import land, temporary
 
 _KEY_INDEX = {
     f"parquet.bloom.filter.enabled#{KEY}": True,
@@ -34,15 +37,21 @@ def _by_year(df: DataFrame, mode: str) -> DataFrameWriter:
     return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
-def write_rankings(rankings: DataFrame, path: str, mode: str = "append") -> None:
+def _ranged(df: DataFrame, order: list[str], landed: bool) -> DataFrame:
+    """`df` cut into ranges of `order`; what makes it runs once."""
+    return (df if landed else land(df, "unsorted")).repartitionByRange(*order)
+
+
+def write_rankings(rankings: DataFrame, path: str, mode: str = "append", landed: bool = False) -> None:
     """One folder per year, sorted by day and rank inside it.
 
     With mode ``replace_years`` the load of a period can be repeated or corrected: give all
     rows of its years. Rows without a date are a folder of their own.
     """
     order = ["date", "rank", KEY]
-    ranged = rankings.withColumn("year", F.year("date")).repartitionByRange(*order)
-    _by_year(ranged.sortWithinPartitions("year", *order), mode).parquet(path)
+    with temporary(rankings.sparkSession):
+        ranged = _ranged(rankings, order, landed).withColumn("year", F.year("date"))
+        _by_year(ranged.sortWithinPartitions("year", *order), mode).parquet(path)
 
 
 def write_months(months: DataFrame, path: str, mode: str = "append") -> None:
@@ -55,15 +64,25 @@ def write_months(months: DataFrame, path: str, mode: str = "append") -> None:
     _by_year(dealt, mode).options(**_KEY_INDEX).parquet(path)
 
 
-def write_analytics(analytics: DataFrame, path: str, mode: str = "append") -> None:
-    """One row per article."""
-    analytics.sortWithinPartitions(KEY).write.mode(mode).options(**_KEY_INDEX).parquet(path)
+def write_analytics(analytics: DataFrame, path: str, mode: str = "append", landed: bool = False) -> None:
+    """One row per article, in files by ranges of the key."""
+    with temporary(analytics.sparkSession):
+        ranged = _ranged(analytics, [KEY], landed).sortWithinPartitions(KEY)
+        ranged.write.mode(mode).options(**_KEY_INDEX).parquet(path)
 
 
 def write_documents(
-    documents: DataFrame, path: str, mode: str = "append", source: str = "parquet"
+    documents: DataFrame, path: str, mode: str = "append", source: str = "parquet", landed: bool = False
 ) -> None:
-    """One nested record per document; `source` is ``parquet`` or ``json``."""
+    """One nested record per document; `source` is ``parquet`` or ``json``.
+
+    Parquet files hold ranges of key and part. JSON has no statistics to lay rows out for,
+    so its files are sorted each by itself.
+    """
     order = [c for c in (KEY, "part") if c in documents.columns]
-    writer = documents.sortWithinPartitions(*order).write.mode(mode).format(source)
-    (writer.options(**_KEY_INDEX) if source == "parquet" else writer).save(path)
+    if source != "parquet":
+        documents.sortWithinPartitions(*order).write.mode(mode).format(source).save(path)
+        return
+    with temporary(documents.sparkSession):
+        ranged = _ranged(documents, order, landed).sortWithinPartitions(*order)
+        ranged.write.mode(mode).options(**_KEY_INDEX).parquet(path)

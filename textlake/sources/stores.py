@@ -45,9 +45,14 @@ def read_collection(
     collection_name: str,
     uri: str,
     schema: T.StructType | None = None,
+    aggregation: str | None = None,
 ) -> DataFrame:
-    """A document collection through the MongoDB Spark connector."""
-    reader = spark.read.format("mongodb").options(
-        **collection_options(db_name, collection_name, uri)
-    )
+    """A document collection through the MongoDB Spark connector.
+
+    `aggregation`, a JSON array of stages, runs in the store before anything is sent.
+    """
+    options = collection_options(db_name, collection_name, uri)
+    if aggregation is not None:
+        options["aggregation.pipeline"] = aggregation
+    reader = spark.read.format("mongodb").options(**options)
     return (reader if schema is None else reader.schema(schema)).load()
