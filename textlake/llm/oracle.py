@@ -67,21 +67,24 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN by_doc b ON b.doc_id = d.doc_id
 """
 
-ORACLE_SQL["op5_url_filter"] = """
-WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-parts AS (
-    SELECT page_id, regexp_extract(rest, '^[^?#]*') AS kept,
-        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
-    FROM cut
-),
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE_SQL["op5_url_filter"] = f"""
+WITH cut AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, html, regexp_extract(rest, '^[^?#]*') AS kept, {_LOWERED.format("regexp_extract(rest, '^[^/?#]*')")} AS host FROM cut),
 urls AS (SELECT page_id, host, substr(kept, length(host) + 1) AS path FROM parts),
+said AS (
+    SELECT host, coalesce(regexp_matches(regexp_replace({_LOWERED.format("html")}, '(?s)<script.*?</script>|<[^>]*>', ' ', 'g'),
+        '(^|[^a-z0-9])(ads|track|tracker|tracking|spam|casino|adult|pills|bets|porn|malware|phishing)([^a-z0-9]|$)'), false) AS s
+    FROM parts WHERE host <> ''
+),
+listed AS (SELECT host FROM said GROUP BY host HAVING 2 * count(*) FILTER (s) >= count(*)),
 rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 best AS (
     SELECT u.page_id, arg_max(r.h || r.p, length(r.h || r.p)) AS rule, arg_max(r.verdict, length(r.h || r.p)) AS verdict
     FROM urls u JOIN rules r ON (u.host = r.h OR ends_with(u.host, '.' || r.h)) AND starts_with(u.path, r.p) GROUP BY u.page_id
 )
-SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.verdict, CASE WHEN regexp_matches(u.host,
-    '(^|[.-])(ads?|track(er|ing)?|spam|casino|adult|pills|bets|porn|malware|phishing)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+SELECT u.page_id, u.host, u.path, b.rule,
+    coalesce(b.verdict, CASE WHEN u.host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM urls u LEFT JOIN best b ON b.page_id = u.page_id
 """
 

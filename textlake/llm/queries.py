@@ -19,7 +19,7 @@ from textlake.llm.repeats import remove_repeats
 from textlake.llm.secret_scan import secret_report
 from textlake.llm.text import bound_batches
 from textlake.llm.token_counts import token_counts
-from textlake.llm.url_filter import hosts_with_label, judge_urls
+from textlake.llm.url_filter import hosts_by_evidence, judge_urls
 from textlake.llm.vector_codes import vector_codes
 from textlake.workspace import land
 
@@ -89,7 +89,7 @@ def op4_language_id(spark, sf_dir):
 @query
 def op5_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    return judge_urls(pages, hosts_with_label(pages))
+    return judge_urls(pages, hosts_by_evidence(pages))
 
 
 @query

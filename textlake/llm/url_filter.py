@@ -7,15 +7,21 @@ level is mistaken about none. A key is listed if the first level that rejects it
 even one (counted from 1), or if there is none and the number of levels is odd.
 
 The universe is the table's own distinct keys, so all its rows are judged exactly. Only
-bits are gathered: positions are hashed in the tasks, words of bits are combined by
-Spark, and `MAX_BYTES` bounds what is broadcast. Beyond it keys are cut into shards of
-their own cascades, applied one shard after the other.
+bits are gathered: positions are hashed in the tasks and words of bits are combined by
+Spark. The first level has so many bits a key that it mistakes about half as many keys as
+are listed, whatever the universe has, so all levels grow with the list. `MAX_BYTES` bounds
+the levels of a cascade, and is checked before a level is gathered. Beyond it the keys are
+cut into shards with cascades of their own, applied one after the other.
+
+Keys are seen as 64-bit hashes. Where a listed and an unlisted key have the same one (by
+chance some n * n / 2**65 of n keys) the listed one is found by a join with the few such keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +39,21 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Hosts with such a word between dots or hyphens are on the list.
-LISTED_LABEL = r"(^|[.-])(ads?|track(er|ing)?|spam|casino|adult|pills|bets|porn|malware|phishing)([.-]|$)"
-#: Bits per key and hashes of the first level and of the later ones.
-FIRST_LEVEL, LATER_LEVELS = (10, 7), (5, 3)
+#: What the visible text of a page of a host to be listed says, lower-cased, as whole words.
+EVIDENCE = r"(^|[^a-z0-9])(ads|track|tracker|tracking|spam|casino|adult|pills|bets|porn|malware|phishing)([^a-z0-9]|$)"
+#: A host is listed if so many percent of its pages say it.
+LEAST_PERCENT = 50
+#: Bits per key and hashes of the levels after the first; at least that many of the first.
+LATER_LEVELS = (5, 3)
 MAX_BYTES = 32 << 20
 
 
+def first_level(n_listed: int, n_unlisted: int) -> tuple[int, int]:
+    """Bits per key and hashes, so that about n_listed / 2 of the unlisted keys are mistaken."""
+    per_key = max(LATER_LEVELS[0], ceil(log2(max(2 * n_unlisted / max(n_listed, 1), 1)) / 0.6931))
+    return per_key, max(LATER_LEVELS[1], round(per_key * 0.6931))
+
+
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lowered) and path of a url; both empty without `://` or url."""
     at = F.instr(url, "://")
@@ -61,10 +75,10 @@ def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def _positions(h: np.ndarray, level: int, bits: int, hashes: int) -> np.ndarray:
-    """(keys, hashes) bit numbers."""
-    a = T.mix(h + np.uint64(level * 0x632BE59BD9B4E019 & (1 << 64) - 1))
-    b = T.mix(a ^ np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
-    return (a[:, None] + np.arange(hashes, dtype=np.uint64) * b[:, None]) % np.uint64(bits)
+    """(keys, hashes) bit numbers, independent of each other: few keys have few bits, of which
+    a start and a step would give too few patterns."""
+    salts = T.mix(np.arange(hashes, dtype=np.uint64) + np.uint64(level << 32))
+    return T.mix(h[:, None] ^ salts) % np.uint64(bits)
 
 
 @dataclass
@@ -88,10 +102,12 @@ def _hashes(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-def _level(keys: DataFrame, n: int, number: int) -> tuple[int, int, np.ndarray]:
+class TooLarge(Exception):
+    """A cascade would have more bytes than it may."""
+
+
+def _level(keys: DataFrame, number: int, bits: int, hashes: int) -> tuple[int, int, np.ndarray]:
     """One filter over the `h` of `keys`."""
-    per_key, hashes = FIRST_LEVEL if number == 1 else LATER_LEVELS
-    bits = max(64, -(-n * per_key // 64) * 64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,17 +123,27 @@ def _level(keys: DataFrame, n: int, number: int) -> tuple[int, int, np.ndarray]:
     return bits, hashes, words
 
 
-def build_cascade(universe: DataFrame) -> Cascade:
-    """The cascade of (h, listed): a 64-bit hash of each distinct key and whether it is listed."""
+def build_cascade(universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
+    """The cascade of (h, listed): a 64-bit hash of each distinct key and whether it is listed.
+
+    `TooLarge` is raised before the levels come to more than `max_bytes`, unless each has a
+    single word.
+    """
+    n = {listed: k for listed, k in universe.groupBy("listed").count().collect()}
     sides = [universe.where("not listed"), universe.where("listed")]  # even, odd levels encode these
     levels: list = []
+    per_key, hashes = first_level(n.get(True, 0), n.get(False, 0))
     while True:
         number = len(levels) + 1
-        n = sides[number % 2].count()
-        if number > 1 and n == 0:
+        k = sides[number % 2].count()
+        if number > 1 and k == 0:
             return Cascade(levels)
-        levels.append(_level(sides[number % 2], n, number))
+        bits = max(64, -(-k * per_key // 64) * 64)
+        if sum(b for b, _, _ in levels) + bits > 8 * max_bytes and bits > 64:
+            raise TooLarge
+        levels.append(_level(sides[number % 2], number, bits, hashes))
         level = levels[-1]
+        per_key, hashes = LATER_LEVELS
 
         def mistaken(batches: Iterator[pa.RecordBatch], number=number, level=level) -> Iterator[pa.RecordBatch]:
             bits, hashes, words = level
@@ -130,43 +156,61 @@ def build_cascade(universe: DataFrame) -> Cascade:
         sides[other] = land(sides[other].select("h").mapInArrow(mistaken, "h long"), "bloom-level")
 
 
+def _hashed(key: Column) -> Column:
+    return F.xxhash64(key)
+
+
+def _shard(h: Column) -> Column:
+    return F.xxhash64(h, F.lit(1))
+
+
+def _cascades(universe: DataFrame, max_bytes: int) -> Iterator[tuple[int, int, Cascade]]:
+    """(n, k, cascade) of the keys whose shard number is k modulo n, all together every key."""
+    n_listed, n_keys = universe.agg(F.count_if("listed"), F.count("*")).first()
+    expected = n_listed * (first_level(n_listed, n_keys - n_listed)[0] + LATER_LEVELS[0]) // 8
+    n = expected // max_bytes + 1
+    open_ = [(n, k) for k in range(n)]
+    while open_:
+        n, k = open_.pop()
+        try:
+            yield n, k, build_cascade(universe.where(F.pmod(_shard(F.col("h")), F.lit(n)) == k), max_bytes)
+        except TooLarge:
+            open_ += [(2 * n, k), (2 * n, k + n)]
+
+
 def member_of_list(rows: DataFrame, key: str, listed_keys: DataFrame, new: str, max_bytes: int = MAX_BYTES) -> DataFrame:
     """`rows` with a boolean column `new`: is the string in `key` one of `listed_keys`?
 
-    Exact for all rows: the universe is the distinct keys of `rows` and of the list, and
-    keys are hashed with a seed under which all of them differ. A null key is not
-    listed, and a null on the list has no effect. A column named `new` is replaced.
+    Exact for all rows: the universe is the distinct keys of `rows` and of the list. A null
+    key is not listed, and a null on the list has no effect. A column named `new` is replaced.
     """
     listed = listed_keys.select(F.col(listed_keys.columns[0]).cast("string").alias("key"), F.lit(True).alias("listed"))
     every = rows.select(F.col(f"`{key}`").cast("string").alias("key"), F.lit(False).alias("listed")).unionByName(listed).dropna()
-    every = land(every.groupBy("key").agg(F.max("listed").alias("listed")), "url-keys")
-    seed = 0
-    while not every.groupBy(F.xxhash64("key", F.lit(seed))).count().where("count > 1").isEmpty():
-        seed += 1
-    universe = every.select("listed", F.xxhash64("key", F.lit(seed)).alias("h"))
-    n_listed = universe.where("listed").count()
-    # all levels together take less than twice the first one
-    n_shards = 2 * n_listed * FIRST_LEVEL[0] // 8 // max_bytes + 1
-
-    def shard(h: Column) -> Column:
-        return F.pmod(F.xxhash64(h), F.lit(n_shards))
+    every = land(every.groupBy("key").agg(F.max("listed").alias("listed")).withColumn("h", _hashed(F.col("key"))), "url-keys")
+    # a hash of both kinds is encoded as unlisted, its listed keys are joined
+    universe = land(every.groupBy("h").agg(F.every("listed").alias("listed"), F.some("listed").alias("some")), "url-hashes")
+    mixed = land(every.where("listed").join(universe.where("some and not listed").select("h"), "h", "left_semi").select("key"), "mixed-keys")
 
     columns = [c for c in rows.columns if c != new]
-    h = F.xxhash64(F.col(f"`{key}`").cast("string"), F.lit(seed))
-    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), h.alias("h"), shard(h).alias("shard"), F.lit(False).alias("listed"))
+    h = _hashed(F.col(f"`{key}`").cast("string"))
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), h.alias("h"), _shard(h).alias("shard"), F.lit(False).alias("listed"))
     schema = T.row_schema(rows, "h long, shard long, listed boolean")
-    for k in range(n_shards):
-        cascade = rows.sparkSession.sparkContext.broadcast(build_cascade(universe.where(shard(F.col("h")) == k)))
+    for n, k, cascade in _cascades(universe.select("h", "listed"), max_bytes):
+        sent = rows.sparkSession.sparkContext.broadcast(cascade)
 
-        def judge(batches: Iterator[pa.RecordBatch], k=k, cascade=cascade) -> Iterator[pa.RecordBatch]:
+        def judge(batches: Iterator[pa.RecordBatch], n=n, k=k, sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own = batch.column("shard").to_numpy(zero_copy_only=False) == k
+                own = batch.column("shard").to_numpy(zero_copy_only=False) % n == k
                 out = batch.column("listed").to_numpy(zero_copy_only=False).copy()
-                out[own] = cascade.value.listed(_hashes(batch.column("h"))[own])
+                out[own] = sent.value.listed(_hashes(batch.column("h"))[own])
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("h"), batch.column("shard"), pa.array(out, pa.bool_())], batch.schema.names)
 
         rows = rows.mapInArrow(judge, schema)
-    return rows.select(*[F.col(f"row.`{c}`") for c in columns], (F.col("listed") & F.col(f"row.`{key}`").isNotNull()).alias(new))
+    own_key, hit = F.col(f"row.`{key}`"), F.col("listed")
+    if not mixed.isEmpty():
+        rows = rows.join(mixed.withColumnRenamed("key", "mixed_key"), own_key.cast("string") == F.col("mixed_key"), "left")
+        hit = hit | F.col("mixed_key").isNotNull()
+    return rows.select(*[F.col(f"row.`{c}`") for c in columns], (hit & own_key.isNotNull()).alias(new))
 
 
 def judge_urls(pages: DataFrame, listed_hosts: DataFrame, rules=RULES) -> DataFrame:
@@ -184,7 +228,15 @@ def judge_urls(pages: DataFrame, listed_hosts: DataFrame, rules=RULES) -> DataFr
     return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, otherwise).alias("verdict"))
 
 
-def hosts_with_label(pages: DataFrame, label: str = LISTED_LABEL) -> DataFrame:
-    """The distinct hosts of `pages` that have a label of the kind that is listed."""
+def hosts_by_evidence(pages: DataFrame, evidence: str = EVIDENCE, least_percent: int = LEAST_PERCENT) -> DataFrame:
+    """(host): the hosts of `pages` (url, html) of whose pages `least_percent` or more say `evidence`.
+
+    Only text outside of tags and scripts counts, with A-Z lower-cased. Pages are counted per
+    host by Spark, combined before the shuffle, so a host may have any share of the rows. A
+    page without html says nothing; pages without host are not judged.
+    """
     host, _ = split_url(F.col("url").cast("string"))
-    return pages.select(host.alias("host")).where(F.col("host").rlike(label)).distinct()
+    text = F.regexp_replace(F.translate(F.col("html").cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"(?s)<script.*?</script>|<[^>]*>", " ")
+    said = pages.select(host.alias("host"), F.coalesce(text.rlike(evidence), F.lit(False)).alias("said")).where("host <> ''")
+    counts = said.groupBy("host").agg(F.count("*").alias("n"), F.count_if("said").alias("n_said"))
+    return counts.where(100 * F.col("n_said") >= least_percent * F.col("n")).select("host")
