@@ -39,8 +39,8 @@ GROUP BY d.id, i.id HAVING 100 * count(*) >= 75 * any_value(z.n)
 _ASSIGN = """(?i:password|passwd|secret|token|api_?key)["\'']?\\x20*[:=]\\x20*["\'']?([A-Za-z0-9+/_.=-]+)"""
 _KINDS = [(0, "assign", _ASSIGN, 3), (1, "access", "AKIA[A-Z0-9]+", 2), (2, "hex", "[0-9a-f]+", 2), (3, "key", "[A-Za-z0-9+/_=-]+", 2)]
 _PIECES = " UNION ALL ".join(
-    f"""SELECT doc_id, source, {k} AS k, '{name}' AS kind, unnest(range(1, len(g) + 1)) AS i, unnest(g) AS gap, unnest(m) AS m, unnest(v) AS v
-    FROM (SELECT doc_id, source, {', '.join(f"regexp_extract_all(coalesce(text, ''), '(?s)(.*?)({pattern})', {n}) AS {c}" for c, n in (("g", 1), ("m", 2), ("v", group)))} FROM documents)"""
+    f"""SELECT doc_id, source, t, {k} AS k, '{name}' AS kind, unnest(range(1, len(g) + 1)) AS i, unnest(g) AS gap, unnest(m) AS m, unnest(v) AS v
+    FROM (SELECT doc_id, source, sha256(coalesce(text, '')) AS t, {', '.join(f"regexp_extract_all(coalesce(text, ''), '(?s)(.*?)({pattern})', {n}) AS {c}" for c, n in (("g", 1), ("m", 2), ("v", group)))} FROM documents)"""
     for k, name, pattern, group in _KINDS
 )
 
@@ -48,13 +48,15 @@ ORACLE_SQL["op7_secret_scan"] = f"""
 WITH pieces AS ({_PIECES}),
 placed AS (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY i) AS e FROM pieces),
 spans AS (
-    SELECT doc_id, source, k, v, kind || ':' || (e - length(m)) || ':' || e AS said, e - length(m) AS s FROM placed
+    SELECT doc_id, source, t, k, v, kind || ':' || (e - length(m)) || ':' || e AS said, e - length(m) AS s FROM placed
     WHERE (k = 0 AND length(v) >= 6) OR (k = 1 AND length(m) >= 20) OR (k = 2 AND length(m) >= 24)
         OR (k = 3 AND length(m) >= 32 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]'))
 ),
+texts AS (SELECT v, t, min(source) AS owner, min(doc_id::VARCHAR) AS repository FROM spans GROUP BY v, t),
+owners AS (SELECT v, owner, count(*) AS n FROM (SELECT DISTINCT v, owner, repository FROM texts) GROUP BY v, owner),
 judged AS (
-    SELECT s.*, c.n >= 3 OR len(list_distinct(string_split(s.v, ''))) < 5 AS example
-    FROM spans s JOIN (SELECT v, count(DISTINCT source) AS n FROM spans GROUP BY v) c ON c.v = s.v
+    SELECT s.*, (c.n >= 3 AND 100 * (c.places - c.main) >= 10 * c.places) OR len(list_distinct(string_split(s.v, ''))) < 5 AS example
+    FROM spans s JOIN (SELECT v, count(*) AS n, sum(n) AS places, max(n) AS main FROM owners GROUP BY v) c ON c.v = s.v
 ),
 by_doc AS (
     SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,

@@ -3,7 +3,10 @@
 Candidates are found by pattern. Their hashes are counted over the whole corpus: in
 how many repositories, and with how many distinct owners, does the same value stand?
 A value that several owners have is an example copied from a tutorial or a template;
-one that few owners have, and that looks random, is taken for live.
+one that few owners have, and that looks random, is taken for live. So is one that nearly
+all of its repositories have from one owner, whoever else has a copy. Copies of a whole
+text say nothing about the values in it: a text counts once, for the smallest owner and
+repository that have it.
 
 Only DataFrame functions are used. A text is cut by its matches into gaps and
 matches; positions are running sums of their lengths. Values leave the first step as
@@ -22,6 +25,8 @@ from textlake.workspace import land
 
 #: From so many distinct owners on, a value is a copied example.
 EXAMPLE_OWNERS = 3
+#: Of an example's repositories, so many percent are not of the owner that has most of them.
+ELSEWHERE_PERCENT = 10
 #: A value of fewer distinct characters is a placeholder.
 LEAST_DISTINCT = 5
 MASK = "[SECRET]"
@@ -90,7 +95,8 @@ def scan(docs: DataFrame, *, owner: str = "source", repository: str = "doc_id")
     value_length, owners, repositories, example).
 
     Positions are code points, `end` is exclusive; a span's value is its last
-    `value_length` characters. A null owner or repository counts as one of its own.
+    `value_length` characters. Owners and repositories are counted over distinct texts; a
+    null one is passed over where the text has another, else it counts as one of its own.
     Base spans are all there, added ones unless they are examples.
     """
     found = F.concat(*[_found(F.col("text"), k) for k in range(len(KINDS))])
@@ -106,11 +112,14 @@ def scan(docs: DataFrame, *, owner: str = "source", repository: str = "doc_id")
     up_to = Window.partitionBy("uid", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = pieces.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(up_to).cast("long")).where("length > 0 and ok")
     spans = land(spans.select("uid", "owner", "repository", "text_key", "kind", (F.col("end") - F.col("length")).alias("start"), "end", "value_length", "value", "random"), "secret-spans")
-    # one row for each place, then for each owner, then for each value
-    places = spans.groupBy("value", "owner", "repository").agg(F.lit(1))
-    owners = places.groupBy("value", "owner").agg(F.count("*").alias("n"))
-    counts = owners.groupBy("value").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
-    judged = spans.join(counts, "value").withColumn("example", (F.col("owners") >= EXAMPLE_OWNERS) | ~F.col("random"))
+    # one row for each text, then for each place, owner and value
+    texts = spans.groupBy("value", "text_key").agg(F.min("owner").alias("owner"), F.min("repository").alias("repository"))
+    places = texts.groupBy("value", "owner", "repository").agg(F.lit(1))
+    by_owner = places.groupBy("value", "owner").agg(F.count("*").alias("n"))
+    counts = by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"), F.max("n").alias("main"))
+    elsewhere = 100 * (F.col("repositories") - F.col("main")) >= ELSEWHERE_PERCENT * F.col("repositories")
+    copied = (F.col("owners") >= EXAMPLE_OWNERS) & elsewhere
+    judged = spans.join(counts, "value").withColumn("example", copied | ~F.col("random")).drop("main")
     judged = judged.where(f"kind < {len(BASE)} or not example").drop("value", "random", "owner", "repository")
     return rows.select("uid", "doc_id"), judged
 
