@@ -52,6 +52,17 @@ def test_parts_of_items_inside_long_texts(spark, documents, monkeypatch, shingle
     assert set(found(documents(*docs), frame)) == want
 
 
+def test_an_item_under_many_ids_is_indexed_once(spark, documents):
+    text = "one item that very many ids of the list have in common"
+    items = [(i, text) for i in range(2000)] + [(5000, "quite another item of seven words here")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    sets = D._numbered(D._item_table(frame))
+    assert [len(index.value.sets) for index in D._indexes(sets)] == [2]
+    docs = [(1, f"before {text} after"), (2, "nothing"), (3, "quite another item of seven words here")]
+    assert set(found(documents(*docs), frame)) == expected(docs, items) and len(expected(docs, items)) == 2001
+    assert [r.doc_id for r in D.without_items(documents(*docs), frame).collect()] == [2]
+
+
 def test_a_sketch_meets_every_document_that_holds_the_item():
     for n in range(1, 400):
         missing = n - -(-75 * n // 100)

@@ -13,6 +13,8 @@ exact share of shingles, in the same task, as the document's shingles are there.
 Documents are neither shuffled nor joined: each task holds an index of the items. It
 is broadcast in parts of about `INDEX_SHINGLES` shingles (16 bytes each), whose number
 is taken from a count; every part is searched in a pass of its own, whatever the size.
+Items of equal shingles are one set of the index, however many ids have it; a join
+gives a found set its ids afterwards.
 """
 
 from __future__ import annotations
@@ -38,10 +40,10 @@ def sketch_size(n: int) -> int:
 
 
 class Index:
-    """Items by the hashes of their sketches."""
+    """Distinct sets of shingles by the hashes of their sketches."""
 
-    def __init__(self, item_ids: list, sets: list[np.ndarray]):
-        self.item_ids, self.sets = item_ids, sets
+    def __init__(self, set_ids: list[int], sets: list[np.ndarray]):
+        self.set_ids, self.sets = set_ids, sets
         hashes, owners = [], []
         for i, own in enumerate(sets):
             order = np.argsort(T.mix(own ^ np.uint64(0x5851F42D4C957F2D)), kind="stable")
@@ -53,7 +55,7 @@ class Index:
         self.least = np.array([1 << (len(s).bit_length() - 1) for s in sets], np.int64)
 
     def find(self, texts: pa.Array) -> list[tuple[int, int, int]]:
-        """(text, item, shared shingles) of every item that a text holds."""
+        """(text, place of the set, shared shingles) of every set that a text holds."""
         if not len(self.hashes):
             return []
         shingles, offsets = T.shingles(texts)
@@ -85,20 +87,29 @@ def _item_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _indexes(items: DataFrame) -> Iterator:
-    """The index, broadcast in parts."""
-    spark = items.sparkSession
+def _item_table(items: DataFrame) -> DataFrame:
+    """(item_id, n, shingles) of the distinct items that have shingles."""
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    sets = land(items.mapInArrow(_item_sets, "item_id long, n long, shingles array<bigint>").where("n > 0").distinct(), "item-sets")
+    return land(items.mapInArrow(_item_sets, "item_id long, n long, shingles array<bigint>").where("n > 0").distinct(), "items")
+
+
+def _numbered(items: DataFrame) -> DataFrame:
+    """(set_id, n, shingles) of the distinct sets of `_item_table`."""
+    return land(items.select("n", "shingles").distinct().withColumn("set_id", F.monotonically_increasing_id()), "item-sets")
+
+
+def _indexes(sets: DataFrame) -> Iterator:
+    """The index of `_numbered` sets, broadcast in parts."""
+    spark = sets.sparkSession
     total = sets.agg(F.sum("n")).first()[0] or 0
     n_parts = -(-total // INDEX_SHINGLES)
     for k in range(n_parts):
-        part = sets.where(F.pmod(F.xxhash64("shingles"), F.lit(n_parts)) == k).toArrow()
+        part = sets.where(F.pmod(F.xxhash64("set_id"), F.lit(n_parts)) == k).toArrow()
         lists = [np.array(x, np.int64).view(np.uint64) for x in part["shingles"].to_pylist()]
-        yield spark.sparkContext.broadcast(Index(part["item_id"].to_pylist(), lists))
+        yield spark.sparkContext.broadcast(Index(part["set_id"].to_pylist(), lists))
 
 
-PAIRS = "doc_id long, item_id long, n_item long, n_shared long"
+FINDS = "doc_id long, set_id long, n_item long, n_shared long"
 
 
 def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -110,8 +121,10 @@ def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     reported each with its id; an item row that repeats (id and words) counts once.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = docs.sparkSession.createDataFrame([], PAIRS)
-    for index in _indexes(items):
+    found = docs.sparkSession.createDataFrame([], FINDS)
+    items = _item_table(items)
+    sets = _numbered(items)
+    for index in _indexes(sets):
 
         @T.task("decontamination")
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -120,11 +133,13 @@ def find_items(docs: DataFrame, items: DataFrame) -> DataFrame:
                 for part in T.slices(batch, "text"):
                     rows = own.find(part.column("text"))
                     ids = part.column("doc_id").take(pa.array([t for t, _, _ in rows], pa.int64()))
-                    columns = [[own.item_ids[i] for _, i, _ in rows], [len(own.sets[i]) for _, i, _ in rows], [s for _, _, s in rows]]
-                    yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, pa.int64()) for c in columns]], ["doc_id", "item_id", "n_item", "n_shared"])
+                    columns = [[own.set_ids[i] for _, i, _ in rows], [len(own.sets[i]) for _, i, _ in rows], [s for _, _, s in rows]]
+                    yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, pa.int64()) for c in columns]], ["doc_id", "set_id", "n_item", "n_shared"])
 
-        found = found.unionByName(docs.mapInArrow(search, PAIRS))
-    return found
+        found = found.unionByName(docs.mapInArrow(search, FINDS))
+    # one row a set against its items, so that a set of many ids can be split
+    ids = land(items.join(sets.select("set_id", "shingles"), "shingles").select("set_id", "item_id"), "item-ids")
+    return found.join(ids, "set_id").select("doc_id", "item_id", "n_item", "n_shared")
 
 
 def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -132,7 +147,7 @@ def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     columns = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("text"))
     schema = T.row_schema(rows, "text string")
-    for index in _indexes(items):
+    for index in _indexes(_numbered(_item_table(items))):
 
         @T.task("decontamination")
         def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
