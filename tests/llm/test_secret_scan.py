@@ -120,3 +120,27 @@ def test_edges(documents):
     assert got(frame) == sorted([(1, 0, 0, 0, empty, "", 0, 0), (2, 0, 0, 0, empty, "", 0, 0), (None, *hit), (3, *hit), (3, *hit)], key=str)
     assert S.secret_report(frame.where("false")).count() == 0
     assert S.redact(frame.where("false")).count() == 0
+
+
+def test_scratch_does_not_grow_with_shuffle_partitions(documents, spark, monkeypatch):
+    """Each scratch file is one or two processes that an executor starts on a local file system."""
+    files, land = {}, S.land
+
+    def counted(df, label):
+        out = land(df, label)
+        files[label] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(S, "land", counted)
+    docs = [(i, f"file {i} token=Zx81kQ{i}77pLm9 and AKIAEXAMPLE{i:02}EXAMPLE0", None, f"owner{i % 5}") for i in range(64)]
+    frame = documents(*docs).coalesce(2)
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert got(frame) == expected(docs)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(files.values()) <= 2, files
